@@ -1,9 +1,14 @@
 """The queries of this subpackage, with DuckDB SQL where SQL can express them."""
 
-from . import mixing, url_rules
+from . import decontaminate, language_id, licenses, line_quality, mixing, toxicity, url_rules
 
 QUERIES = {
+    "op1_line_quality": line_quality.op1_line_quality,
     "op2_mix_sources": mixing.op2_mix_sources,
+    "op3_decontaminate": decontaminate.op3_decontaminate,
+    "op4_language_id": language_id.op4_language_id,
+    "op5_license_scan": licenses.op5_license_scan,
+    "op6_toxicity": toxicity.op6_toxicity,
     "op10_url_filter": url_rules.op10_url_filter,
 }
 
