@@ -4,9 +4,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from traffic_signals.llm import decontaminate, line_quality, mixing, near_duplicates, personal_data
+from traffic_signals.llm.common import read, staged
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go. It learns from the labels of the documents that are there."""
+    return line_quality.keep_good(docs, read(spark, sf_dir, "labels"))
+
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return near_duplicates.drop_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_leaks(docs, read(spark, sf_dir, "benchmark"))
+
+
+def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the texts are replaced; every document stays."""
+    return personal_data.sanitise(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the mix, with the number of words that it takes from each."""
+    return mixing.mixed_documents(docs)
+
+
+STAGES = [("quality", quality), ("near_duplicates", near_duplicate), ("decontamination", decontamination), ("privacy", privacy), ("mixture", mixture)]
+
+#: The classifier and the sanitiser can't be expressed in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = read(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return docs

@@ -62,8 +62,8 @@ def targets(sizes: DataFrame) -> DataFrame:
     return w.select("source", "source_size", "docs", F.when(full, F.col("cap").cast("double")).otherwise(F.col("weight") * F.col("level")).alias("target"))
 
 
-def mix(docs: DataFrame, seed: int = 20, per_bucket: int = PER_BUCKET, broadcast_sources: int = 100_000) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken: one row for each input row.
+def mix(docs: DataFrame, seed: int = 20, per_bucket: int = PER_BUCKET, broadcast_sources: int = 100_000, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size, source_size, target, taken and a struct doc of the columns in carry: one row for each input row.
 
     size is the number of words (0 for a null or blank text), taken the words that the mix takes from the document: whole epochs of
     it, plus all of it again if it is selected. The document at which the budget of its source runs out is cut there, so a source's
@@ -71,9 +71,10 @@ def mix(docs: DataFrame, seed: int = 20, per_bucket: int = PER_BUCKET, broadcast
     these are alike. A null source is a source of its own; a source without words has the target 0. An empty table gives no rows.
     """
     size = n_words(F.col("text"))
-    rows = docs.select("doc_id", "source", "text").withColumn("size", size)
-    rows = rows.select("doc_id", "source", "size", (-F.log(uniform(F.col("doc_id"), F.col("size"), seed)) / quality_weight(F.col("text"), F.col("size"))).alias("key"))
-    rows = staged(rows, "mix")  # a few numbers a document; texts are read once
+    doc = F.struct(*carry).alias("doc") if carry else F.lit(None).cast("boolean").alias("doc")
+    rows = docs.select("doc_id", "source", "text", doc).withColumn("size", size)
+    rows = rows.select("doc_id", "source", "doc", "size", (-F.log(uniform(F.col("doc_id"), F.col("size"), seed)) / quality_weight(F.col("text"), F.col("size"))).alias("key"))
+    rows = staged(rows, "mix")  # texts are read once; what is carried stays in its rows and is never shuffled, but for the few rows that are sorted
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     plan = staged(targets(sizes), "mix-targets")
     n_sources = plan.count()
@@ -100,7 +101,16 @@ def mix(docs: DataFrame, seed: int = 20, per_bucket: int = PER_BUCKET, broadcast
     before = F.col("base") + F.sum("size").over(order) - F.col("size")
     hard = placed.where(at_cut).withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("budget") - before)))
     both = easy.unionByName(hard)
-    return both.select("doc_id", "source", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken"))
+    return both.select("doc_id", "source", "doc", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, **options: int) -> DataFrame:
+    """The documents of which the mix takes words: the columns of docs, then size, source_size, target and taken.
+
+    A column of docs with one of these names gives way to the mix's own.
+    """
+    own = ("size", "source_size", "target", "taken")
+    return mix(docs, carry=tuple(c for c in docs.columns if c not in own), **options).where("taken > 0").select("doc.*", *own)
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """The queries of this subpackage, with DuckDB SQL where SQL can express them."""
 
-from . import decontaminate, language_id, licenses, line_quality, mixing, toxicity, url_rules
+from . import decontaminate, language_id, licenses, line_quality, mixing, near_duplicates, neighbours, personal_data, toxicity, url_rules
 
 QUERIES = {
     "op1_line_quality": line_quality.op1_line_quality,
@@ -9,6 +9,9 @@ QUERIES = {
     "op4_language_id": language_id.op4_language_id,
     "op5_license_scan": licenses.op5_license_scan,
     "op6_toxicity": toxicity.op6_toxicity,
+    "op7_nearest_neighbours": neighbours.op7_nearest_neighbours,
+    "op8_personal_data": personal_data.op8_personal_data,
+    "op9_near_duplicates": near_duplicates.op9_near_duplicates,
     "op10_url_filter": url_rules.op10_url_filter,
 }
 
