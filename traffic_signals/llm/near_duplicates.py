@@ -29,6 +29,8 @@ from .components import components
 BANDS, ROWS = 32, 5
 PERCENT = 80
 BLOCK = 512  # classes of a bucket that are compared in one task
+BIN, CHUNK = 512, 4096  # documents of which links are confirmed in one task, and partners whose sets it holds, about
+ROWS_PER_BIN = 20_000
 BROADCAST_IDS = 2_000_000  # ids (16 bytes each) up to which a set of ids is broadcast
 DEVIATIONS = 4.5
 
@@ -108,20 +110,16 @@ class Parts:
         return a != b
 
 
-def proposals(pdf: pd.DataFrame, need: float, forest: bool) -> pd.DataFrame:
-    """Links between different components among the rows (id, root, signature, side) of one block, or between the sides of two.
+def links_between(ids: np.ndarray, roots: np.ndarray, sig: np.ndarray, side: np.ndarray, least: int, forest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Links between different components among the classes of one block (ids rising), or between the two sides of a pair of blocks.
 
     forest: only the best links that join the components that the block holds, as if all of them held; otherwise every one.
     """
-    pdf = pdf.drop_duplicates("id").sort_values("id")
-    ids, roots = pdf["id"].to_numpy(), pdf["root"].to_numpy()
-    sig = np.frombuffer(b"".join(pdf["signature"]), np.uint8).reshape(len(pdf), -1)
-    side = pdf["side"].to_numpy()
-    two = side.min() != side.max() if len(side) else False
-    least = int(np.ceil(need * sig.shape[1] - 1e-9)) if len(pdf) else 0
-    us, vs, eq = [], [], []
-    for i in range(len(pdf) - 1):
-        can = roots[i + 1 :] != roots[i]
+    none = np.empty(0, np.int64)
+    two = side.min() != side.max()
+    us, vs, eq = [none], [none], [none]
+    for i in range(len(ids) - 1):
+        can = (roots[i + 1 :] != roots[i]) & (ids[i + 1 :] != ids[i])
         if two:
             can &= side[i + 1 :] != side[i]
         j = np.flatnonzero(can) + i + 1
@@ -130,14 +128,29 @@ def proposals(pdf: pd.DataFrame, need: float, forest: bool) -> pd.DataFrame:
         us.append(np.full(keep.sum(), i))
         vs.append(j[keep])
         eq.append(same[keep])
-    if not us:
-        return pd.DataFrame({"u": [], "v": []})
     us, vs, eq = np.concatenate(us), np.concatenate(vs), np.concatenate(eq)
-    if forest:
+    if forest and len(us):
         parts = Parts(roots)
         best = [k for k in np.argsort(-eq, kind="stable").tolist() if parts.join(us[k], vs[k])]
         us, vs = us[best], vs[best]
-    return pd.DataFrame({"u": ids[us], "v": ids[vs]})
+    return ids[us], ids[vs]
+
+
+def proposals(pdf: pd.DataFrame, keys: list[str], need: float, forest: bool) -> pd.DataFrame:
+    """Candidates (u, root, vs: the partners with larger ids) from many blocks; rows: keys of the block, id, root, signature, side."""
+    pdf = pdf.sort_values([*keys, "id"], ignore_index=True)
+    ids, roots, side = pdf["id"].to_numpy(), pdf["root"].to_numpy(), pdf["side"].to_numpy()
+    sig = np.frombuffer(b"".join(pdf["signature"]), np.uint8).reshape(len(pdf), -1)
+    least = int(np.ceil(need * sig.shape[1] - 1e-9)) if len(pdf) else 0
+    fresh = (pdf[keys] != pdf[keys].shift()).any(axis=1).to_numpy()
+    starts = np.append(np.flatnonzero(fresh), len(pdf))
+    found = [links_between(ids[a:b], roots[a:b], sig[a:b], side[a:b], least, forest) for a, b in zip(starts[:-1], starts[1:], strict=True) if b - a > 1]
+    if not found:
+        return pd.DataFrame({"u": [], "root": [], "vs": []})
+    pairs = np.unique(np.stack([np.concatenate([u for u, _ in found]), np.concatenate([v for _, v in found])]), axis=1)
+    own, at = np.unique(pairs[0], return_index=True)
+    root = dict(zip(ids.tolist(), roots.tolist(), strict=True))
+    return pd.DataFrame({"u": own, "root": [root[u] for u in own.tolist()], "vs": np.split(pairs[1], at[1:])})
 
 
 def by_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -145,29 +158,62 @@ def by_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
     return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose full shingle sets have 100 * intersection >= percent * union."""
-    pairs = staged(pairs.distinct(), "pairs")
-    ids = staged(pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct(), "pair-ids")
+def confirmed(candidates: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (u, v) among candidates (u, root, vs) whose full shingle sets have 100 * intersection >= percent * union.
+
+    Candidates of one component go to the same bins (a large component to several), and their partners' sets in chunks to each bin, so
+    a set travels once for a bin and not once for a pair. In a bin, a pair that confirmed links already connect needs no test.
+    """
+    lists = candidates.groupBy("u", "root").agg(F.array_distinct(F.flatten(F.collect_list("vs"))).alias("vs"))
+    lists = staged(lists, "candidates")
+    bins = max(1, -(-lists.count() // BIN))
+    parts = lists.groupBy("root").agg(F.ceil(F.count("*") / BIN).alias("parts"))
+    dealt = lists.join(parts, "root").select("u", "vs", F.pmod(F.xxhash64("root", F.pmod(F.xxhash64("u"), F.col("parts"))), F.lit(bins)).alias("bin"))
+
+    def chunked(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Long bins in chunks of partners, so that no task holds more than CHUNK partners' sets."""
+        partners = np.unique(np.concatenate(pdf["vs"].tolist()))
+        n = -(-len(partners) // CHUNK)
+        out = [(pdf["bin"].iat[0], c, u, own) for u, vs in zip(pdf["u"], pdf["vs"], strict=True) for c in range(n) if len(own := np.asarray(vs)[np.asarray(vs) % n == c])]
+        return pd.DataFrame(out, columns=["bin", "chunk", "u", "vs"])
+
+    def needed(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"bin": pdf["bin"].iat[0], "chunk": pdf["chunk"].iat[0], "id": np.unique(np.concatenate([pdf["u"].to_numpy(), *pdf["vs"]]))})
 
     def full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = Hashes()
         for pdf in batches:
             yield pd.DataFrame({"id": pdf["doc_id"], "shingles": [shingle_set(t, hashes, k).tobytes() for t in pdf["text"]]})
 
-    def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            hold = []
-            for a, b in zip(pdf["a"], pdf["b"], strict=True):
-                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-                both = np.sort(np.concatenate([a, b]))
-                common = int((both[1:] == both[:-1]).sum())
-                hold.append(100 * common >= percent * (len(both) - common))
-            yield pdf.loc[hold, ["u", "v"]]
-
-    sets = by_ids(docs.select("doc_id", "text"), ids).mapInPandas(full, "id long, shingles binary")
-    met = pairs.join(sets.select(F.col("id").alias("u"), F.col("shingles").alias("a")), "u").join(sets.select(F.col("id").alias("v"), F.col("shingles").alias("b")), "v")
-    return staged(met.mapInPandas(linked, "u long, v long"), "links")
+    def linked(pdf: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        sets: dict[int, list[np.ndarray]] = {}
+        for i, raw in zip(held["id"], held["shingles"], strict=True):
+            sets.setdefault(i, []).append(np.frombuffer(raw, np.uint64))
+        names = np.array(sorted(sets))
+        place = {i: n for n, i in enumerate(names.tolist())}
+        joined, out = Parts(names), []
+        for u, vs in zip(pdf["u"], pdf["vs"], strict=True):
+            for v in vs:
+                if u in place and v in place and joined.find(place[u]) != joined.find(place[v]) and any(similar(a, b, percent) for a in sets[u] for b in sets[v]):
+                    joined.join(place[u], place[v])
+                    out.append((u, v))
+        return pd.DataFrame(out, columns=["u", "v"])
+
+    dealt = staged(dealt.groupBy("bin").applyInPandas(chunked, "bin long, chunk long, u long, vs array<long>"), "bins")
+    want = staged(dealt.groupBy("bin", "chunk").applyInPandas(needed, "bin long, chunk long, id long"), "wanted")
+    sets = by_ids(docs.select("doc_id", "text"), want.select(F.col("id").alias("doc_id")).distinct()).mapInPandas(full, "id long, shingles binary")
+    held = want.join(sets, "id")
+    links = dealt.groupBy("bin", "chunk").cogroup(held.groupBy("bin", "chunk")).applyInPandas(linked, "u long, v long")
+    return staged(links, "links")
+
+
+def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets have 100 * intersection >= percent * union."""
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = np.sort(np.concatenate([a, b]))
+    common = int((both[1:] == both[:-1]).sum())
+    return 100 * common >= percent * (len(both) - common)
 
 
 def with_roots(classes: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -176,30 +222,42 @@ def with_roots(classes: DataFrame, roots: DataFrame | None) -> DataFrame:
     return classes.join(roots, classes["id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "id")).drop("node")
 
 
+def mixed_buckets(buckets: DataFrame) -> DataFrame:
+    """(band, n) of the buckets that hold more than one component."""
+    return buckets.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band", "n")
+
+
+def in_bins(rows: DataFrame, keys: list[str], need: float, forest: bool) -> DataFrame:
+    """Proposals of all blocks, thousands of rows of small blocks to a call."""
+    bins = max(1, -(-rows.count() // ROWS_PER_BIN))
+    grouped = rows.withColumn("bin", F.pmod(F.xxhash64(*keys), F.lit(bins))).groupBy("bin")
+    return grouped.applyInPandas(lambda pdf: proposals(pdf, keys, need, forest), "u long, root long, vs array<long>")
+
+
 def proposed(buckets: DataFrame, need: float) -> DataFrame:
     """Forests of the buckets (band, id, root, signature), a large bucket dealt over blocks."""
-    n = buckets.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band", "n")
-    rows = buckets.join(n, "band").withColumn("block", F.pmod(F.xxhash64("id", "band"), F.ceil(F.col("n") / BLOCK))).withColumn("side", F.lit(0))
-    return rows.groupBy("band", "block").applyInPandas(lambda pdf: proposals(pdf, need, True), "u long, v long")
+    rows = buckets.join(mixed_buckets(buckets), "band").withColumn("block", F.pmod(F.xxhash64("id", "band"), F.ceil(F.col("n") / BLOCK)))
+    rows = rows.select("band", "block", "id", "root", "signature", F.lit(0).alias("side"))
+    return in_bins(rows, ["band", "block"], need, True)
 
 
 def remaining(buckets: DataFrame, need: float) -> DataFrame:
     """Every pair of different components in a bucket that the signatures allow. Rows are dealt over blocks by their component, so
-    that pairs of blocks within one component fall away; a pair of blocks is a task."""
-    n = buckets.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band", "n")
-    rows = buckets.join(n, "band")
-    parts = rows.groupBy("band", "n", "root").agg(F.count("*").alias("own"))
+    that pairs of blocks within one component fall away; a pair of blocks is compared at once."""
+    rows = buckets.join(mixed_buckets(buckets), "band")
+    parts = rows.groupBy("band", "root").agg(F.count("*").alias("own"))
     # Large components have blocks of their own, small ones share blocks.
     large = F.col("own") > BLOCK // 2
-    rows = rows.join(parts.select("band", "root", "own"), ["band", "root"])
+    rows = rows.join(parts, ["band", "root"])
     piece = F.when(large, F.concat_ws(":", F.col("root"), F.pmod(F.xxhash64("id"), F.ceil(F.col("own") / BLOCK)))).otherwise(F.concat_ws(":", F.lit("s"), F.pmod(F.xxhash64("root"), F.ceil(F.col("n") / BLOCK))))
     rows = rows.withColumn("piece", piece).withColumn("only", F.when(large, F.col("root")))
     blocks = rows.groupBy("band", "piece").agg(F.first("only").alias("only"))
     left, right = blocks.select("band", F.col("piece").alias("p"), F.col("only").alias("po")), blocks.select("band", F.col("piece").alias("q"), F.col("only").alias("qo"))
     tasks = left.join(right, "band").where("p <= q").where("po is null or qo is null or po <> qo")
-    tasks = tasks.select("band", "p", "q", F.explode(F.array_distinct(F.array(F.struct(F.col("p").alias("piece"), F.lit(0).alias("side")), F.struct(F.col("q").alias("piece"), F.when(F.col("p") == F.col("q"), 0).otherwise(1).alias("side"))))).alias("x"))
-    dealt = tasks.select("band", "p", "q", "x.piece", "x.side").join(rows.select("band", "piece", "id", "root", "signature"), ["band", "piece"])
-    return dealt.groupBy("band", "p", "q").applyInPandas(lambda pdf: proposals(pdf, need, False), "u long, v long")
+    sides = F.array_distinct(F.array(F.struct(F.col("p").alias("piece"), F.lit(0).alias("side")), F.struct(F.col("q").alias("piece"), F.when(F.col("p") == F.col("q"), 0).otherwise(1).alias("side"))))
+    tasks = tasks.select("band", "p", "q", F.inline(sides))
+    dealt = tasks.join(rows.select("band", "piece", "id", "root", "signature"), ["band", "piece"]).select("band", "p", "q", "id", "root", "signature", "side")
+    return in_bins(dealt, ["band", "p", "q"], need, False)
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> DataFrame:
