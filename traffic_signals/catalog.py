@@ -15,12 +15,12 @@ from .functions.exprs import http_method, iso_millis
 from .functions.rules import QUERY_RULES, REFERER_RULES, USER_AGENT_RULES, Rule, rules_table
 from .functions.schema import AGENT_TYPES, CLASSIFIED_PROVIDERS, HTTP_METHODS, INTEGRATION_KINDS, INTEGRATION_ORIGINS, PROVIDER_BUCKETS, SIGNAL_FAMILIES, SOURCE_PROVIDERS
 from .operators import delivery, rollups
-from .operators.classify import classify_landing_query, classify_referer, classify_request, classify_user_agent, integration_origins, provider_bucket, with_class
+from .operators.classify import classify_landing_query, classify_referer, classify_user_agent, integration_origins, known_attribution, with_class, with_request_class
 from .operators.privacy import Policy, allow_headers, allow_pairs, apply_privacy, hmac_sha256, key_table, omit_query, resolve_policies, sanitize_referral_search, sha256_ip, strip_referer, truncated
 from .operators.validate import validate_events, validate_probe_responses, validate_probes
 from .plans.jobs import cloudfront_to_observations, envelopes_to_observations, forwardable, nginx_to_observations, observe_requests
 from .sources.cloudfront import decode_envelopes, parse_cloudfront
-from .sources.nginx import parse_nginx, target_path, target_search
+from .sources.nginx import origin_form, parse_nginx, target_path, target_search
 from .sources.requests import page_route, split_probes
 
 QUERIES: dict = {}
@@ -54,17 +54,17 @@ def pick(values: list, step: int = 1) -> str:
 
 LOG = rf"""
 WITH page_count AS (SELECT count(*) AS n FROM pages), raw_log AS (
-  SELECT event_id, date_trunc('second', ts) AS at, url, list_filter([regexp_extract(url, '\?([^#]*)', 1), {pick(rl.QUERIES, 3)}], lambda x: x <> '') AS searches
+  SELECT event_id, date_trunc('second', ts) AS stamp, url, list_filter([regexp_extract(url, '\?([^#]*)', 1), {pick(rl.QUERIES, 3)}], lambda x: x <> '') AS searches
   FROM events JOIN pages ON page_id = event_id % (SELECT n FROM page_count)
 ), log AS (
-  SELECT event_id, at, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path,
+  SELECT event_id, stamp, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path,
     CASE WHEN len(searches) > 0 THEN '?' || array_to_string(searches, '&') END AS search, {pick(rl.METHODS, 2)} AS method, {pick(rl.STATUSES)} AS status, event_id * 37 % 50000 AS bytes,
     '10.' || (event_id % 251) || '.' || (event_id % 13) || '.' || (event_id % 7) AS ip, nullif({pick(rl.USER_AGENTS)}, '-') AS user_agent, nullif({pick(rl.REFERERS, 5)}, '-') AS referer
   FROM raw_log
 )"""
 
 METHOD = f"CASE WHEN upper(method) IN ({listed(HTTP_METHODS[:-1])[1:-1]}) THEN upper(method) ELSE 'OTHER' END"
-ISO = "strftime(at, '%Y-%m-%dT%H:%M:%S') || '.000Z'"
+ISO = "strftime(stamp, '%Y-%m-%dT%H:%M:%S') || '.000Z'"
 
 
 def rule_of(column: str, rules: list[Rule], fallback: str) -> str:
@@ -125,7 +125,7 @@ def allowed(keys: list[str], key: str) -> str:
 
 def classed(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = rl.request_log(spark, sf_dir)
-    return with_class(log, classify_request(F.col("user_agent"), F.col("referer"), F.col("search")))
+    return with_request_class(log)
 
 
 def flat(c: str = "class") -> list[Column]:
@@ -174,11 +174,11 @@ SELECT count(*) FILTER (WHERE error IS NULL) AS parsed, count(*) FILTER (WHERE e
 FROM (SELECT event_id, error, CASE WHEN event_id % 2 = 0 THEN r1 <> 'none' OR r3 <> 'none' ELSE known END AS known FROM (SELECT s.*, c.r1, c.r3 FROM seen s JOIN classed c USING (event_id)))""")
 def nginx_pass_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse_nginx(rl.mixed_lines(rl.request_log(spark, sf_dir)))
-    return rollups.pass_statistics(with_class(parsed, classify_request(F.col("user_agent"), F.col("referer"), F.col("search"))), batch_size=25)
+    return rollups.pass_statistics(with_request_class(parsed), batch_size=25)
 
 
 CF = LOG + f""", cf AS (
-  SELECT event_id, CASE WHEN event_id % 10 = 9 THEN 'wrong_field_count' WHEN event_id % 10 = 7 THEN 'missing_host' END AS error, strftime(at, '%Y-%m-%dT%H:%M:%S') || CASE WHEN event_id % 10 < 5 THEN '.000Z' ELSE '.125Z' END AS observed_at,
+  SELECT event_id, CASE WHEN event_id % 10 = 9 THEN 'wrong_field_count' WHEN event_id % 10 = 7 THEN 'missing_host' END AS error, strftime(stamp, '%Y-%m-%dT%H:%M:%S') || CASE WHEN event_id % 10 < 5 THEN '.000Z' ELSE '.125Z' END AS observed_at,
     host, path, CASE WHEN event_id % 10 = 3 AND search IS NULL THEN '?again=1' ELSE search END AS search, {METHOD} AS method, user_agent, referer, 'req-' || event_id AS request_id,
     CASE event_id % 4 WHEN 0 THEN 'US' WHEN 2 THEN 'FR' END AS country FROM log
 )"""
@@ -202,7 +202,7 @@ def request_target_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = rl.request_log(spark, sf_dir)
     k = F.col("event_id") % 3
     full = F.concat(F.when(k == 0, "").otherwise(F.concat(F.lit("HTTPS://"), "host")), F.when(k == 1, "").otherwise(F.col("path")), F.coalesce("search", F.lit("")))
-    return log.select("event_id", target_path(full).alias("path"), target_search(full).alias("search"))
+    return log.select("event_id", origin_form(full).alias("rest")).select("event_id", target_path(F.col("rest")).alias("path"), target_search(F.col("rest")).alias("search"))
 
 
 @query(LOG + f" SELECT {METHOD} AS method, count(*) AS n FROM log GROUP BY 1")
@@ -232,7 +232,7 @@ def classify_referers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_single("r3", "fallback:unknown-query"))
 def classify_landing_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_class(rl.request_log(spark, sf_dir), classify_landing_query(F.col("search"))).select("event_id", *flat())
+    return with_class(rl.request_log(spark, sf_dir), classify_landing_query(known_attribution(F.col("search")))).select("event_id", *flat())
 
 
 @query(CLASSED + " SELECT event_id, provider, agent_type, confidence, rule AS matched_rule, matched_by FROM classed")
@@ -246,9 +246,9 @@ def provider_bucket_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollups.by_bucket(nginx_to_observations(lines))
 
 
-@query(CLASSED + f" SELECT strftime(at, '%Y-%m-%d') AS day, {BUCKET} AS bucket, {FAMILY} AS family, count(*) AS visits FROM classed GROUP BY 1, 2, 3")
+@query(CLASSED + f" SELECT strftime(stamp, '%Y-%m-%d') AS day, {BUCKET} AS bucket, {FAMILY} AS family, count(*) AS visits FROM classed GROUP BY 1, 2, 3")
 def signal_family_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rollups.by_bucket(classed(spark, sf_dir).withColumn("day", F.date_format("at", "yyyy-MM-dd")), "day")
+    return rollups.by_bucket(classed(spark, sf_dir).withColumn("day", F.date_format("stamp", "yyyy-MM-dd")), "day")
 
 
 KINDS = [*INTEGRATION_KINDS, "unheard_of"]
@@ -467,7 +467,7 @@ for _name, _sql in {
 CF_CLASSED = CLASSED.replace(
     "FROM raw_log\n)", "FROM raw_log WHERE event_id % 10 NOT IN (7, 9)\n)"
 ).replace("CASE WHEN len(searches) > 0 THEN '?' || array_to_string(searches, '&') END AS search", "CASE WHEN len(searches) > 0 THEN '?' || array_to_string(searches, '&') WHEN event_id % 10 = 3 THEN '?again=1' END AS search")
-CF_ROWS = f"""event_id, strftime(at, '%Y-%m-%dT%H:%M:%S') || CASE WHEN event_id % 10 < 5 THEN '.000Z' ELSE '.125Z' END AS observed_at, host, path, {cleaned(SAFE)} AS search, {METHOD} AS method, user_agent,
+CF_ROWS = f"""event_id, strftime(stamp, '%Y-%m-%dT%H:%M:%S') || CASE WHEN event_id % 10 < 5 THEN '.000Z' ELSE '.125Z' END AS observed_at, host, path, {cleaned(SAFE)} AS search, {METHOD} AS method, user_agent,
   {STRIPPED} AS referer, CASE event_id % 4 WHEN 0 THEN 'US' WHEN 2 THEN 'FR' END AS country, NULL AS region, 'req-' || event_id AS request_id, provider, 'none' AS ip_algorithm FROM classed WHERE provider <> 'other'"""
 
 
@@ -567,5 +567,3 @@ def _scratch(spark: SparkSession) -> str:
 
     return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')}/stream-{uuid.uuid4().hex}"
 
-
-__all__ = ["ORACLES", "QUERIES", "provider_bucket"]

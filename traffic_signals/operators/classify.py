@@ -31,11 +31,13 @@ def by_rules(value: Column, rules: list[Rule], matched_by: str, fallback: str, g
 
 
 def classify_user_agent(user_agent: Column, rules: list[Rule] = USER_AGENT_RULES) -> Column:
-    return by_rules(filled(user_agent), rules, "user_agent", "fallback:unknown-user-agent", USER_AGENT_GUARD if rules is USER_AGENT_RULES else None)
+    """By a user agent that is trimmed, with blank as null."""
+    return by_rules(user_agent, rules, "user_agent", "fallback:unknown-user-agent", USER_AGENT_GUARD if rules is USER_AGENT_RULES else None)
 
 
 def classify_referer(referer: Column, rules: list[Rule] = REFERER_RULES) -> Column:
-    return by_rules(filled(referer), rules, "referer", "fallback:unknown-referer", REFERER_GUARD if rules is REFERER_RULES else None)
+    """By a referer that is trimmed, with blank as null."""
+    return by_rules(referer, rules, "referer", "fallback:unknown-referer", REFERER_GUARD if rules is REFERER_RULES else None)
 
 
 def attribution_value(value: Column) -> Column:
@@ -57,21 +59,35 @@ def attribution_pairs(search: Column) -> Column:
     return F.transform(own, lambda p: attribution_value(form_decode(p.value)))
 
 
-def classify_landing_query(query_like: Column, rules: list[Rule] = QUERY_RULES) -> Column:
-    """By the first attribution pair that any rule knows."""
-    known = reduce(lambda a, b: a + b, (list(r.patterns) for r in rules))
-    values = F.filter(attribution_pairs(search_of(query_like)), lambda v: reduce(lambda a, b: a | b, (v.rlike(java_pattern(p)) for p in known)))
-    return by_rules(F.get(values, F.lit(0)), rules, "query", "fallback:unknown-query")
+def known_attribution(query_like: Column, rules: list[Rule] = QUERY_RULES) -> Column:
+    """The first normalized attribution value of a query or URL that any rule knows, or null."""
+    known = [java_pattern(p) for r in rules for p in r.patterns]
+    hit = lambda v: reduce(lambda a, b: a | b, (v.rlike(p) for p in known))
+    return F.get(F.filter(attribution_pairs(search_of(query_like)), hit), F.lit(0))
 
 
-def classify_request(user_agent: Column, referer: Column, search: Column) -> Column:
-    """The most confident known classification; ties go to the user agent, then the referer."""
-    ua, ref, query = classify_user_agent(user_agent), classify_referer(referer), classify_landing_query(search)
-    known = F.filter(F.array(ua, ref, query), lambda c: (c.provider != "other") & (c.agent_type != "other"))
+def classify_landing_query(attribution: Column, rules: list[Rule] = QUERY_RULES) -> Column:
+    """By the attribution value that `known_attribution` has found."""
+    return by_rules(attribution, rules, "query", "fallback:unknown-query")
+
+
+def best_class(*classes: Column) -> Column:
+    """The most confident known classification; ties go to the first."""
+    known = F.filter(F.array(*classes), lambda c: (c.provider != "other") & (c.agent_type != "other"))
     best = F.reduce(known, F.lit(None).cast(CLASSIFICATION), lambda a, c: F.when(a.isNull() | (c.confidence > a.confidence), c).otherwise(a))
     return F.coalesce(best, unknown("fallback:unknown-request"))
 
 
+def with_request_class(df: DataFrame, user_agent: str = "user_agent", referer: str = "referer", search: str = "search", name: str = "class") -> DataFrame:
+    """df with the classification of each request, by user agent, then referer, then landing query.
+
+    What the rules read is computed once a row, in a projection of its own, and so is the result.
+    """
+    read = df.withColumns({"__agent": filled(F.col(user_agent)), "__referer": filled(F.col(referer)), "__query": known_attribution(F.col(search))})
+    best = best_class(classify_user_agent(F.col("__agent")), classify_referer(F.col("__referer")), classify_landing_query(F.col("__query")))
+    return with_class(read, best, name).drop("__agent", "__referer", "__query")
+
+
 def first_filled(*values: Column) -> Column:
     return F.coalesce(*map(filled, values))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import iso_millis
 from ..functions.schema import CLOUDFRONT_FIELDS, SCHEMA_VERSION
-from ..operators.classify import classify_request, with_class
+from ..operators.classify import with_request_class
 from ..operators.delivery import canonical_json
 from ..operators.privacy import IP_HASH, Policy, allow_pairs, apply_privacy
 from ..operators.validate import validate_events
@@ -39,7 +39,7 @@ def nginx_to_observations(
     """Log lines (value, ...) to observations; bad lines are left to `split_errors`. query: omit (the default), keep or allowlist, on
     undecoded keys; referers and referral searches are sanitised at delivery."""
     parsed = parse_nginx(lines, format, default_host).where(F.col("error").isNull())
-    known = forwardable(with_class(parsed, classify_request(F.col("user_agent"), F.col("referer"), F.col("search"))), include_unknown)
+    known = forwardable(with_request_class(parsed), include_unknown)
     search = {"keep": F.col("search"), "omit": F.lit(None).cast("string"), "allowlist": allow_pairs(F.col("search"), F.array(*map(F.lit, allow)).cast("array<string>"), decode=False)}[query]
     out = known.withColumns({"search": search, "host": F.coalesce("host", F.lit("unknown.local"))})
     return _observation(out, "nginx_log_forwarder", "nginx_log_forwarder", "nginx-log-forwarder").select(*OBSERVATION, *carry)
@@ -55,7 +55,7 @@ def cloudfront_to_observations(
 ) -> DataFrame:
     """CDN log lines to observations: parse, classify, build, validate, privacy, gate."""
     parsed = parse_cloudfront(lines, fields).where(F.col("error").isNull())
-    known = forwardable(with_class(parsed, classify_request(F.col("user_agent"), F.col("referer"), F.col("search"))), include_unknown)
+    known = forwardable(with_request_class(parsed), include_unknown)
     built = _observation(known, "cloudfront_aws", "cloudfront_aws_realtime_logs", "cloudfront-aws-realtime-logs")
     built = valid_only(built) if validate else built
     return apply_privacy(built, policy, keys=keys, site=site).select(*OBSERVATION, *carry)
@@ -72,7 +72,7 @@ def observe_requests(
     """Request records to observations by the profile of their runtime. A profile's own policy holds where none is given."""
     p = PROFILES[profile]
     flat = normalize_requests(records, p)
-    known = forwardable(with_class(flat, classify_request(F.col("user_agent"), F.col("referer"), F.col("class_search"))), include_unknown)
+    known = forwardable(with_request_class(flat, search="class_search"), include_unknown)
     built = _observation(known, p.source_provider, p.kind, p.name)
     built = valid_only(built) if p.validated else built
     own = policy or Policy(query="omit" if p.query == "drop" else p.query, ip=p.ip)

@@ -30,7 +30,7 @@ def _pick(values: list, step: int = 1) -> Column:
 
 
 def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(event_id, at, host, path, search, method, status, bytes, ip, user_agent, referer): one row for each event."""
+    """(event_id, stamp, host, path, search, method, status, bytes, ip, user_agent, referer): one row for each event."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     n = pages.count()
@@ -38,7 +38,7 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     query, own = _pick(QUERIES, 3), F.regexp_extract("url", r"\?([^#]*)", 1)
     search = F.array_join(F.filter(F.array(own, query), lambda x: x != ""), "&")
     return log.select(
-        "event_id", F.date_trunc("second", F.col("ts").cast("timestamp")).alias("at"), F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1).alias("host"),
+        "event_id", F.date_trunc("second", F.col("ts").cast("timestamp")).alias("stamp"), F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1).alias("host"),
         F.regexp_extract("url", "^[a-z]+://[^/?#]*([^?#]*)", 1).alias("path"), F.when(search != "", F.concat(F.lit("?"), search)).alias("search"), _pick(METHODS, 2).alias("method"),
         _pick(STATUSES).alias("status"), (F.col("event_id") * 37 % 50_000).alias("bytes"), F.concat_ws(".", F.lit("10"), F.col("event_id") % 251, F.col("event_id") % 13, F.col("event_id") % 7).alias("ip"),
         F.nullif(_pick(USER_AGENTS), F.lit("-")).alias("user_agent"), F.nullif(_pick(REFERERS, 5), F.lit("-")).alias("referer"),
@@ -54,15 +54,15 @@ def target() -> Column:
 
 
 def common_lines(log: DataFrame) -> DataFrame:
-    line = F.format_string('%s - - [%s] "%s %s HTTP/1.1" %s %s "%s" "%s"', "ip", F.date_format("at", "dd/MMM/yyyy:HH:mm:ss xx"), "method", target(), F.col("status").cast("string"), F.col("bytes").cast("string"), _or_dash("referer"), _or_dash("user_agent"))
+    line = F.format_string('%s - - [%s] "%s %s HTTP/1.1" %s %s "%s" "%s"', "ip", F.date_format("stamp", "dd/MMM/yyyy:HH:mm:ss xx"), "method", target(), F.col("status").cast("string"), F.col("bytes").cast("string"), _or_dash("referer"), _or_dash("user_agent"))
     return log.select("event_id", line.alias("value"))
 
 
 def json_lines(log: DataFrame) -> DataFrame:
     """Two shapes by turns, with key aliases, a dash before a filled alias, numbers as strings, and epoch seconds."""
-    iso = F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
+    iso = F.date_format("stamp", "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
     one = F.to_json(F.struct(F.col("ip").alias("remote_addr"), iso.alias("time_iso8601"), F.col("host"), F.concat_ws(" ", "method", target(), F.lit("HTTP/2.0")).alias("request"), F.col("status"), F.col("bytes").cast("string").alias("body_bytes_sent"), F.lit("-").alias("http_referer"), F.lit("https://claude.ai/").alias("referer"), F.col("user_agent").alias("http_user_agent")))
-    two = F.to_json(F.struct(F.unix_timestamp("at").alias("msec"), F.col("host").alias("server_name"), F.col("method").alias("request_method"), target().alias("uri"), F.concat(F.col("status").cast("string"), F.lit("x")).alias("status"), F.col("referer").alias("referrer"), F.col("user_agent")))
+    two = F.to_json(F.struct(F.unix_timestamp("stamp").alias("msec"), F.col("host").alias("server_name"), F.col("method").alias("request_method"), target().alias("uri"), F.concat(F.col("status").cast("string"), F.lit("x")).alias("status"), F.col("referer").alias("referrer"), F.col("user_agent")))
     return log.select("event_id", F.when(F.col("event_id") % 2 == 0, one).otherwise(two).alias("value"))
 
 
@@ -78,7 +78,7 @@ def mixed_lines(log: DataFrame) -> DataFrame:
 def cloudfront_lines(log: DataFrame) -> DataFrame:
     """Tab-separated records: ISO times or epoch seconds, embedded or separate queries; some with too few fields or no host."""
     k = F.col("event_id") % 10
-    stamp = F.when(k < 5, F.date_format("at", "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise(F.concat(F.unix_timestamp("at").cast("string"), F.lit(".125")))
+    stamp = F.when(k < 5, F.date_format("stamp", "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise(F.concat(F.unix_timestamp("stamp").cast("string"), F.lit(".125")))
     stem = F.when(k == 3, F.concat("path", F.coalesce("search", F.lit("")), F.lit("?again=1"))).otherwise(F.col("path"))
     query = F.when(k == 3, "-").otherwise(F.coalesce(F.substring("search", 2, 1 << 20), F.lit("-")))
     host = F.when(k == 7, "-").otherwise(F.col("host"))
@@ -112,4 +112,4 @@ def request_records(log: DataFrame) -> DataFrame:
         F.struct(F.lit("x-probe-token").alias("key"), F.when(F.col("event_id") % 3 == 0, " ").otherwise("t").alias("value")),
     )
     geo = F.struct(F.element_at(F.array(F.lit("DE"), F.lit("fr"), F.lit("x1")), (F.col("event_id") % 3 + 1).cast("int")).alias("country"), F.lit("BE").alias("region"))
-    return log.select("event_id", url.alias("url"), "method", F.map_from_entries(pairs).alias("headers"), F.lit("203.0.113.9").alias("client_ip"), F.concat(F.lit("id"), F.col("event_id").cast("string")).alias("request_id"), geo.alias("geo"), F.col("at").alias("observed_at"))
+    return log.select("event_id", url.alias("url"), "method", F.map_from_entries(pairs).alias("headers"), F.lit("203.0.113.9").alias("client_ip"), F.concat(F.lit("id"), F.col("event_id").cast("string")).alias("request_id"), geo.alias("geo"), F.col("stamp").alias("observed_at"))

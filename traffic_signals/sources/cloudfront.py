@@ -30,26 +30,30 @@ def parse_cloudfront(df: DataFrame, fields: list[str] = CLOUDFRONT_FIELDS) -> Da
 
     error is null, or undecodable, empty_line, wrong_field_count, missing_timestamp, missing_host or missing_path.
     """
-    line = F.regexp_replace("value", r"\r?\n\z", "")
-    parts = F.split(line, "\t", -1)
+    own = df.columns
+    d = df.withColumn("__line", F.regexp_replace("value", r"\r?\n\z", "")).withColumn("__parts", F.split("__line", "\t", -1))
 
     def get(name: str) -> Column:
-        return F.nullif(absent(F.get(parts, F.lit(fields.index(name)))), F.lit("-")) if name in fields else F.lit(None).cast("string")
+        return F.get("__parts", F.lit(fields.index(name))) if name in fields else F.lit(None).cast("string")
 
-    stem, stamp = get("cs-uri-stem"), get("timestamp")
-    at = F.when(stamp.rlike(r"^[0-9]+(?:\.[0-9]+)?\z"), epoch_seconds(stamp.try_cast("double"))).otherwise(iso_timestamp(stamp))
+    d = d.withColumns({f"__{k}": F.when(~get(k).isin("", "-"), get(k)) for k in [*CLOUDFRONT_FIELDS, "x-host-header"]})
+    f = lambda name: F.col(f"`__{name}`")
     full = lambda c: F.when(filled(c).isNotNull(), c)
-    host = F.coalesce(full(get("cs-host")), full(get("x-host-header")))
-    pieces = F.split(stem, r"\?", -1)  # only the first two count: what follows a second question mark is dropped
-    path = F.coalesce(absent(F.get(pieces, F.lit(0))), F.lit("/"))
-    country = get("c-country")
+    stamp = f("timestamp")
+    d = d.withColumns({
+        "__at": F.when(stamp.rlike(r"^[0-9]+(?:\.[0-9]+)?\z"), epoch_seconds(stamp.try_cast("double"))).otherwise(iso_timestamp(stamp)),
+        "__host": F.coalesce(full(f("cs-host")), full(f("x-host-header"))), "__pieces": F.split(f("cs-uri-stem"), r"\?", -1),
+    })
     error = (
-        F.when(F.col("value").isNull(), "undecodable").when(filled(line).isNull(), "empty_line").when(F.size(parts) != len(fields), "wrong_field_count")
-        .when(full(stem).isNull(), "missing_path").when(at.isNull(), "missing_timestamp").when(host.isNull(), "missing_host")
+        F.when(F.col("value").isNull(), "undecodable").when(filled(F.col("__line")).isNull(), "empty_line").when(F.size("__parts") != len(fields), "wrong_field_count")
+        .when(full(f("cs-uri-stem")).isNull(), "missing_path").when(F.col("__at").isNull(), "missing_timestamp").when(F.col("__host").isNull(), "missing_host")
     )
+    # Only the first two pieces of the stem count: what follows a second question mark is dropped.
+    d = d.withColumns({"error": error, "__query": F.coalesce(f("cs-uri-query"), F.get("__pieces", F.lit(1)))})
     entry = {
-        "observed_at": at, "client_ip": get("c-ip"), "method": http_method(get("cs-method")), "host": host, "path": path, "search": _search(F.coalesce(get("cs-uri-query"), F.get(pieces, F.lit(1)))),
-        "request_id": get("x-edge-request-id"), "user_agent": get("cs-user-agent"), "referer": get("cs-referer"), "country": F.when(country.rlike(r"^[A-Z]{2}\z"), country),
+        "observed_at": F.col("__at"), "client_ip": f("c-ip"), "method": http_method(f("cs-method")), "host": F.col("__host"), "path": F.coalesce(absent(F.get("__pieces", F.lit(0))), F.lit("/")),
+        "search": _search(F.col("__query")), "request_id": f("x-edge-request-id"), "user_agent": f("cs-user-agent"), "referer": f("cs-referer"),
+        "country": F.when(f("c-country").rlike(r"^[A-Z]{2}\z"), f("c-country")),
     }
-    out = df.select("*", F.inline(F.array(F.struct(error.alias("error"), *(c.alias(k) for k, c in entry.items())))))
-    return out.withColumns({k: F.when(F.col("error").isNull(), F.col(k)) for k in entry})
+    # Through inline, so that a filter on the error is not pushed below the parser, where it would run it twice.
+    return d.select(*own, F.inline(F.array(F.struct("error", *(F.when(F.col("error").isNull(), c).alias(k) for k, c in entry.items())))))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import absent, dash_null, epoch_seconds, http_method, iso_timestamp, jtrim, leading_int
+from ..functions.exprs import dash_null, epoch_seconds, http_method, iso_timestamp, jtrim, leading_int
 
 ENTRY = ["format", "remote_address", "observed_at", "host", "method", "path", "search", "protocol", "status", "bytes_sent", "referer", "user_agent"]
 
@@ -39,17 +39,19 @@ def read_nginx(spark: SparkSession, paths: str | list[str], stream: bool = False
     return raw.select(F.regexp_replace("value", r"\r\z", "").alias("value"), F.col("_metadata.file_path").alias("source_file"))
 
 
-def target_path(target: Column) -> Column:
-    """Path of a request target, without scheme and authority; `/` if empty."""
-    rest = F.regexp_replace(target, r"^(?i:[a-z][a-z0-9+.-]*)://[^/?#]+", "")
-    path = F.regexp_extract(rest, r"(?s)^[^?]*", 0)
-    return F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.lit("/"), path))
+def origin_form(target: Column) -> Column:
+    """A request target without scheme and authority."""
+    return F.regexp_replace(target, r"^(?i:[a-z][a-z0-9+.-]*)://[^/?#]+", "")
 
 
-def target_search(target: Column) -> Column:
-    """Search of a request target with its `?`, or null."""
-    rest = F.regexp_replace(target, r"^(?i:[a-z][a-z0-9+.-]*)://[^/?#]+", "")
-    return absent(F.regexp_extract(rest, r"(?s)\?.*", 0))
+def target_path(rest: Column) -> Column:
+    """Path of a target in origin form; `/` if empty."""
+    return F.regexp_replace(F.regexp_extract(rest, r"(?s)^[^?]*", 0), r"^(?!/)", "/")
+
+
+def target_search(rest: Column) -> Column:
+    """Search of a target in origin form with its `?`, or null."""
+    return F.when(F.contains(rest, F.lit("?")), F.regexp_extract(rest, r"(?s)\?.*", 0))
 
 
 def nginx_time(c: Column) -> Column:
@@ -62,79 +64,66 @@ def request_parts(request: Column) -> Column:
     return F.when(request.isNotNull() & (request != "-") & (F.size(parts) >= 2) & (jtrim(request) != ""), parts)
 
 
-def present(v: Column, raw: Column, keys: list[str], kind: str = "text") -> Column:
-    """The value of the first key that a JSON object has, whatever its type: later keys don't stand in for null, blank or `-`."""
-    names = F.json_object_keys(raw)
+def present(keys: list[str], v: str = "__v", names: str = "__names") -> Column:
+    """struct<type, text> of the first key that a JSON object has, whatever its type: later keys don't stand in for null, blank or `-`."""
     out = None
     for k in keys:
-        path = f"$['{k}']"
-        is_text = F.get_json_object(raw, path).isNotNull() & F.schema_of_variant(F.try_variant_get(v, path, "variant")).eqNullSafe("STRING")
-        text = F.try_variant_get(v, path, "string")
-        value = F.when(is_text, text) if kind == "text" else F.struct(text.alias("text"), is_text.alias("is_text"), F.schema_of_variant(F.try_variant_get(v, path, "variant")).alias("type"))
+        value = F.struct(F.schema_of_variant(F.try_variant_get(F.col(v), f"$['{k}']", "variant")).alias("type"), F.try_variant_get(F.col(v), f"$['{k}']", "string").alias("text"))
         here = F.array_contains(names, k)
         out = F.when(here, value) if out is None else out.when(here, value)
     return out
 
 
-def optional_int(x: Column) -> Column:
-    """From a present value: an integral number, or the integer that a string starts with."""
-    number = x["text"].try_cast("double")
-    whole = (~x["is_text"]) & x["type"].rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)") & (number == F.floor(number))
-    return F.when(x["is_text"] & (x["text"] != "-"), leading_int(x["text"])).when(whole, number.cast("bigint"))
-
-
-def _common(line: Column) -> dict[str, Column]:
-    part = lambda i: F.regexp_extract(line, LINE, i)
-    request = request_parts(part(3))
-    target = F.get(request, F.lit(1))
-    at = nginx_time(part(2))
-    error = F.when(~line.rlike(LINE), "malformed_line").when(request.isNull(), "malformed_request").when(at.isNull(), "missing_timestamp")
-    return {
-        "error": error, "format": F.lit("common"), "remote_address": dash_null(part(1)), "observed_at": at, "host": F.lit(None).cast("string"), "method": http_method(F.get(request, F.lit(0))),
-        "path": target_path(target), "search": target_search(target), "protocol": F.get(request, F.lit(2)), "status": leading_int(part(4)).cast("int"), "bytes_sent": leading_int(part(5)),
-        "referer": dash_null(part(6)), "user_agent": dash_null(part(7)),
-    }
+def is_text(x: str) -> Column:
+    return F.coalesce(F.col(f"{x}.type") == "STRING", F.lit(False))
 
 
-def _json(line: Column) -> dict[str, Column]:
-    # Inside brackets, so that anything after the object makes the whole malformed.
-    whole = F.try_parse_json(F.concat(F.lit("["), line, F.lit("]")))
-    v = F.try_variant_get(whole, "$[0]", "variant")
-    one = F.try_variant_get(whole, "$[1]", "variant").isNull()
-    is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT") & one, F.lit(False))
-    raw = F.to_json(v)
-    text = lambda k: dash_null(present(v, raw, KEYS[k]))
-    whole_request = text("request")
-    request = request_parts(whole_request)
-    has = whole_request.isNotNull()
-    target = F.when(has, F.get(request, F.lit(1))).otherwise(text("uri"))
-    method = F.when(has, F.get(request, F.lit(0))).otherwise(text("method"))
-    protocol = F.when(has, F.get(request, F.lit(2))).otherwise(text("protocol"))
-    stated = text("time")
-    msec = present(v, raw, KEYS["msec"], "any")
-    at = F.when(stated.isNotNull(), iso_timestamp(stated)).otherwise(epoch_seconds(msec["text"].try_cast("double")))
-    error = F.when(~is_object, "malformed_json").when(target.isNull() | method.isNull(), "malformed_request").when(at.isNull(), "missing_timestamp")
-    return {
-        "error": error, "format": F.lit("json"), "remote_address": text("remote_address"), "observed_at": at, "host": text("host"), "method": http_method(method), "path": target_path(target),
-        "search": target_search(target), "protocol": protocol, "status": optional_int(present(v, raw, KEYS["status"], "any")).cast("int"),
-        "bytes_sent": optional_int(present(v, raw, KEYS["bytes_sent"], "any")), "referer": text("referer"), "user_agent": text("user_agent"),
-    }
+def optional_int(x: str) -> Column:
+    """From a present value: an integral number, or the integer that a string starts with."""
+    text, number = F.col(f"{x}.text"), F.col(f"{x}.text").try_cast("double")
+    whole = F.col(f"{x}.type").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)") & (number == F.floor(number))
+    return F.when(is_text(x), F.when(text != "-", leading_int(text))).when(whole, number.cast("bigint"))
 
 
 def parse_nginx(df: DataFrame, format: str = "auto", default_host: str | None = None) -> DataFrame:
     """df (value, ...) with the columns of ENTRY and `error`: null, or empty_line, malformed_line, malformed_json, malformed_request,
-    missing_timestamp, unsupported_format. All entry columns of a bad line are null. format is auto, common or json."""
-    line = jtrim(F.coalesce("value", F.lit("")))
-    text, json = _common(line), _json(line)
-    is_json = F.lit(True) if format == "json" else F.startswith(line, F.lit("{")) if format == "auto" else F.lit(False)
-    known = format in ("auto", "common", "json")
-    error = F.when(line == "", "empty_line").when(F.lit(not known), "unsupported_format").when(is_json, json["error"]).otherwise(text["error"])
-    fields = [F.when(is_json, json[k]).otherwise(text[k]).alias(k) for k in ENTRY]
-    # One struct a row through inline: filters on the error don't run the parser twice.
-    out = df.select("*", F.inline(F.array(F.struct(error.alias("error"), *fields))))
-    blank = {k: F.when(F.col("error").isNull(), F.col(k)) for k in ENTRY}
-    blank["host"] = F.when(F.col("error").isNull(), F.coalesce("host", F.lit(default_host).cast("string")))
-    return out.withColumns(blank)
+    missing_timestamp, unsupported_format. All entry columns of a bad line are null. format is auto, common or json.
+
+    Steps are projections of their own, so that what several of them read is computed once.
+    """
+    known, own = format in ("auto", "common", "json"), df.columns
+    line = df.withColumn("__line", jtrim(F.coalesce("value", F.lit(""))))
+    json = F.lit(True) if format == "json" else F.startswith("__line", F.lit("{")) if format == "auto" else F.lit(False)
+    d = line.withColumn("__json", json & (F.col("__line") != ""))
+    # A JSON line is parsed inside brackets, so that anything after the object makes the whole malformed.
+    d = d.withColumn("__all", F.when(F.col("__json"), F.try_parse_json(F.concat(F.lit("["), "__line", F.lit("]")))))
+    d = d.withColumns({"__v": F.try_variant_get("__all", "$[0]", "variant"), "__more": F.try_variant_get("__all", "$[1]", "variant").isNotNull(), "__text": F.when(~F.col("__json"), F.col("__line"))})
+    d = d.withColumns({"__object": F.coalesce(F.schema_of_variant("__v").startswith("OBJECT") & ~F.col("__more"), F.lit(False)), "__names": F.json_object_keys(F.to_json("__v")), "__fits": F.col("__text").rlike(LINE)})
+    d = d.withColumns({f"__p_{k}": present(keys) for k, keys in KEYS.items()} | {f"__c{i}": F.regexp_extract("__text", LINE, i) for i in range(1, 8)})
+    d = d.withColumns({f"__t_{k}": dash_null(F.when(is_text(f"__p_{k}"), F.col(f"__p_{k}.text"))) for k in KEYS if k not in ("status", "bytes_sent", "msec")} | {"__creq": request_parts(F.col("__c3"))})
+    d = d.withColumn("__req", F.when(F.col("__json"), request_parts(F.col("__t_request"))).otherwise(F.col("__creq")))
+    split = ~F.col("__json") | F.col("__t_request").isNotNull()  # a present but malformed request does not fall through
+    stated, msec = F.col("__t_time"), F.col("__p_msec.text").try_cast("double")
+    at_json = F.when(stated.isNotNull(), iso_timestamp(stated)).otherwise(epoch_seconds(msec))
+    d = d.withColumns({
+        "__target": origin_form(F.when(split, F.get("__req", F.lit(1))).otherwise(F.col("__t_uri"))), "__method": F.when(split, F.get("__req", F.lit(0))).otherwise(F.col("__t_method")),
+        "__protocol": F.when(split, F.get("__req", F.lit(2))).otherwise(F.col("__t_protocol")), "__at": F.when(F.col("__json"), at_json).otherwise(nginx_time(F.col("__c2"))),
+    })
+    lost = F.col("__target").isNull() | F.col("__method").isNull()
+    error = F.when(F.col("__line") == "", "empty_line").when(F.lit(not known), "unsupported_format").when(F.col("__json") & ~F.col("__object"), "malformed_json")
+    error = error.when(~F.col("__json") & ~F.col("__fits"), "malformed_line").when(lost, "malformed_request").when(F.col("__at").isNull(), "missing_timestamp")
+    d = d.withColumn("error", error)
+    j = F.col("__json")
+    fields = {
+        "format": F.when(j, "json").otherwise("common"), "remote_address": F.when(j, F.col("__t_remote_address")).otherwise(dash_null(F.col("__c1"))), "observed_at": F.col("__at"),
+        "host": F.coalesce("__t_host", F.lit(default_host).cast("string")), "method": http_method(F.col("__method")), "path": target_path(F.col("__target")), "search": target_search(F.col("__target")),
+        "protocol": F.col("__protocol"), "status": F.when(j, optional_int("__p_status")).otherwise(leading_int(F.col("__c4"))).cast("int"),
+        "bytes_sent": F.when(j, optional_int("__p_bytes_sent")).otherwise(leading_int(F.col("__c5"))), "referer": F.when(j, F.col("__t_referer")).otherwise(dash_null(F.col("__c6"))),
+        "user_agent": F.when(j, F.col("__t_user_agent")).otherwise(dash_null(F.col("__c7"))),
+    }
+    # Through inline, so that a filter on the error is not pushed below the parser, where it would run it twice.
+    entry = F.struct("error", *(F.when(F.col("error").isNull(), fields[k]).alias(k) for k in ENTRY))
+    return d.select(*own, F.inline(F.array(entry)))
 
 
 def split_errors(parsed: DataFrame, mode: str = "PERMISSIVE") -> tuple[DataFrame, DataFrame]:

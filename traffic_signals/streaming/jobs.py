@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
-from ..operators.classify import classify_request, with_class
+from ..operators.classify import with_request_class
 from ..operators.rollups import windowed_by_bucket
 from ..plans.jobs import cloudfront_to_observations, nginx_to_observations
 from ..sources.cloudfront import read_cloudfront
@@ -51,5 +51,5 @@ def stream_cloudfront(spark: SparkSession, source: str, sink: str, checkpoint: s
 def stream_rollup(spark: SparkSession, source: str, sink: str, checkpoint: str, window: str = "1 hour", late: str = "10 minutes", every: str | None = None) -> StreamingQuery:
     """Visits by bucket and family in windows of event time; a window is written once the watermark has passed it."""
     parsed = parse_nginx(read_nginx(spark, source, stream=True)).where(F.col("error").isNull())
-    counted = windowed_by_bucket(with_class(parsed, classify_request(F.col("user_agent"), F.col("referer"), F.col("search"))), window, late)
+    counted = windowed_by_bucket(with_request_class(parsed), window, late)
     return _start(counted.select(F.col("window.start").alias("start"), "bucket", "family", "visits"), batch_writer(sink), checkpoint, every)
