@@ -56,7 +56,7 @@ LOG = rf"""
 WITH page_count AS (SELECT count(*) AS n FROM pages), raw_log AS (
   SELECT event_id, date_trunc('second', ts) AS stamp, url, list_filter([regexp_extract(url, '\?([^#]*)', 1), {pick(rl.QUERIES, 3)}], lambda x: x <> '') AS searches
   FROM events JOIN pages ON page_id = event_id % (SELECT n FROM page_count)
-), log AS (
+), log AS MATERIALIZED (
   SELECT event_id, stamp, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host, regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path,
     CASE WHEN len(searches) > 0 THEN '?' || array_to_string(searches, '&') END AS search, {pick(rl.METHODS, 2)} AS method, {pick(rl.STATUSES)} AS status, event_id * 37 % 50000 AS bytes,
     '10.' || (event_id % 251) || '.' || (event_id % 13) || '.' || (event_id % 7) AS ip, nullif({pick(rl.USER_AGENTS)}, '-') AS user_agent, nullif({pick(rl.REFERERS, 5)}, '-') AS referer
@@ -89,14 +89,14 @@ SITES = f"list_transform(list_transform({OWN}, lambda p: {decoded('(' + VALUE +
 SITE = f"list_filter({SITES}, lambda s: s IN ('chatgpt', 'chatgptcom', 'chatopenaicom'))[1]"
 ALL_RULES = [*USER_AGENT_RULES, *REFERER_RULES, *QUERY_RULES]
 
-CLASSED = LOG + f""", ruled AS (
+CLASSED = LOG + f""", ruled AS MATERIALIZED (
   SELECT *, {rule_of("user_agent", USER_AGENT_RULES, "none")} AS r1, {rule_of("referer", REFERER_RULES, "none")} AS r2,
     CASE WHEN {SITE} IS NOT NULL THEN 'query:openai:chatgpt' ELSE 'none' END AS r3, {SITE} AS site FROM log
-), ranked AS (
+), ranked AS MATERIALIZED (
   SELECT *, {of_rule("r1", "confidence", "0::DOUBLE", ALL_RULES)} AS c1, {of_rule("r2", "confidence", "0::DOUBLE", ALL_RULES)} AS c2, {of_rule("r3", "confidence", "0::DOUBLE", ALL_RULES)} AS c3 FROM ruled
-), chosen AS (
+), chosen AS MATERIALIZED (
   SELECT *, CASE WHEN c1 = 0 AND c2 = 0 AND c3 = 0 THEN 'fallback:unknown-request' WHEN c1 >= c2 AND c1 >= c3 THEN r1 WHEN c2 >= c3 THEN r2 ELSE r3 END AS rule FROM ranked
-), classed AS (
+), classed AS MATERIALIZED (
   SELECT *, {of_rule("rule", "provider", "'other'", ALL_RULES)} AS provider, {of_rule("rule", "agent_type", "'other'", ALL_RULES)} AS agent_type, {of_rule("rule", "confidence", "0::DOUBLE", ALL_RULES)} AS confidence,
     CASE WHEN rule LIKE 'ua:%' THEN 'user_agent' WHEN rule LIKE 'ref:%' THEN 'referer' WHEN rule LIKE 'query:%' THEN 'query' ELSE 'other' END AS matched_by FROM chosen
 )"""  # noqa: E501
@@ -349,7 +349,7 @@ def header_allowlist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(CLASSED + f""", sited AS (SELECT *, event_id % 4 AS k FROM classed)
-SELECT event_id, CASE WHEN k = 2 THEN '/_redacted' ELSE path END AS path, CASE k WHEN 0 THEN {cleaned('search')} WHEN 1 THEN {cleaned(allowed(['page'], decoded(KEY)))} ELSE {cleaned(SAFE)} END AS search FROM sited""")
+SELECT event_id, CASE WHEN k = 2 THEN '/_redacted' ELSE path END AS path, CASE k WHEN 0 THEN {cleaned('search')} WHEN 1 THEN CASE WHEN agent_type <> 'ai_referral_visit' THEN {allowed(['page'], decoded(KEY))} END ELSE {cleaned(SAFE)} END AS search FROM sited""")
 def site_policy_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = classed(spark, sf_dir).withColumn("host", F.concat(F.lit("site"), F.col("event_id") % 4))
     p = spark.sql("""SELECT * FROM VALUES ('site0', 'keep', array('x'), NULL, NULL), ('site1', NULL, array('page'), NULL, NULL), ('site2', 'omit', NULL, 'redact', NULL)

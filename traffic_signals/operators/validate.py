@@ -152,7 +152,9 @@ def _validated(df: DataFrame, column: str, what: str, rules) -> DataFrame:
     held = df.withColumn("__v", v)
     top = F.coalesce(F.schema_of_variant("__v").startswith("OBJECT"), F.lit(False))
     issues = F.filter(F.concat(*rules(F.col("__v"), raw)), lambda x: x.isNotNull())
-    return held.withColumn("issues", F.when(top, issues).otherwise(F.array(F.lit(f"{what} must be an object")))).drop("__v")
+    every = F.when(top, issues).otherwise(F.array(F.lit(f"{what} must be an object")))
+    # Through inline, so that a filter on the issues is not pushed below the checks, where it would run them twice.
+    return held.select("*", F.inline(F.array(F.struct(every.alias("issues"))))).drop("__v")
 
 
 def validate_events(df: DataFrame, column: str = "event") -> DataFrame:
