@@ -68,7 +68,7 @@ def fit(docs: DataFrame, buckets: int = BUCKETS, bound: int = TRAIN_DOCUMENTS) -
     if len(langs) > MAX_LANGUAGES:
         raise ValueError(f"{len(langs)} languages; the broadcast matrix is meant for {MAX_LANGUAGES} at most")
     counts = np.full((buckets, len(langs)), 0.5)
-    counts[sums["bucket"], [langs.index(x) for x in sums["lang"]]] += sums["n"]
+    counts[sums["bucket"].to_numpy(int), np.array([langs.index(x) for x in sums["lang"]], int)] += sums["n"].to_numpy(float)
     logs = np.log(counts) - np.log(counts.sum(axis=0))
     return langs, np.vstack([logs, np.log(np.array([priors[x] for x in langs], float).reshape(1, -1) / max(1, sum(priors.values())))])
 
