@@ -152,11 +152,14 @@ def matches(text: str | None, t: Templates, coverage: float, band: int) -> list[
     out = []
     for k, diagonals in sorted(seeds.items()):
         pattern, taken = t.words[k], -(1 << 60)
+        near = min(band, max(1, len(pattern) // 2))  # below the distance at which a short template can follow itself
         group: list[int] = []
         for d in [*sorted(diagonals), 1 << 60]:
-            if group and d - group[-1] > band:  # seeds of one occurrence lie on neighbouring diagonals
-                m, s, e = aligned(pattern, only[max(0, group[0] - band) : group[-1] + len(pattern) + band], (group[0] + group[-1]) // 2 - max(0, group[0] - band), band + group[-1] - group[0])
-                s, e = s + max(0, group[0] - band), e + max(0, group[0] - band)
+            if group and d - group[-1] > near:  # seeds of one occurrence lie on neighbouring diagonals
+                first = max(0, group[0] - near)
+                part = only[first : group[-1] + len(pattern) + near]
+                m, s, e = aligned(pattern, part, (group[0] + group[-1]) // 2 - first, near + group[-1] - group[0])
+                s, e = s + first, e + first
                 if m / len(pattern) >= coverage and s >= taken:
                     out.append({"license": t.names[k], "coverage": m / len(pattern), "matched": m, "start": words[s][1], "end": words[e - 1][2]})
                     taken = e
