@@ -132,6 +132,21 @@ def test_disclosing_words(spark):
     assert personal_data.sanitise(df).columns == df.columns and personal_data.sanitise(df).count() == len(out) + 1
 
 
+def test_disclosing_words_far_from_the_mention(spark):
+    filler = "some common words stand here " * 20
+    secret = [(i, f"Zebrafish {i} {filler} ann@corp.example {filler}{i} again zebrafish") for i in range(8)]
+    plain = [(i, f"note {i} {filler} again") for i in range(100, 160)]
+    elsewhere = [(200, "mail bob@other.example, not about it")]
+    df = spark.createDataFrame([*secret, *plain, *elsewhere], "doc_id long, text string")
+    rows = {r["doc_id"]: r["spans"] for r in personal_data.report(df).collect()}
+    assert all(rows[i].count("term") == 2 and rows[i].startswith("term:0:9") for i in range(8)) and "term" not in rows[200]
+    out = dict(personal_data.sanitise(df).collect())
+    assert not any("zebrafish" in out[i].lower() for i in range(8)) and out[0].count("common") == 40
+    # A name that also stands in mentions counts where it stands alone.
+    own = [(i, f"corp {i} {filler} ann@corp.example") for i in range(8)]
+    assert all("term:0:4" in r["spans"] for r in personal_data.report(spark.createDataFrame([*own, *plain], "doc_id long, text string")).collect() if r["doc_id"] < 100)
+
+
 def test_no_python_on_the_native_path(spark, data):
     for name in ("op2_mix_sources", "op8_personal_data", "op10_url_filter"):
         plan = registry.QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()

@@ -1,15 +1,15 @@
 r"""Operator 8: personal data by patterns and by information-theoretic sanitisation. DataFrame expressions only.
 
 Patterns find emails, IP addresses, card and phone numbers: the protected entities. The corpus then tells which words give an entity
-away: for an entity e and a word t standing near its mentions, p(e | t) = (documents with t near e) / (documents with t), and
+away: for an entity e and a word t, p(e | t) = (documents with t and e) / (documents with t), and
 
     disclosure = PMI(e, t) / IC(e) = 1 + ln p(e | t) / -ln p(e)
 
-is 1 for a word that only ever stands near the entity and about 0 for one that is independent of it. Words at or above REMOVE are
-removed from around the mentions, words at or above GENERALISE are replaced by a placeholder. A word needs SUPPORT different
-contexts, so that copies of one text prove nothing.
+is 1 for a word that only ever stands in documents of the entity and about 0 for one that is independent of it. In the documents
+that mention the entity every occurrence of a word is removed if its score is REMOVE or more, and replaced by a placeholder if it
+is GENERALISE or more. A word needs SUPPORT different texts, so that copies of one text prove nothing.
 
-All counts cover the whole corpus. Mentions see NEAR characters to each side, so the work is linear in the length of a text.
+All counts cover the whole corpus and whole documents; a word counts where it stands outside of the mentions.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from .common import read, staged
 
-NEAR = 80
 SUPPORT = 3
 REMOVE, GENERALISE = 0.9, 0.8
 TERM = r"\p{L}{3,}"
@@ -103,42 +102,52 @@ def entity(kind: Column, m: Column) -> Column:
     return F.concat(kind.cast("string"), F.lit(":"), F.when(kind.isin(2, 3), only_digits(m)).otherwise(F.lower(m)))
 
 
-def contexts(text: Column, base: Column) -> Column:
-    """For each mention: the entity, and the text around it cut at whole words with its place."""
+def terms_of(text: Column) -> Column:
+    """The different words of a text, lowered one by one."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
-    def around(s: Column) -> Column:
-        lo = F.greatest(s.start - NEAR, F.lit(0))
-        left, right = text.substr(lo + 1, s.start - lo), text.substr(s.end + 1, F.lit(NEAR))
-        whole = F.when(lo > 0, F.regexp_replace(left, r"^[\p{L}\p{N}]+", "")).otherwise(left)
-        after = F.when(F.length(right) == NEAR, F.regexp_replace(right, r"[\p{L}\p{N}]+$", "")).otherwise(right)
-        return F.struct(entity(s.kind, s.m).alias("entity"), (s.start - F.length(whole)).alias("left_at"), whole.alias("left"), s.end.alias("right_at"), after.alias("right"))
 
-    return F.transform(base, around)
+def outside(text: Column, base: Column) -> Column:
+    """What of a text no mention covers."""
 
+    def cut(acc: Column, s: Column) -> Column:
+        return F.struct(F.greatest(acc.at, s.end).alias("at"), F.concat(acc.out, F.array(text.substr(acc.at + 1, s.start - acc.at))).alias("out"))
 
-def disclosing(found: DataFrame, docs: DataFrame, support: int, generalise: float) -> DataFrame:
-    """(key, start, end, score): words near mentions that give the entity away.
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    return F.aggregate(base, start, cut, lambda a: F.concat(F.array_join(a.out, "\n"), F.lit("\n"), text.substr(a.at + 1, F.length(text))))
 
-    found: (key, base, contexts) of the documents with a mention; docs: all documents.
+
+def disclosing(found: DataFrame, docs: DataFrame, support: int, remove: float, generalise: float) -> DataFrame:
+    """(key, terms): the occurrences of words that give an entity of their document away, as array<struct<start, end, remove>>.
+
+    found: (key, base, text) of the documents with a mention; docs: all documents.
     """
-    c = found.select("key", "base", F.explode("contexts").alias("c"))
-    # By the words' position in their own side; mentions inside a side are cut out by the overlap test.
-    sides = c.select("key", "base", "c.entity", F.xxhash64("c.left", "c.right").alias("context"), F.explode(F.array(F.struct(F.col("c.left_at").alias("at"), F.col("c.left").alias("side")), F.struct(F.col("c.right_at").alias("at"), F.col("c.right").alias("side")))).alias("s"))
-    near = sides.select("key", "base", "entity", "context", "s.at", F.explode(matches(F.col("s.side"), TERM)).alias("w"))
-    near = near.select("key", "base", "entity", "context", F.lower("w.m").alias("term"), (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end"))
-    near = near.where(~F.exists("base", lambda b: (F.col("start") < b.end) & (F.col("end") > b.start)))
-    near = staged(near.select("key", "entity", "context", "term", "start", "end").distinct(), "near-terms")
-    pairs = near.groupBy("entity", "term", "context").agg(F.count_distinct("key").alias("n")).groupBy("entity", "term").agg(F.count("*").alias("contexts"), F.sum("n").alias("n_both"))
-    pairs = staged(pairs.where(F.col("contexts") >= support), "term-pairs")
-    entities = found.select("key", F.explode(F.array_distinct(F.transform("contexts", lambda x: x.entity))).alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    # Document frequencies of all words; the few candidates pick theirs.
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
     total = docs.count()
-    scored = pairs.join(entities, "entity").join(words, "term")
+    seen = found.select("key", F.array_distinct(F.transform("base", lambda s: entity(s.kind, s.m))).alias("entities"), terms_of(outside(F.col("text"), F.col("base"))).alias("terms"), terms_of(F.col("text")).alias("all"), F.xxhash64("text").alias("unit"))
+    # Equal texts are one piece of evidence, named by 64 bits.
+    seen = staged(seen.select("key", "entities", "terms", F.array_except("all", "terms").alias("inside"), "unit"), "mention-terms")
+    owned = seen.select("key", "unit", F.explode("entities").alias("entity"))
+    entities = owned.groupBy("entity").agg(F.count("*").alias("n_entity"), F.count_distinct("unit").alias("texts")).where((F.col("texts") >= support) & (F.col("n_entity") < total))
+    # n_both is n_entity at most, so no word in more documents than this can reach the threshold with the entity.
+    entities = entities.withColumn("most", F.col("n_entity") * F.pow(F.lit(total) / F.col("n_entity"), F.lit(1 - generalise)) * (1 + 1e-9))
+    owners = staged(owned.join(entities, "entity").groupBy("unit", "entity", "n_entity", "most").agg(F.count("*").alias("copies")), "entity-texts")
+    most = owners.agg(F.max("most")).first()[0] or 0.0
+    held = seen.join(owners.select("unit").distinct(), "unit", "left_semi").select("unit", F.explode("terms").alias("term")).distinct()
+    # Document frequencies of all words, less the documents where a word stands in mentions alone.
+    words = docs.select(F.explode(terms_of(F.col("text"))).alias("term"), F.lit(1).alias("n")).unionByName(seen.select(F.explode("inside").alias("term"), F.lit(-1).alias("n")))
+    words = words.groupBy("term").agg(F.sum("n").alias("n_term")).where(F.col("n_term") <= most)
+    usable = held.groupBy("term").agg(F.count("*").alias("texts")).where(F.col("texts") >= support).join(words, "term").select("term", "n_term")
+    pairs = held.join(usable, "term").join(owners, "unit").where(F.col("n_term") <= F.col("most"))
+    pairs = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("texts"), F.min("n_term").alias("n_term"), F.min("n_entity").alias("n_entity"))
+    pairs = pairs.where(F.col("texts") >= support)
     given = F.least(F.lit(1.0), F.col("n_both") / F.col("n_term"))
-    scored = scored.where(F.col("n_entity") < total).withColumn("score", 1 + F.log(given) / -F.log(F.col("n_entity") / F.lit(total)))
-    scored = scored.where(F.col("score") >= generalise).select("entity", "term", "score")
-    return near.join(scored, ["entity", "term"]).groupBy("key", "start", "end").agg(F.max("score").alias("score"))
+    scored = pairs.withColumn("score", 1 + F.log(given) / -F.log(F.col("n_entity") / F.lit(total)))
+    scored = staged(scored.where(F.col("score") >= generalise).select("entity", "term", "score"), "disclosing-terms")
+    marks = owned.join(scored, "entity").groupBy("key", "term").agg(F.max("score").alias("score"))
+    marks = marks.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "score"))).alias("marks"))
+    free = lambda w: F.map_contains_key("marks", F.lower(w.m)) & ~F.exists("base", lambda b: (w.start < b.end) & (w.end > b.start))
+    spans = F.transform(F.filter(matches(F.col("text"), TERM), free), lambda w: F.struct(w.start.alias("start"), w.end.alias("end"), (F.element_at("marks", F.lower(w.m)) >= remove).alias("remove")))
+    return found.join(marks, "key").dropDuplicates(["key"]).select("key", spans.alias("terms"))
 
 
 def row_key() -> Column:
@@ -152,10 +161,9 @@ def sanitise_spans(docs: DataFrame, support: int = SUPPORT, remove: float = REMO
     Null and empty texts have no spans. Overlapping spans of different kinds are all reported.
     """
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    base = with_base(docs).select("doc_id", row_key().alias("key"), "base", contexts(F.col("text"), F.col("base")).alias("contexts"))
-    base = staged(base, "personal-data")  # spans and surroundings of the mentions: small beside the texts
-    terms = disclosing(base.where(F.size("base") > 0).select("key", "base", "contexts").dropDuplicates(["key"]), texts, support, generalise)
-    terms = terms.groupBy("key").agg(F.sort_array(F.collect_list(F.struct("start", "end", (F.col("score") >= remove).alias("remove")))).alias("terms"))
+    kept = F.when(F.size("base") > 0, F.col("text")).alias("text")
+    base = staged(with_base(docs).select("doc_id", row_key().alias("key"), "base", kept), "personal-data")
+    terms = disclosing(base.where(F.size("base") > 0).select("key", "base", "text"), texts, support, remove, generalise)
     none = F.array().cast("array<struct<start:int,end:int,remove:boolean>>")
     return base.select("key", "doc_id", "base").join(terms, "key", "left").withColumn("terms", F.coalesce("terms", none))
 
