@@ -147,6 +147,17 @@ def test_disclosing_words_far_from_the_mention(spark):
     assert all("term:0:4" in r["spans"] for r in personal_data.report(spark.createDataFrame([*own, *plain], "doc_id long, text string")).collect() if r["doc_id"] < 100)
 
 
+def test_disclosing_words_of_groups(spark):
+    secret = [(i, f"zebrafish {i} wrote unique{chr(97 + i)}word to m{i}@corp.example today") for i in range(8)]
+    numbers = [(20 + i, f"quokka {i} called from +1 (555) 123-450{i} today and 10.20.{i}.7 okapi") for i in range(8)]
+    plain = [(i, f"note {i} wrote and called to and from today") for i in range(100, 160)]
+    df = spark.createDataFrame([*secret, *numbers, *plain], "doc_id long, text string")
+    out = dict(personal_data.sanitise(df).collect())
+    assert not any("zebrafish" in out[i] or "quokka" in out[20 + i] or "okapi" in out[20 + i] for i in range(8))
+    # One text proves nothing, and what stands everywhere stays.
+    assert all(f"unique{chr(97 + i)}" in out[i] and "wrote" in out[i] and "today" in out[20 + i] for i in range(8)) and all(out[i] == t for i, t in plain)
+
+
 def test_no_python_on_the_native_path(spark, data):
     for name in ("op2_mix_sources", "op8_personal_data", "op10_url_filter"):
         plan = registry.QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()

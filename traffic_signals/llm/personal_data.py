@@ -7,7 +7,12 @@ away: for an entity e and a word t, p(e | t) = (documents with t and e) / (docum
 
 is 1 for a word that only ever stands in documents of the entity and about 0 for one that is independent of it. In the documents
 that mention the entity every occurrence of a word is removed if its score is REMOVE or more, and replaced by a placeholder if it
-is GENERALISE or more. A word needs SUPPORT different texts, so that copies of one text prove nothing.
+is GENERALISE or more.
+
+Most values are rare, so evidence is pooled: an entity is a value, and also each group it belongs to (an email's domain and name, the
+front of a number). A kind as a whole is none, as the placeholder names it anyway. Estimates from n different texts are smoothed,
+p(e | t) ** w * p(e) ** (1 - w) with w = n / (n + PRIOR), which multiplies the disclosure by w: a word's only text, or copies of it,
+prove little, whatever the size of the corpus.
 
 All counts cover the whole corpus and whole documents; a word counts where it stands outside of the mentions.
 """
@@ -19,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import read, staged
 
-SUPPORT = 3
+PRIOR = 0.75  # texts that the prior counts for
 REMOVE, GENERALISE = 0.9, 0.8
 TERM = r"\p{L}{3,}"
 
@@ -98,8 +103,15 @@ def with_base(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("base", base_spans(F.col("text")))
 
 
-def entity(kind: Column, m: Column) -> Column:
-    return F.concat(kind.cast("string"), F.lit(":"), F.when(kind.isin(2, 3), only_digits(m)).otherwise(F.lower(m)))
+def entities_of(kind: Column, m: Column) -> Column:
+    """The value of a mention and the groups that it belongs to; a group is marked by a star."""
+    digits, low = only_digits(m), F.lower(m)
+    name = F.regexp_extract(low, r"^[^@a-z]*([a-z]+)[^@]*@", 1)
+    email = F.array(low, F.concat(F.lit("*@"), F.substring_index(low, "@", -1)), F.concat(name, F.lit("*@")))
+    ip = F.array(low, F.concat(F.substring_index(low, ".", 3), F.lit(".*")), F.concat(F.substring_index(low, ".", 2), F.lit(".*")))
+    card, phone = F.array(digits, F.concat(digits.substr(1, 6), F.lit("*"))), F.array(digits, F.concat(digits.substr(1, 4), F.lit("*")))
+    every = F.when(kind == 0, email).when(kind == 1, ip).when(kind == 2, card).otherwise(phone)
+    return F.transform(F.filter(every, lambda e: e != "*@"), lambda e: F.concat(kind.cast("string"), F.lit(":"), e))
 
 
 def terms_of(text: Column) -> Column:
@@ -117,17 +129,18 @@ def outside(text: Column, base: Column) -> Column:
     return F.aggregate(base, start, cut, lambda a: F.concat(F.array_join(a.out, "\n"), F.lit("\n"), text.substr(a.at + 1, F.length(text))))
 
 
-def disclosing(found: DataFrame, docs: DataFrame, support: int, remove: float, generalise: float) -> DataFrame:
+def disclosing(found: DataFrame, docs: DataFrame, prior: float, remove: float, generalise: float) -> DataFrame:
     """(key, terms): the occurrences of words that give an entity of their document away, as array<struct<start, end, remove>>.
 
     found: (key, base, text) of the documents with a mention; docs: all documents.
     """
     total = docs.count()
-    seen = found.select("key", F.array_distinct(F.transform("base", lambda s: entity(s.kind, s.m))).alias("entities"), terms_of(outside(F.col("text"), F.col("base"))).alias("terms"), terms_of(F.col("text")).alias("all"), F.xxhash64("text").alias("unit"))
+    trust = F.col("texts") / (F.col("texts") + prior)  # a bound of the score: no entity or word below the threshold can be in a pair above
+    seen = found.select("key", F.array_distinct(F.flatten(F.transform("base", lambda s: entities_of(s.kind, s.m)))).alias("entities"), terms_of(outside(F.col("text"), F.col("base"))).alias("terms"), terms_of(F.col("text")).alias("all"), F.xxhash64("text").alias("unit"))
     # Equal texts are one piece of evidence, named by 64 bits.
     seen = staged(seen.select("key", "entities", "terms", F.array_except("all", "terms").alias("inside"), "unit"), "mention-terms")
     owned = seen.select("key", "unit", F.explode("entities").alias("entity"))
-    entities = owned.groupBy("entity").agg(F.count("*").alias("n_entity"), F.count_distinct("unit").alias("texts")).where((F.col("texts") >= support) & (F.col("n_entity") < total))
+    entities = owned.groupBy("entity").agg(F.count("*").alias("n_entity"), F.count_distinct("unit").alias("texts")).where((trust >= generalise) & (F.col("n_entity") < total))
     # n_both is n_entity at most, so no word in more documents than this can reach the threshold with the entity.
     entities = entities.withColumn("most", F.col("n_entity") * F.pow(F.lit(total) / F.col("n_entity"), F.lit(1 - generalise)) * (1 + 1e-9))
     owners = staged(owned.join(entities, "entity").groupBy("unit", "entity", "n_entity", "most").agg(F.count("*").alias("copies")), "entity-texts")
@@ -136,12 +149,12 @@ def disclosing(found: DataFrame, docs: DataFrame, support: int, remove: float, g
     # Document frequencies of all words, less the documents where a word stands in mentions alone.
     words = docs.select(F.explode(terms_of(F.col("text"))).alias("term"), F.lit(1).alias("n")).unionByName(seen.select(F.explode("inside").alias("term"), F.lit(-1).alias("n")))
     words = words.groupBy("term").agg(F.sum("n").alias("n_term")).where(F.col("n_term") <= most)
-    usable = held.groupBy("term").agg(F.count("*").alias("texts")).where(F.col("texts") >= support).join(words, "term").select("term", "n_term")
+    usable = held.groupBy("term").agg(F.count("*").alias("texts")).where(trust >= generalise).join(words, "term").select("term", "n_term")
     pairs = held.join(usable, "term").join(owners, "unit").where(F.col("n_term") <= F.col("most"))
     pairs = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("texts"), F.min("n_term").alias("n_term"), F.min("n_entity").alias("n_entity"))
-    pairs = pairs.where(F.col("texts") >= support)
+    pairs = pairs.where(trust >= generalise)
     given = F.least(F.lit(1.0), F.col("n_both") / F.col("n_term"))
-    scored = pairs.withColumn("score", 1 + F.log(given) / -F.log(F.col("n_entity") / F.lit(total)))
+    scored = pairs.withColumn("score", trust * (1 + F.log(given) / -F.log(F.col("n_entity") / F.lit(total))))
     scored = staged(scored.where(F.col("score") >= generalise).select("entity", "term", "score"), "disclosing-terms")
     marks = owned.join(scored, "entity").groupBy("key", "term").agg(F.max("score").alias("score"))
     marks = marks.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "score"))).alias("marks"))
@@ -155,7 +168,7 @@ def row_key() -> Column:
     return F.sha2(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit(""))), 256)
 
 
-def sanitise_spans(docs: DataFrame, support: int = SUPPORT, remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
+def sanitise_spans(docs: DataFrame, prior: float = PRIOR, remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
     """(key, doc_id, base, terms): one row for each row of docs (doc_id, text), terms as array<struct<start, end, remove>>.
 
     Null and empty texts have no spans. Overlapping spans of different kinds are all reported.
@@ -163,7 +176,7 @@ def sanitise_spans(docs: DataFrame, support: int = SUPPORT, remove: float = REMO
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     kept = F.when(F.size("base") > 0, F.col("text")).alias("text")
     base = staged(with_base(docs).select("doc_id", row_key().alias("key"), "base", kept), "personal-data")
-    terms = disclosing(base.where(F.size("base") > 0).select("key", "base", "text"), texts, support, remove, generalise)
+    terms = disclosing(base.where(F.size("base") > 0).select("key", "base", "text"), texts, prior, remove, generalise)
     none = F.array().cast("array<struct<start:int,end:int,remove:boolean>>")
     return base.select("key", "doc_id", "base").join(terms, "key", "left").withColumn("terms", F.coalesce("terms", none))
 
