@@ -27,10 +27,10 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def _stars(edges: DataFrame) -> bool:
-    """Whether each node has one edge down and no node that edges lead to has any: then every component is a star around its least."""
-    if not edges.groupBy("u").count().where("count > 1").isEmpty():
-        return False
-    return edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty()
+    """Whether each node has one edge down, or edges from others, never both or several: then every component is a star around its least."""
+    ends = F.array(F.struct(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("hub")), F.struct(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("hub")))
+    seen = edges.select(F.inline(ends)).groupBy("node").agg(F.sum("up").alias("up"), F.max("hub").alias("hub"))
+    return seen.where("up > 1 or (up = 1 and hub = 1)").isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:

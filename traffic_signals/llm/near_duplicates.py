@@ -1,13 +1,13 @@
 """Operator 9: near-duplicates by MinHash: many universal hash minima, banding, signature verification, components by stars.
 
 1. One scan turns every whole text into its set of word shingles, and that into a 128-bit digest of the set, minima under universal
-   hash functions, the keys of the bands, and a signature of one byte for each minimum. Documents with equal sets form a class;
-   everything below works on one representative of each class.
+   hash functions, the keys of the bands, and a signature of one byte for each minimum. Rows with equal sets form a class, whatever
+   their ids; everything below works on classes.
 2. Classes that share a band key are candidates. Inside a bucket (dealt over blocks of bounded size) signatures are compared, and only
-   the best links that join parts of the bucket are proposed: a forest, never all pairs.
+   a forest of links is proposed, never all pairs.
 3. Proposed links are confirmed on the full sets, and the confirmed ones give components by alternating large-star and small-star.
-4. Buckets that still hold several components are searched again, in pairs of blocks, for every pair of different components whose
-   signatures allow the similarity, so no link between parts is lost; those pairs are confirmed in the same way.
+4. Buckets that still hold several components are searched again, in pairs of blocks, for the pairs of different components whose
+   set sizes and signatures allow the similarity, so no link between parts is lost; those pairs are confirmed in the same way.
 
 What is probabilistic: a link at the threshold is missed by all bands with probability (1 - 0.8^5)^32 = 3e-6, and by the signature
 test (4.5 standard deviations below the threshold) with about 3e-6.
@@ -15,12 +15,12 @@ test (4.5 standard deviations below the threshold) with about 3e-6.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Hashes, mixed, read, shingles, staged, word_hashes, words
@@ -29,9 +29,9 @@ from .components import components
 BANDS, ROWS = 32, 5
 PERCENT = 80
 BLOCK = 512  # classes of a bucket that are compared in one task
-BIN, CHUNK = 512, 4096  # documents of which links are confirmed in one task, and partners whose sets it holds, about
 ROWS_PER_BIN = 20_000
-BROADCAST_IDS = 2_000_000  # ids (16 bytes each) up to which a set of ids is broadcast
+SET_BYTES = 32 << 20  # bytes of shingle sets that confirm one bin of links, about
+BROADCAST_IDS = 200_000  # ids up to which a set of ids is broadcast
 DEVIATIONS = 4.5
 
 
@@ -59,67 +59,51 @@ def digest(s: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(s.tobytes())
 
 
-def sketches(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n_shingles, digest, bands, signature); a document without words has no digest and takes part in nothing."""
-
-    def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, family = Hashes(), MinHash()
-        for pdf in batches:
-            out = []
-            for text in pdf["text"]:
-                s = shingle_set(text, hashes, k)
-                if not len(s):
-                    out.append((0, None, None, None))
-                    continue
-                low = family.minima(s)
-                key = np.zeros(BANDS, np.uint64)
-                for j in range(ROWS):
-                    key = mixed(key * np.uint64(0xD1342543DE82EF95) + low.reshape(BANDS, ROWS)[:, j])
-                key = mixed(key + np.arange(BANDS, dtype=np.uint64))
-                out.append((len(s), digest(s), key.view(np.int64), (low & np.uint64(255)).astype(np.uint8).tobytes()))
-            n, d, b, sig = zip(*out, strict=True) if out else ((), (), (), ())
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_shingles": n, "digest": d, "bands": b, "signature": sig})
-
-    return docs.select("doc_id", "text").mapInPandas(sketch, "doc_id long, n_shingles long, digest binary, bands array<long>, signature binary")
-
-
-def agreement_needed(percent: int) -> float:
-    """The least share of equal signature bytes that a link may show: the threshold less DEVIATIONS, plus chance equality."""
-    j, n = percent / 100, BANDS * ROWS
-    low = j - DEVIATIONS * (j * (1 - j) / n) ** 0.5
-    return low + (1 - low) / 256
-
-
-class Parts:
-    """Union-find over the rows of a block."""
+def text_key(text: Column) -> Column:
+    """Tells the texts of rows that share a doc_id apart."""
+    return F.xxhash64(text)
 
-    def __init__(self, roots: np.ndarray):
-        _, self.of = np.unique(roots, return_inverse=True)
-        self.up = list(range(self.of.max() + 1 if len(roots) else 0))
 
-    def find(self, i: int) -> int:
-        p = int(self.of[i])
-        while self.up[p] != p:
-            self.up[p] = self.up[self.up[p]]
-            p = self.up[p]
-        return p
-
-    def join(self, i: int, j: int) -> bool:
-        a, b = self.find(i), self.find(j)
-        self.up[a] = b
-        return a != b
+def sketches(docs: DataFrame, k: int) -> DataFrame:
+    """(doc_id, own, n_shingles, digest, bands, signature); a document without words has no digest and takes part in nothing."""
+
+    @F.pandas_udf("n_shingles long, digest binary, bands array<long>, signature binary")
+    def sketch(texts: pd.Series) -> pd.DataFrame:
+        hashes, family, out = Hashes(), MinHash(), []
+        for text in texts:
+            s = shingle_set(text, hashes, k)
+            if not len(s):
+                out.append((0, None, None, None))
+                continue
+            low = family.minima(s)
+            key = np.zeros(BANDS, np.uint64)
+            for j in range(ROWS):
+                key = mixed(key * np.uint64(0xD1342543DE82EF95) + low.reshape(BANDS, ROWS)[:, j])
+            key = mixed(key + np.arange(BANDS, dtype=np.uint64))
+            out.append((len(s), digest(s), key.view(np.int64), (low & np.uint64(255)).astype(np.uint8).tobytes()))
+        return pd.DataFrame(out, columns=["n_shingles", "digest", "bands", "signature"])
+
+    made = docs.select("doc_id", text_key(F.col("text")).alias("own"), sketch.asNondeterministic()("text").alias("s"))
+    return made.select("doc_id", "own", "s.*")
+
+
+def agreement(j: float, deviations: float) -> float:
+    """The share of equal signature bytes at similarity j, so many standard deviations above, plus chance equality."""
+    low = j + deviations * (j * (1 - j) / (BANDS * ROWS)) ** 0.5
+    return low + (1 - low) / 256
 
 
-def links_between(ids: np.ndarray, roots: np.ndarray, sig: np.ndarray, side: np.ndarray, least: int, forest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Links between different components among the classes of one block (ids rising), or between the two sides of a pair of blocks.
+def links_between(nodes: np.ndarray, roots: np.ndarray, sig: np.ndarray, side: np.ndarray, least: int, sure: int, forest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Links between different components among the classes of one block (nodes rising), or between the two sides of a pair of blocks.
 
-    forest: only the best links that join the components that the block holds, as if all of them held; otherwise every one.
+    forest: only links that join the components that the block holds, as if all of them held, and of those that are as good as certain
+    the ones between the least nodes, so that the buckets of a group propose the same; otherwise every one.
     """
     none = np.empty(0, np.int64)
     two = side.min() != side.max()
     us, vs, eq = [none], [none], [none]
-    for i in range(len(ids) - 1):
-        can = (roots[i + 1 :] != roots[i]) & (ids[i + 1 :] != ids[i])
+    for i in range(len(nodes) - 1):
+        can = (roots[i + 1 :] != roots[i]) & (nodes[i + 1 :] != nodes[i])
         if two:
             can &= side[i + 1 :] != side[i]
         j = np.flatnonzero(can) + i + 1
@@ -130,81 +114,83 @@ def links_between(ids: np.ndarray, roots: np.ndarray, sig: np.ndarray, side: np.
         eq.append(same[keep])
     us, vs, eq = np.concatenate(us), np.concatenate(vs), np.concatenate(eq)
     if forest and len(us):
-        parts = Parts(roots)
-        best = [k for k in np.argsort(-eq, kind="stable").tolist() if parts.join(us[k], vs[k])]
+        _, part = np.unique(roots, return_inverse=True)
+        up = list(range(len(nodes)))
+
+        def find(p: int) -> int:
+            while up[p] != p:
+                up[p] = up[up[p]]
+                p = up[p]
+            return p
+
+        best = []
+        for k in np.lexsort((vs, us, -np.minimum(eq, sure))).tolist():
+            a, b = find(int(part[us[k]])), find(int(part[vs[k]]))
+            if a != b:
+                up[max(a, b)] = min(a, b)
+                best.append(k)
         us, vs = us[best], vs[best]
-    return ids[us], ids[vs]
+    return nodes[us], nodes[vs]
 
 
-def proposals(pdf: pd.DataFrame, keys: list[str], need: float, forest: bool) -> pd.DataFrame:
-    """Candidates (u, root, vs: the partners with larger ids) from many blocks; rows: keys of the block, id, root, signature, side."""
-    pdf = pdf.sort_values([*keys, "id"], ignore_index=True)
-    ids, roots, side = pdf["id"].to_numpy(), pdf["root"].to_numpy(), pdf["side"].to_numpy()
+def proposals(pdf: pd.DataFrame, keys: list[str], percent: int, forest: bool) -> pd.DataFrame:
+    """Candidate pairs u < v from many blocks; rows: keys of the block, node, root, signature, side."""
+    pdf = pdf.sort_values([*keys, "node"], ignore_index=True)
+    nodes, roots, side = pdf["node"].to_numpy(), pdf["root"].to_numpy(), pdf["side"].to_numpy()
     sig = np.frombuffer(b"".join(pdf["signature"]), np.uint8).reshape(len(pdf), -1)
-    least = int(np.ceil(need * sig.shape[1] - 1e-9)) if len(pdf) else 0
+    size = BANDS * ROWS
+    least, sure = math.ceil(agreement(percent / 100, -DEVIATIONS) * size - 1e-9), math.ceil(agreement(percent / 100, 3) * size)
     fresh = (pdf[keys] != pdf[keys].shift()).any(axis=1).to_numpy()
     starts = np.append(np.flatnonzero(fresh), len(pdf))
-    found = [links_between(ids[a:b], roots[a:b], sig[a:b], side[a:b], least, forest) for a, b in zip(starts[:-1], starts[1:], strict=True) if b - a > 1]
+    found = [links_between(nodes[a:b], roots[a:b], sig[a:b], side[a:b], least, sure, forest) for a, b in zip(starts[:-1], starts[1:], strict=True) if b - a > 1]
     if not found:
-        return pd.DataFrame({"u": [], "root": [], "vs": []})
+        return pd.DataFrame({"u": [], "v": []})
     pairs = np.unique(np.stack([np.concatenate([u for u, _ in found]), np.concatenate([v for _, v in found])]), axis=1)
-    own, at = np.unique(pairs[0], return_index=True)
-    root = dict(zip(ids.tolist(), roots.tolist(), strict=True))
-    return pd.DataFrame({"u": own, "root": [root[u] for u in own.tolist()], "vs": np.split(pairs[1], at[1:])})
+    return pd.DataFrame({"u": pairs[0], "v": pairs[1]})
 
 
-def by_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of docs with an id in ids: by broadcast up to BROADCAST_IDS ids, by a shuffled join beyond."""
-    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc_id", "left_semi")
+def in_bins(rows: DataFrame, n: int, keys: list[str], percent: int, forest: bool) -> DataFrame:
+    """The distinct proposals of all blocks of n rows, thousands of rows of small blocks to a call."""
+    grouped = rows.withColumn("bin", F.pmod(F.xxhash64(*keys), F.lit(max(1, -(-n // ROWS_PER_BIN))))).groupBy("bin")
+    return grouped.applyInPandas(lambda pdf: proposals(pdf, keys, percent, forest), "u long, v long").distinct()
 
 
-def confirmed(candidates: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (u, v) among candidates (u, root, vs) whose full shingle sets have 100 * intersection >= percent * union.
+def proposed(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Forests of the buckets (band, node, n), a large bucket dealt over blocks."""
+    rows = buckets.join(classes.select("node", "signature"), "node")
+    block = F.pmod(F.xxhash64("node", "band"), F.ceil(F.col("n") / BLOCK))
+    rows = rows.select("band", block.alias("block"), "node", F.col("node").alias("root"), "signature", F.lit(0).alias("side"))
+    return in_bins(rows, buckets.count(), ["band", "block"], percent, True)
 
-    Candidates of one component go to the same bins (a large component to several), and their partners' sets in chunks to each bin, so
-    a set travels once for a bin and not once for a pair. In a bin, a pair that confirmed links already connect needs no test.
-    """
-    lists = candidates.groupBy("u", "root").agg(F.array_distinct(F.flatten(F.collect_list("vs"))).alias("vs"))
-    lists = staged(lists, "candidates")
-    bins = max(1, -(-lists.count() // BIN))
-    parts = lists.groupBy("root").agg(F.ceil(F.count("*") / BIN).alias("parts"))
-    dealt = lists.join(parts, "root").select("u", "vs", F.pmod(F.xxhash64("root", F.pmod(F.xxhash64("u"), F.col("parts"))), F.lit(bins)).alias("bin"))
-
-    def chunked(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Long bins in chunks of partners, so that no task holds more than CHUNK partners' sets."""
-        partners = np.unique(np.concatenate(pdf["vs"].tolist()))
-        n = -(-len(partners) // CHUNK)
-        out = [(pdf["bin"].iat[0], c, u, own) for u, vs in zip(pdf["u"], pdf["vs"], strict=True) for c in range(n) if len(own := np.asarray(vs)[np.asarray(vs) % n == c])]
-        return pd.DataFrame(out, columns=["bin", "chunk", "u", "vs"])
-
-    def needed(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"bin": pdf["bin"].iat[0], "chunk": pdf["chunk"].iat[0], "id": np.unique(np.concatenate([pdf["u"].to_numpy(), *pdf["vs"]]))})
-
-    def full(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = Hashes()
-        for pdf in batches:
-            yield pd.DataFrame({"id": pdf["doc_id"], "shingles": [shingle_set(t, hashes, k).tobytes() for t in pdf["text"]]})
 
-    def linked(pdf: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        sets: dict[int, list[np.ndarray]] = {}
-        for i, raw in zip(held["id"], held["shingles"], strict=True):
-            sets.setdefault(i, []).append(np.frombuffer(raw, np.uint64))
-        names = np.array(sorted(sets))
-        place = {i: n for n, i in enumerate(names.tolist())}
-        joined, out = Parts(names), []
-        for u, vs in zip(pdf["u"], pdf["vs"], strict=True):
-            for v in vs:
-                if u in place and v in place and joined.find(place[u]) != joined.find(place[v]) and any(similar(a, b, percent) for a in sets[u] for b in sets[v]):
-                    joined.join(place[u], place[v])
-                    out.append((u, v))
-        return pd.DataFrame(out, columns=["u", "v"])
-
-    dealt = staged(dealt.groupBy("bin").applyInPandas(chunked, "bin long, chunk long, u long, vs array<long>"), "bins")
-    want = staged(dealt.groupBy("bin", "chunk").applyInPandas(needed, "bin long, chunk long, id long"), "wanted")
-    sets = by_ids(docs.select("doc_id", "text"), want.select(F.col("id").alias("doc_id")).distinct()).mapInPandas(full, "id long, shingles binary")
-    held = want.join(sets, "id")
-    links = dealt.groupBy("bin", "chunk").cogroup(held.groupBy("bin", "chunk")).applyInPandas(linked, "u long, v long")
-    return staged(links, "links")
+def remaining(buckets: DataFrame, classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """The pairs of different components in a bucket that set sizes and signatures allow, found in pairs of blocks.
+
+    A block holds classes of like set size; a large component has blocks of its own, small ones share blocks. Pairs of blocks within one
+    component, and of sizes that are too far apart for the similarity, fall away. What is left is compared at once.
+    """
+    rooted = buckets.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    several = rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
+    # Sizes of a link differ by less than a step and a bit, so their steps by one at most.
+    step = F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(100 / percent * 1.01)).cast("int")
+    rows = rooted.join(several, "band").join(classes.select("node", step.alias("step"), "signature"), "node")
+    rows = staged(rows, "mixed-buckets")
+    parts = rows.groupBy("band", "step", "root").agg(F.count("*").alias("own"))
+    shared = parts.where(F.col("own") <= BLOCK // 2).groupBy("band", "step").agg(F.sum("own").alias("small"))
+    sized = parts.join(shared, ["band", "step"], "left")
+    large = F.col("own") > BLOCK // 2
+    sized = sized.select("band", "step", "root", F.when(large, F.ceil(F.col("own") / BLOCK)).otherwise(F.ceil(F.col("small") / BLOCK)).alias("pieces"), F.when(large, F.col("root")).alias("only"))
+    piece = F.pmod(F.when(F.col("only").isNotNull(), F.xxhash64("node")).otherwise(F.xxhash64("root")), F.col("pieces"))
+    rows = staged(rows.join(sized, ["band", "step", "root"]).withColumn("piece", piece).drop("pieces"), "mixed-blocks")
+    held = rows.select("band", F.struct("step", F.coalesce("only", F.lit(-1)).alias("only"), "piece").alias("own"), "node", "root", "signature")
+    left = held.groupBy("band", F.col("own").alias("p")).agg(F.count("*").alias("p_rows"))
+    right = left.select("band", F.col("p").alias("q"), F.col("p_rows").alias("q_rows"))
+    tasks = left.join(right, "band").where("p <= q and q.step - p.step <= 1 and (p.only < 0 or p.only <> q.only)")
+    one = F.struct(F.col("p").alias("own"), F.lit(0).alias("side"), F.col("p_rows").alias("rows"))
+    two = F.struct(F.col("q").alias("own"), F.when(F.col("p") == F.col("q"), 0).otherwise(1).alias("side"), F.col("q_rows").alias("rows"))
+    tasks = staged(tasks.select("band", F.xxhash64("p", "q").alias("task"), F.inline(F.array_distinct(F.array(one, two)))), "block-pairs")
+    dealt = tasks.join(held, ["band", "own"]).select("band", "task", "node", "root", "signature", "side")
+    return in_bins(dealt, tasks.agg(F.sum("rows")).first()[0] or 0, ["band", "task"], percent, False)
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -216,99 +202,115 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common)
 
 
-def with_roots(classes: DataFrame, roots: DataFrame | None) -> DataFrame:
-    if roots is None:
-        return classes.withColumn("root", F.col("id"))
-    return classes.join(roots, classes["id"] == roots["node"], "left").withColumn("root", F.coalesce("root", "id")).drop("node")
-
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The pairs (u, v) whose full shingle sets have 100 * intersection >= percent * union.
 
-def mixed_buckets(buckets: DataFrame) -> DataFrame:
-    """(band, n) of the buckets that hold more than one component."""
-    return buckets.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band", "n")
-
-
-def in_bins(rows: DataFrame, keys: list[str], need: float, forest: bool) -> DataFrame:
-    """Proposals of all blocks, thousands of rows of small blocks to a call."""
-    bins = max(1, -(-rows.count() // ROWS_PER_BIN))
-    grouped = rows.withColumn("bin", F.pmod(F.xxhash64(*keys), F.lit(bins))).groupBy("bin")
-    return grouped.applyInPandas(lambda pdf: proposals(pdf, keys, need, forest), "u long, root long, vs array<long>")
+    Pairs are dealt over bins by a hash, as many as the sets' bytes ask for, so no class makes a bin large; a set travels once to a bin.
+    """
+    ends = F.explode(F.array("u", "v")).alias("node")
+    wanted = staged(pairs.select(ends).distinct().join(classes.select("node", "digest", "least.*", "n_shingles"), "node"), "wanted")
+    n, size = wanted.agg(F.count("*"), F.sum("n_shingles")).first()
+    per_set = 8 * (size or 0) / max(1, n)
+    bins = max(1, math.ceil(2 * pairs.count() * per_set / SET_BYTES))
+
+    @F.pandas_udf("digest binary, shingles binary")
+    def full(texts: pd.Series) -> pd.DataFrame:
+        hashes = Hashes()
+        sets = [shingle_set(t, hashes, k) for t in texts]
+        return pd.DataFrame({"digest": [digest(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
 
+    def linked(pdf: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        sets = {i: np.frombuffer(raw, np.uint64) for i, raw in zip(held["node"], held["shingles"], strict=True)}
+        fits = [u in sets and v in sets and similar(sets[u], sets[v], percent) for u, v in zip(pdf["u"], pdf["v"], strict=True)]
+        return pdf.loc[np.array(fits, bool), ["u", "v"]]
 
-def proposed(buckets: DataFrame, need: float) -> DataFrame:
-    """Forests of the buckets (band, id, root, signature), a large bucket dealt over blocks."""
-    rows = buckets.join(mixed_buckets(buckets), "band").withColumn("block", F.pmod(F.xxhash64("id", "band"), F.ceil(F.col("n") / BLOCK)))
-    rows = rows.select("band", "block", "id", "root", "signature", F.lit(0).alias("side"))
-    return in_bins(rows, ["band", "block"], need, True)
+    asked = wanted.select("node", "digest", "doc_id", "own")
+    texts = docs.select("doc_id", text_key(F.col("text")).alias("own"), "text").join(F.broadcast(asked) if n <= BROADCAST_IDS else asked, ["doc_id", "own"])
+    # A text may have several rows.
+    sets = texts.select("node", "digest", full.asNondeterministic()("text").alias("s")).where("digest = s.digest").groupBy("node").agg(F.first("s.shingles").alias("shingles"))
+    dealt = pairs.select(F.pmod(F.xxhash64("u", "v"), F.lit(bins)).alias("bin"), "u", "v")
+    held = dealt.select(F.col("bin").alias("for_bin"), ends).distinct().join(sets, "node")
+    return staged(dealt.groupBy("bin").cogroup(held.groupBy("for_bin")).applyInPandas(linked, "u long, v long"), "links")
 
 
-def remaining(buckets: DataFrame, need: float) -> DataFrame:
-    """Every pair of different components in a bucket that the signatures allow. Rows are dealt over blocks by their component, so
-    that pairs of blocks within one component fall away; a pair of blocks is compared at once."""
-    rows = buckets.join(mixed_buckets(buckets), "band")
-    parts = rows.groupBy("band", "root").agg(F.count("*").alias("own"))
-    # Large components have blocks of their own, small ones share blocks.
-    large = F.col("own") > BLOCK // 2
-    rows = rows.join(parts, ["band", "root"])
-    piece = F.when(large, F.concat_ws(":", F.col("root"), F.pmod(F.xxhash64("id"), F.ceil(F.col("own") / BLOCK)))).otherwise(F.concat_ws(":", F.lit("s"), F.pmod(F.xxhash64("root"), F.ceil(F.col("n") / BLOCK))))
-    rows = rows.withColumn("piece", piece).withColumn("only", F.when(large, F.col("root")))
-    blocks = rows.groupBy("band", "piece").agg(F.first("only").alias("only"))
-    left, right = blocks.select("band", F.col("piece").alias("p"), F.col("only").alias("po")), blocks.select("band", F.col("piece").alias("q"), F.col("only").alias("qo"))
-    tasks = left.join(right, "band").where("p <= q").where("po is null or qo is null or po <> qo")
-    sides = F.array_distinct(F.array(F.struct(F.col("p").alias("piece"), F.lit(0).alias("side")), F.struct(F.col("q").alias("piece"), F.when(F.col("p") == F.col("q"), 0).otherwise(1).alias("side"))))
-    tasks = tasks.select("band", "p", "q", F.inline(sides))
-    dealt = tasks.join(rows.select("band", "piece", "id", "root", "signature"), ["band", "piece"]).select("band", "p", "q", "id", "root", "signature", "side")
-    return in_bins(dealt, ["band", "p", "q"], need, False)
-
-
-def near_duplicates(docs: DataFrame, k: int = 5, percent: int = PERCENT) -> DataFrame:
+def rows_with_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """(doc_id, own, n_shingles, part, component_id): one row for each row of docs; part names the component, null without words or id."""
+    sk = staged(sketches(docs, k), "sketches")
+    named = sk.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
+    classes = named.groupBy("digest").agg(F.min(F.struct("doc_id", "own")).alias("least"), F.first(F.struct("n_shingles", "bands", "signature")).alias("s"))
+    # Numbers are fixed once the table is written; doc_ids would not do, as one may have several texts.
+    classes = staged(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "least", "s.*"), "classes")
+    keyed = classes.select("node", F.explode("bands").alias("band"))
+    full = keyed.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    buckets = staged(keyed.join(full, "band"), "buckets")
+    links = confirmed(staged(proposed(buckets, classes, percent), "candidates"), classes, docs, k, percent)
+    roots = staged(components(links), "roots")
+    rest = staged(remaining(buckets, classes, roots, percent), "candidates")
+    if not rest.isEmpty():
+        more = confirmed(rest, classes, docs, k, percent)
+        roots = staged(components(more.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))), "roots")
+    # Only now the least doc_id of each component.
+    placed = classes.select("node", "digest", F.col("least.doc_id").alias("id")).join(roots, "node", "left")
+    least = placed.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("id").alias("component_id"))
+    found = placed.join(least, "root", "left").select("digest", F.coalesce("root", "node").alias("part"), F.coalesce("component_id", "id").alias("component_id"))
+    out = sk.select("doc_id", "own", "n_shingles", "digest").join(staged(found, "class-components"), "digest", "left")
+    has_id = F.col("doc_id").isNotNull()
+    return out.select("doc_id", "own", "n_shingles", F.when(has_id, F.col("part")).alias("part"), F.when(has_id, F.coalesce("component_id", "doc_id")).alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame, k: int = 4, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of docs (doc_id, text).
 
     A-Z are lower-cased, words are runs without ASCII white space. Null, empty and blank texts have an empty set and are linked with
     nothing; fewer than k words are one shingle. component_id is the least doc_id that links reach; kept tells whether it is the
-    row's own. Rows with equal sets are always one component. A null doc_id has a null component, takes no part and is kept. Where
-    rows with one doc_id have different texts, each row belongs where its own text does.
+    row's own. Rows with equal sets, repeated ones too, are always one component. A null doc_id has a null component, takes no part
+    and is kept. Where rows with one doc_id have different texts, each row belongs where its own text does. Texts may be of any
+    length; ties of similarity at the threshold are links. An empty table gives no rows; further columns of docs are not read.
     """
-    need = agreement_needed(percent)
-    sk = staged(sketches(docs, k), "sketches")
-    named = sk.where(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
-    members = staged(named.groupBy("digest").agg(F.min("doc_id").alias("id")), "classes")
-    classes = named.join(members.select("digest", F.col("id").alias("doc_id")), ["digest", "doc_id"]).select(F.col("doc_id").alias("id"), "bands", "signature").dropDuplicates(["id"])
-    keyed = classes.select("id", F.explode("bands").alias("band"))
-    full = keyed.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    keyed = staged(keyed.join(full, "band").select("id", "band"), "buckets")
-    signed = staged(classes.select("id", "signature").join(keyed.select("id").distinct(), "id"), "signed")
-
-    def buckets(roots: DataFrame | None, some: int) -> DataFrame:
-        chosen = keyed.where(F.pmod("band", F.lit(BANDS)) < some) if some < BANDS else keyed
-        return chosen.join(with_roots(signed, roots), "id")
-
-    links, roots = None, None
-    # First a quarter of the buckets (most links of near copies show there), then all, then what is left, pair by pair.
-    for some, exhaustive in ((BANDS // 4, False), (BANDS, False), (BANDS, True)):
-        got = confirmed((remaining if exhaustive else proposed)(buckets(roots, some), need), docs, k, percent)
-        if links is not None and got.isEmpty():
-            continue
-        links = got if links is None else links.unionByName(got)
-        roots = staged(components(links), "roots")
-    component = members.join(roots, members["id"] == roots["node"], "left").select("digest", F.coalesce("root", "id").alias("component_id"))
-    out = sk.select("doc_id", "n_shingles", "digest").join(component, "digest", "left")
-    component_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    out = out.select("doc_id", "n_shingles", component_id.alias("component_id"))
+    out = rows_with_components(docs, k, percent).drop("own", "part")
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(read(spark, sf_dir, "documents"), k=4)
-
-
-def drop_near_duplicates(docs: DataFrame, **options: int) -> DataFrame:
-    """docs with its own columns and one document of each component: the one with the least doc_id. Of repeated rows one stays."""
-    found = staged(near_duplicates(docs, **options), "near-duplicates")
-    gone = staged(found.where("not kept").select("doc_id").distinct(), "dropped")
-    kept = docs.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "doc_id", "left_anti")
-    again = staged(found.where("kept and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    n = again.count()
-    if not n:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def drop_near_duplicates(docs: DataFrame, k: int = 4, percent: int = PERCENT) -> DataFrame:
+    """docs with its own columns and one row of each component: of the rows with its least doc_id the one with the least hash of its
+    text, so that reruns agree. Rows without a doc_id, and texts without words under an id of their own, all stay."""
+    found = staged(rows_with_components(docs, k, percent).where(F.col("part").isNotNull()).select(F.col("doc_id").alias("d_id"), F.col("own").alias("d_own"), "part"), "near-duplicates")
+    groups = found.groupBy("part").agg(F.count("*").alias("n"), F.min(F.struct("d_id", "d_own")).alias("best")).where("n > 1")
+    rows = staged(found.join(groups, "part").groupBy("d_id", "d_own", "best").count(), "grouped")
+    gone = rows.where("d_id <> best.d_id or d_own <> best.d_own").select("d_id", "d_own")
+    twice = rows.where("d_id = best.d_id and d_own = best.d_own and count > 1").select("d_id", "d_own")
+    send = lambda keys: F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
+    here = (F.col("doc_id") == F.col("d_id")) & (text_key(F.col("text")) == F.col("d_own"))
+    kept = docs.join(send(gone), here, "left_anti")
+    if twice.isEmpty():
         return kept
-    send = F.broadcast(again) if n <= BROADCAST_IDS else again
-    return kept.join(send, "doc_id", "left_anti").unionByName(kept.join(send, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    twice = send(twice)
+    return kept.join(twice, here, "left_anti").unionByName(kept.join(twice, here, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
+SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), each AS (
+  SELECT doc_id, unnest(w) AS w0, generate_subscripts(w, 1) AS i, len(w) AS n FROM t
+), shingled AS (
+  SELECT doc_id, n, w0 || ' ' || lead(w0, 1) OVER o || ' ' || lead(w0, 2) OVER o || ' ' || lead(w0, 3) OVER o AS s FROM each WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+), s AS MATERIALIZED (
+  SELECT DISTINCT doc_id, s FROM shingled WHERE s IS NOT NULL UNION SELECT doc_id, array_to_string(w, ' ') FROM t WHERE len(w) BETWEEN 1 AND 3
+), sizes AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), pairs AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS common FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS MATERIALIZED (
+  SELECT u, v FROM pairs JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * common >= 80 * (x.n + y.n - common)
+), edges AS MATERIALIZED (
+  SELECT u, v FROM links UNION SELECT v, u FROM links
+), reach(node, least) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT v, least FROM reach JOIN edges ON u = node
+)
+SELECT node AS doc_id, coalesce(n, 0)::BIGINT AS n_shingles, min(least) AS component_id, node = min(least) AS kept FROM reach LEFT JOIN sizes ON doc_id = node GROUP BY node, n
+"""
