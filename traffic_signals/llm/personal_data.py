@@ -6,19 +6,23 @@ away: for an entity e and a word t, p(e | t) = (documents with t and e) / (docum
     disclosure = PMI(e, t) / IC(e) = 1 + ln p(e | t) / -ln p(e)
 
 is 1 for a word that only ever stands in documents of the entity and about 0 for one that is independent of it. In the documents
-that mention the entity every occurrence of a word is removed if its score is REMOVE or more, and replaced by a placeholder if it
-is GENERALISE or more.
+that mention the entity every occurrence of a word is removed if its score is REMOVE or more, and generalised if it is GENERALISE or
+more: to the longest beginning of it that some word of so many documents shares that the class of all words with this beginning can't
+disclose the entity, such as `[zeb*]`, or to `[TERM]` if there is none.
 
 Most values are rare, so evidence is pooled: an entity is a value, and also each group it belongs to (an email's domain and name, the
 front of a number). A kind as a whole is none, as the placeholder names it anyway. Estimates from n different texts are smoothed,
 p(e | t) ** w * p(e) ** (1 - w) with w = n / (n + PRIOR), which multiplies the disclosure by w: a word's only text, or copies of it,
 prove little, whatever the size of the corpus.
 
-All counts cover the whole corpus and whole documents; a word counts where it stands outside of the mentions.
+All counts cover the whole corpus and whole documents; a word counts where it stands outside of the mentions. Positions are worked out
+in folds whose cost grows with the text, not with the text times its spans. Only documents with a mention take part in joins.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +31,8 @@ from .common import read, staged
 PRIOR = 0.75  # texts that the prior counts for
 REMOVE, GENERALISE = 0.9, 0.8
 TERM = r"\p{L}{3,}"
+PREFIX = 3, 12  # letters of a beginning that a word is generalised to
+PIECE = 256  # code points of the pieces that texts are cut from
 
 # The patterns of the contract. Look-behinds let a match start only at the start of a run of its first class (or right after the
 # match before), which finds the same matches without trying every start in a long run; possessive repeats can't give back
@@ -38,35 +44,80 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term")
 
 
+def bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once: what stands in the lambda of an array function is computed for each element."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def running(items: Column, start: Column, step: Callable[[Column, Column], tuple[Column, Column]], kind: str) -> Column:
+    """array<kind> of what a fold gives for each item; step(state, item) is (next state, output).
+
+    Outputs are gathered in blocks of 64, so an array isn't copied for each of very many items.
+    """
+    none = F.array().cast(f"array<{kind}>")
+    numbers = lambda xs: F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / 64).cast("int"))
+    blocks = bound(items, lambda xs: F.transform(numbers(xs), lambda i: F.slice(xs, i * 64 + 1, 64)))
+
+    def one(acc: Column, x: Column) -> Column:
+        state, out = step(acc.state, x)
+        return F.struct(state.alias("state"), F.concat(acc.out, F.array(out)).alias("out"))
+
+    def block(acc: Column, b: Column) -> Column:
+        done = F.aggregate(b, F.struct(acc.state.alias("state"), none.alias("out")), one)
+        return F.struct(done.state.alias("state"), F.concat(acc.out, F.array(done.out)).alias("out"))
+
+    walked = F.aggregate(blocks, F.struct(start.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("out")), block)
+    return F.flatten(walked.out)
+
+
 def matches(text: Column, pattern: str) -> Column:
     """array<struct<start, end, m>> of the leftmost non-overlapping matches, in code points, ends exclusive.
 
-    The pieces between the matches and the matches themselves, in turn, make up the text; running sums of their lengths are taken
-    over blocks of 64, so a text with very many matches does not copy an array for each.
+    The pieces between the matches and the matches themselves, in turn, make up the text, so running sums of their lengths are places.
     """
-    p = F.lit(pattern)
-    found = F.regexp_extract_all(text, p, F.lit(0))
+    kind = "struct<start:int,end:int,m:string>"
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern, -1), lambda g: F.length(g))
     both = F.transform(F.arrays_zip(gaps.alias("g"), found.alias("m")), lambda x: F.struct(x.g.alias("g"), F.length(x.m).alias("n"), x.m.alias("m")))
     both = F.filter(both, lambda x: x.m.isNotNull())
-    chunks = F.transform(F.sequence(F.lit(0), F.floor((F.size(found) - 1) / 64).cast("int")), lambda i: F.slice(both, i * 64 + 1, 64))
-    empty = F.array().cast("array<struct<start:int,end:int,m:string>>")
 
-    def run(acc: Column, x: Column) -> Column:
-        start = acc.at + x.g
-        return F.struct((start + x.n).alias("at"), F.concat(acc.out, F.array(F.struct(start.alias("start"), (start + x.n).alias("end"), x.m.alias("m")))).alias("out"))
+    def step(at: Column, x: Column) -> tuple[Column, Column]:
+        end = at + x.g + x.n
+        return end, F.struct((at + x.g).alias("start"), end.alias("end"), x.m.alias("m"))
+
+    return F.when(text.rlike(pattern), running(both, F.lit(0), step, kind)).otherwise(F.array().cast(f"array<{kind}>"))
+
+
+def pieces_of(text: Column) -> Column:
+    """The text in pieces of PIECE code points."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def cut(pieces: Column, start: Column, end: Column) -> Column:
+    """The text from start to end, read from the pieces that hold it alone."""
+    first = F.floor(start / PIECE).cast("int")
+    near = F.array_join(F.slice(pieces, first + 1, F.floor((end - 1) / PIECE).cast("int") - first + 1), "")
+    return F.when(end > start, F.substring(near, start - first * PIECE + 1, end - start)).otherwise(F.lit(""))
 
-    def chunk(acc: Column, c: Column) -> Column:
-        done = F.aggregate(c, F.struct(acc.at.alias("at"), empty.alias("out")), run)
-        return F.struct(done.at.alias("at"), F.concat(acc.out, F.array(done.out)).alias("out"))
 
-    walked = F.aggregate(chunks, F.struct(F.lit(0).alias("at"), F.array().cast("array<array<struct<start:int,end:int,m:string>>>").alias("out")), chunk)
-    return F.when(text.rlike(pattern), F.flatten(walked.out)).otherwise(empty)
+def edited(pieces: Column, length: Column, edits: Column, by: Callable[[Column], Column]) -> Column:
+    """The text after edits (start, end, ...), by start: spans are replaced by by(edit), which also knows at (the end of all before) and
+    fresh. Where spans overlap, the one that starts first stands for all, and the text under the others goes."""
+    kind = "struct<at:int,start:int,fresh:boolean,pad:int,by:string>"
+
+    def step(at: Column, e: Column) -> tuple[Column, Column]:
+        pad = F.greatest(F.lit(0), e.end - F.greatest(at, e.start))
+        return F.greatest(at, e.end), F.struct(at.alias("at"), e.start.alias("start"), (e.start >= at).alias("fresh"), pad.alias("pad"), e.by.alias("by"))
+
+    walked = running(edits, F.lit(0), step, kind)
+    parts = F.transform(walked, lambda w: F.concat(cut(pieces, w.at, w.start), by(w)))
+    return F.concat(F.array_join(parts, ""), cut(pieces, F.array_max(F.transform(edits, lambda e: e.end)), length))
 
 
 def luhn(digits: Column) -> Column:
     """Whether a string of at most 19 digits passes Luhn's check."""
-    each = F.transform(F.sequence(F.lit(1), F.length(digits)), lambda i: F.reverse(digits).substr(i, F.lit(1)).cast("int") * F.when(i % 2 == 0, 2).otherwise(1))
+    back = lambda d: F.transform(F.sequence(F.lit(1), F.length(d)), lambda i: d.substr(i, F.lit(1)).cast("int") * F.when(i % 2 == 0, 2).otherwise(1))
+    each = bound(F.reverse(digits), back)
     return F.aggregate(each, F.lit(0), lambda s, v: s + F.when(v > 9, v - 9).otherwise(v)) % 10 == 0
 
 
@@ -98,11 +149,6 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*every))
 
 
-def with_base(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, base) with a null text as an empty one."""
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("base", base_spans(F.col("text")))
-
-
 def entities_of(kind: Column, m: Column) -> Column:
     """The value of a mention and the groups that it belongs to; a group is marked by a star."""
     digits, low = only_digits(m), F.lower(m)
@@ -119,99 +165,116 @@ def terms_of(text: Column) -> Column:
     return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
 
 
-def outside(text: Column, base: Column) -> Column:
-    """What of a text no mention covers."""
+def blanked(pieces: Column, length: Column, base: Column) -> Column:
+    """The text with line ends in place of the mentions, so that words outside of them keep their places."""
+    edits = F.transform(base, lambda b: F.struct(b.start.alias("start"), b.end.alias("end"), F.lit("").alias("by")))
+    return edited(pieces, length, edits, lambda w: F.repeat(F.lit("\n"), w.pad))
 
-    def cut(acc: Column, s: Column) -> Column:
-        return F.struct(F.greatest(acc.at, s.end).alias("at"), F.concat(acc.out, F.array(text.substr(acc.at + 1, s.start - acc.at))).alias("out"))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    return F.aggregate(base, start, cut, lambda a: F.concat(F.array_join(a.out, "\n"), F.lit("\n"), text.substr(a.at + 1, F.length(text))))
+def disclosing(hits: DataFrame, docs: DataFrame, total: int, prior: float, remove: float, generalise: float) -> DataFrame:
+    """(unit, marks): for different texts with mentions, the words in them that give an entity of theirs away, as
+    map<word, struct<remove, by>>.
 
-
-def disclosing(found: DataFrame, docs: DataFrame, prior: float, remove: float, generalise: float) -> DataFrame:
-    """(key, terms): the occurrences of words that give an entity of their document away, as array<struct<start, end, remove>>.
-
-    found: (key, base, text) of the documents with a mention; docs: all documents.
+    hits: (unit, base, text, blank) of the documents with a mention; docs: all documents.
     """
-    total = docs.count()
     trust = F.col("texts") / (F.col("texts") + prior)  # a bound of the score: no entity or word below the threshold can be in a pair above
-    seen = found.select("key", F.array_distinct(F.flatten(F.transform("base", lambda s: entities_of(s.kind, s.m)))).alias("entities"), terms_of(outside(F.col("text"), F.col("base"))).alias("terms"), terms_of(F.col("text")).alias("all"), F.xxhash64("text").alias("unit"))
     # Equal texts are one piece of evidence, named by 64 bits.
-    seen = staged(seen.select("key", "entities", "terms", F.array_except("all", "terms").alias("inside"), "unit"), "mention-terms")
-    owned = seen.select("key", "unit", F.explode("entities").alias("entity"))
-    entities = owned.groupBy("entity").agg(F.count("*").alias("n_entity"), F.count_distinct("unit").alias("texts")).where((trust >= generalise) & (F.col("n_entity") < total))
+    first = lambda c, name: F.first(c).alias(name)
+    entities = F.array_distinct(F.flatten(F.transform("base", lambda s: entities_of(s.kind, s.m))))
+    units = hits.groupBy("unit").agg(F.count("*").alias("copies"), first("base", "base"), first("text", "text"), first("blank", "blank"))
+    units = units.select("unit", "copies", entities.alias("entities"), terms_of(F.col("blank")).alias("terms"), F.array_except(terms_of(F.col("text")), terms_of(F.col("blank"))).alias("inside"))
+    units = staged(units, "mention-texts")
+    # Entities that stand in the same texts are one class to words, and so are words to entities: a long list of values and names costs
+    # one pair, not each with each.
+    same = lambda name: (F.bit_xor(F.xxhash64("unit")).alias(f"{name}1"), F.bit_xor(F.xxhash64("unit", F.lit(name))).alias(f"{name}2"))
+    owned = units.select("unit", "copies", F.explode("entities").alias("entity"))
+    named = owned.groupBy("entity").agg(F.sum("copies").alias("n_entity"), F.count("*").alias("texts"), *same("e")).where((trust >= generalise) & (F.col("n_entity") < total)).drop("texts")
     # n_both is n_entity at most, so no word in more documents than this can reach the threshold with the entity.
-    entities = entities.withColumn("most", F.col("n_entity") * F.pow(F.lit(total) / F.col("n_entity"), F.lit(1 - generalise)) * (1 + 1e-9))
-    owners = staged(owned.join(entities, "entity").groupBy("unit", "entity", "n_entity", "most").agg(F.count("*").alias("copies")), "entity-texts")
+    named = named.withColumn("most", F.col("n_entity") * F.pow(F.lit(total) / F.col("n_entity"), F.lit(1 - generalise)) * (1 + 1e-9))
+    owners = staged(owned.join(named, "entity").drop("entity").distinct(), "entity-texts")
     most = owners.agg(F.max("most")).first()[0] or 0.0
-    held = seen.join(owners.select("unit").distinct(), "unit", "left_semi").select("unit", F.explode("terms").alias("term")).distinct()
+    held = units.join(owners.select("unit").distinct(), "unit", "left_semi").select("unit", F.explode("terms").alias("term"))
     # Document frequencies of all words, less the documents where a word stands in mentions alone.
-    words = docs.select(F.explode(terms_of(F.col("text"))).alias("term"), F.lit(1).alias("n")).unionByName(seen.select(F.explode("inside").alias("term"), F.lit(-1).alias("n")))
-    words = words.groupBy("term").agg(F.sum("n").alias("n_term")).where(F.col("n_term") <= most)
-    usable = held.groupBy("term").agg(F.count("*").alias("texts")).where(trust >= generalise).join(words, "term").select("term", "n_term")
-    pairs = held.join(usable, "term").join(owners, "unit").where(F.col("n_term") <= F.col("most"))
-    pairs = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_both"), F.count("*").alias("texts"), F.min("n_term").alias("n_term"), F.min("n_entity").alias("n_entity"))
-    pairs = pairs.where(trust >= generalise)
+    words = docs.select(F.explode(terms_of(F.coalesce("text", F.lit("")))).alias("term"), F.lit(1).alias("n")).unionByName(units.select(F.explode("inside").alias("term"), (-F.col("copies")).alias("n")))
+    words = staged(words.groupBy("term").agg(F.sum("n").alias("n_term")), "word-counts")
+    usable = held.groupBy("term").agg(F.count("*").alias("texts"), *same("t")).where(trust >= generalise).drop("texts").join(words.where(F.col("n_term") <= most), "term")
+    held = staged(held.join(usable, "term"), "words-near-mentions")
+    pairs = held.groupBy("unit", "t1", "t2").agg(F.min("n_term").alias("rarest")).join(owners, "unit").where(F.col("rarest") <= F.col("most"))
+    pairs = pairs.groupBy("e1", "e2", "t1", "t2").agg(F.sum("copies").alias("n_both"), F.count("*").alias("texts"), F.min("n_entity").alias("n_entity"), F.min("most").alias("most")).where(trust >= generalise)
     given = F.least(F.lit(1.0), F.col("n_both") / F.col("n_term"))
-    scored = pairs.withColumn("score", trust * (1 + F.log(given) / -F.log(F.col("n_entity") / F.lit(total))))
-    scored = staged(scored.where(F.col("score") >= generalise).select("entity", "term", "score"), "disclosing-terms")
-    marks = owned.join(scored, "entity").groupBy("key", "term").agg(F.max("score").alias("score"))
-    marks = marks.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("term", "score"))).alias("marks"))
-    free = lambda w: F.map_contains_key("marks", F.lower(w.m)) & ~F.exists("base", lambda b: (w.start < b.end) & (w.end > b.start))
-    spans = F.transform(F.filter(matches(F.col("text"), TERM), free), lambda w: F.struct(w.start.alias("start"), w.end.alias("end"), (F.element_at("marks", F.lower(w.m)) >= remove).alias("remove")))
-    return found.join(marks, "key").dropDuplicates(["key"]).select("key", spans.alias("terms"))
+    scored = pairs.join(held.select("t1", "t2", "term", "n_term").distinct(), ["t1", "t2"]).withColumn("score", trust * (1 + F.log(given) / -F.log(F.col("n_entity") / F.lit(total))))
+    scored = staged(scored.where(F.col("score") >= generalise).select("e1", "e2", "term", "score", "most"), "disclosing-terms")
+    known = scored.join(kept_letters(scored.where(F.col("score") < remove), words), ["e1", "e2", "term"], "left")
+    known = known.select("e1", "e2", "term", "score", F.coalesce("letters", F.lit(0)).alias("letters"))
+    marks = held.select("unit", "term").join(known, "term").join(owners.select("unit", "e1", "e2"), ["unit", "e1", "e2"]).groupBy("unit", "term").agg((F.max("score") >= remove).alias("remove"), F.min("letters").alias("letters"))
+    general = F.when(F.col("letters") > 0, F.concat(F.lit("["), F.col("term").substr(F.lit(1), F.col("letters")), F.lit("*]"))).otherwise(F.lit("[TERM]"))
+    mark = F.struct("term", F.struct("remove", F.when(F.col("remove"), F.lit("")).otherwise(general).alias("by")).alias("mark"))
+    return marks.groupBy("unit").agg(F.map_from_entries(F.collect_list(mark)).alias("marks"))
+
 
+def kept_letters(soft: DataFrame, words: DataFrame) -> DataFrame:
+    """(e1, e2, term, letters): how many first letters of a word to be generalised are safe to keep.
 
-def row_key() -> Column:
-    """Names a row by its id and text, so that rows that share an id don't mix their spans; equal rows are alike."""
-    return F.sha2(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.coalesce("text", F.lit(""))), 256)
+    A beginning is safe if some word that has it stands in more documents than `most`: so do then all words with it together, and in
+    so many documents nothing can disclose the entity.
+    """
+    few, many = PREFIX
 
+    def beginnings(df: DataFrame, *carry: str, less: int) -> DataFrame:
+        lengths = F.sequence(F.lit(few), F.least(F.length("term") - less, F.lit(many)))
+        return df.where(F.length("term") - less >= few).select(*carry, F.explode(lengths).alias("letters")).withColumn("start", F.col("term").substr(F.lit(1), F.col("letters")))
 
-def sanitise_spans(docs: DataFrame, prior: float = PRIOR, remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
-    """(key, doc_id, base, terms): one row for each row of docs (doc_id, text), terms as array<struct<start, end, remove>>.
+    asked = beginnings(soft, "e1", "e2", "term", "most", less=1)
+    common = beginnings(words, "term", "n_term", less=0).join(asked.select("start").distinct(), "start").groupBy("start").agg(F.max("n_term").alias("largest"))
+    return asked.join(common, "start").where(F.col("largest") > F.col("most")).groupBy("e1", "e2", "term").agg(F.max("letters").alias("letters"))
 
-    Null and empty texts have no spans. Overlapping spans of different kinds are all reported.
-    """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    kept = F.when(F.size("base") > 0, F.col("text")).alias("text")
-    base = staged(with_base(docs).select("doc_id", row_key().alias("key"), "base", kept), "personal-data")
-    terms = disclosing(base.where(F.size("base") > 0).select("key", "base", "text"), texts, prior, remove, generalise)
-    none = F.array().cast("array<struct<start:int,end:int,remove:boolean>>")
-    return base.select("key", "doc_id", "base").join(terms, "key", "left").withColumn("terms", F.coalesce("terms", none))
+
+def annotated(docs: DataFrame, carry: tuple[str, ...], prior: float, remove: float, generalise: float) -> tuple[DataFrame, DataFrame]:
+    """(rows without a mention: doc; rows with one: doc, base, pieces, length, terms). doc holds the columns in carry; terms is
+    array<struct<start, end, by>>."""
+    read_once = docs.select(F.struct(*carry).alias("doc"), F.coalesce("text", F.lit("")).alias("text")).withColumn("base", base_spans(F.col("text")))
+    every = staged(read_once.select("doc", F.when(F.size("base") > 0, F.col("text")).alias("text"), F.when(F.size("base") > 0, F.col("base")).alias("base")), "personal-data")
+    hits = every.where(F.col("base").isNotNull()).withColumns({"pieces": pieces_of(F.col("text")), "length": F.length("text")})
+    hits = hits.withColumns({"blank": blanked(F.col("pieces"), F.col("length"), F.col("base")), "unit": F.xxhash64("text")})
+    hits = staged(hits.drop("pieces"), "mentions")
+    marks = disclosing(hits, docs.select("text"), every.count(), prior, remove, generalise)
+    found = F.filter(matches(F.col("blank"), TERM), lambda w: F.map_contains_key("marks", F.lower(w.m)))
+    spans = F.transform(found, lambda w: F.struct(w.start.alias("start"), w.end.alias("end"), F.element_at("marks", F.lower(w.m)).by.alias("by")))
+    none = F.array().cast("array<struct<start:int,end:int,by:string>>")
+    terms = F.when(F.col("marks").isNotNull(), spans).otherwise(none)
+    return every.where(F.col("base").isNull()).select("doc"), hits.join(marks, "unit", "left").select("doc", "base", "text", "length", terms.alias("terms"))
 
 
 def written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(F.array(*map(F.lit, KINDS)), s.kind + 1), s.start, s.end)), ",")
 
 
-def report(docs: DataFrame, **options: float) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans: one row for each row of docs."""
-    s = sanitise_spans(docs, **options)
-    plain = F.transform("base", lambda b: F.struct(b.start.alias("start"), b.kind.alias("kind"), b.end.alias("end")))
+def report(docs: DataFrame, prior: float = PRIOR, remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans: one row for each row of docs (doc_id, text).
+
+    Null and empty texts have no spans; texts may be of any length. Overlapping spans of different kinds are all reported, in the order
+    of their starts, then of their kinds. Repeated rows are reported each, and alike; rows that share an id don't mix. An empty table
+    gives no rows; further columns are not read.
+    """
+    plain, hits = annotated(docs, ("doc_id",), prior, remove, generalise)
+    bare = F.transform("base", lambda b: F.struct(b.start.alias("start"), b.kind.alias("kind"), b.end.alias("end")))
     terms = F.transform("terms", lambda t: F.struct(t.start.alias("start"), F.lit(KINDS.index("term")).alias("kind"), t.end.alias("end")))
     count = lambda k: F.size(F.filter("base", lambda b: b.kind == k)).cast("long").alias(f"n_{KINDS[k]}")
-    return s.select("doc_id", *map(count, range(4)), F.sha2(written(plain), 256).alias("base_sha256"), written(F.array_sort(F.concat(plain, terms))).alias("spans"))
+    some = hits.select("doc.doc_id", *map(count, range(4)), F.sha2(written(bare), 256).alias("base_sha256"), written(F.array_sort(F.concat(bare, terms))).alias("spans"))
+    return some.unionByName(plain.select("doc.doc_id", *(F.lit(0).cast("long").alias(f"n_{k}") for k in KINDS[:4]), F.sha2(F.lit(""), 256).alias("base_sha256"), F.lit("").alias("spans")))
 
 
-def sanitise(docs: DataFrame, remove: float = REMOVE, **options: float) -> DataFrame:
+def sanitise(docs: DataFrame, prior: float = PRIOR, remove: float = REMOVE, generalise: float = GENERALISE) -> DataFrame:
     """docs with its own columns; in text, mentions are replaced by their kind and disclosing words are generalised or removed.
 
     Where replaced spans overlap, the one that starts first stands for all. A null text stays null. n_chars, if there, is not changed.
     """
-    s = sanitise_spans(docs, remove=remove, **options)
+    plain, hits = annotated(docs, tuple(docs.columns), prior, remove, generalise)
     base = F.transform("base", lambda b: F.struct(b.start.alias("start"), b.end.alias("end"), F.concat(F.lit("["), F.upper(F.element_at(F.array(*map(F.lit, KINDS)), b.kind + 1)), F.lit("]")).alias("by")))
-    terms = F.transform("terms", lambda t: F.struct(t.start.alias("start"), t.end.alias("end"), F.when(t.remove, F.lit("")).otherwise(F.lit("[TERM]")).alias("by")))
-    edits = s.select("key", F.array_sort(F.concat(base, terms)).alias("__edits")).where(F.size("__edits") > 0).dropDuplicates(["key"])
-
-    def apply(acc: Column, e: Column) -> Column:
-        fresh = e.start >= acc.at
-        out = F.when(fresh, F.concat(acc.out, F.col("text").substr(acc.at + 1, e.start - acc.at), e.by)).otherwise(acc.out)
-        return F.struct(F.greatest(acc.at, e.end).alias("at"), out.alias("out"))
-
-    done = F.aggregate("__edits", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), apply, lambda a: F.concat(a.out, F.col("text").substr(a.at + 1, F.length("text"))))
-    keyed = docs.withColumn("__key", row_key()).join(edits.withColumnRenamed("key", "__key"), "__key", "left")
-    return keyed.withColumn("text", F.when(F.col("__edits").isNull(), F.col("text")).otherwise(done)).select(*docs.columns)
+    hits = hits.withColumns({"edits": F.array_sort(F.concat(base, "terms")), "pieces": pieces_of(F.col("text"))})
+    text = edited(F.col("pieces"), F.col("length"), F.col("edits"), lambda w: F.when(w.fresh, w.by).otherwise(F.lit("")))
+    hits = hits.select("doc", text.alias("clean")).select(*(F.col("clean").alias(c) if c == "text" else F.col("doc")[c].alias(c) for c in docs.columns))
+    return plain.select("doc.*").unionByName(hits)
 
 
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
