@@ -1,6 +1,6 @@
 """Operator 2: mixing sources to target weights by Efraimidis-Spirakis sampling. DataFrame expressions only.
 
-Every document gets an exponential key -ln(u) / weight, u from a hash of its id and the seed, weight from the document's quality.
+Every document gets an exponential key -ln(u) / weight, u from a hash of its id and the seed, weight from the quality of its text.
 Documents of a source are taken in the order of their keys until the words taken reach the source's target: complete epochs take
 every document, the rest of the target is a selection from the front of the order.
 
@@ -21,14 +21,29 @@ MAX_EPOCHS = 3
 PER_BUCKET = 2000  # documents in a bucket of keys, on average
 
 
-def n_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+MARKS = "|*#&%$@!^~=<>{}[]_\\"  # characters that prose hardly has
+CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def quality_weight(text: Column, size: Column) -> Column:
-    """Between 0.5 and 1.5: the share of words of ordinary mean length. Cheap, and computed from the text alone."""
-    mean = F.length(text) / F.greatest(size, F.lit(1))
-    return F.when(mean.between(4, 10), F.lit(1.5)).when(mean.between(3, 14), F.lit(1.0)).otherwise(F.lit(0.5))
+def words_of(text: Column) -> Column:
+    return F.coalesce(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)), F.array().cast("array<string>"))
+
+
+def share(text: Column, characters: str) -> Column:
+    """The share of some characters in a text; translate without a counterpart leaves them out."""
+    n = F.length(text)
+    return (n - F.length(F.translate(text, characters, ""))).cast("double") / F.greatest(n, F.lit(1))
+
+
+def quality_weight(text: Column, size: Column, distinct: Column) -> Column:
+    """Between 0.05 and 1.05: high for a text with few marks and capitals whose words aren't the same again and again.
+
+    Different words of prose grow faster than the square root of all, so twice that root is taken as full variety (a text of fewer
+    than four words, which can't have it, is measured by its length). A null or empty text has the least weight.
+    """
+    clean = F.greatest(F.lit(0.0), 1 - 8 * share(text, MARKS)) * F.greatest(F.lit(0.0), 1 - 2 * share(text, CAPITALS))
+    variety = F.least(F.lit(1.0), distinct / F.least(size.cast("double"), 2 * F.sqrt(size.cast("double"))))
+    return F.lit(0.05) + F.coalesce(F.when(size > 0, clean * variety), F.lit(0.0))
 
 
 def uniform(doc_id: Column, size: Column, seed: int) -> Column:
@@ -67,13 +82,15 @@ def mix(docs: DataFrame, seed: int = 20, per_bucket: int = PER_BUCKET, broadcast
 
     size is the number of words (0 for a null or blank text), taken the words that the mix takes from the document: whole epochs of
     it, plus all of it again if it is selected. The document at which the budget of its source runs out is cut there, so a source's
-    taken words differ from its target by less than one word. Ties of keys break by doc_id, then size; rows that agree in all of
-    these are alike. A null source is a source of its own; a source without words has the target 0. An empty table gives no rows.
+    taken words differ from its target by less than one word. Ties of keys break by doc_id, then size, then the hash of the text; rows
+    that agree in all of these are alike. A null source is a source of its own; a source without words has the target 0. Texts of any
+    length are read whole. An empty table gives no rows; further columns are read only to be carried.
     """
-    size = n_words(F.col("text"))
     doc = F.struct(*carry).alias("doc") if carry else F.lit(None).cast("boolean").alias("doc")
-    rows = docs.select("doc_id", "source", "text", doc).withColumn("size", size)
-    rows = rows.select("doc_id", "source", "doc", "size", (-F.log(uniform(F.col("doc_id"), F.col("size"), seed)) / quality_weight(F.col("text"), F.col("size"))).alias("key"))
+    rows = docs.select("doc_id", "source", "text", doc).withColumn("words", words_of(F.col("text")))
+    rows = rows.select("doc_id", "source", "doc", "text", F.size("words").cast("long").alias("size"), F.size(F.array_distinct("words")).alias("distinct"))
+    key = -F.log(uniform(F.col("doc_id"), F.col("size"), seed)) / quality_weight(F.col("text"), F.col("size"), F.col("distinct"))
+    rows = rows.select("doc_id", "source", "doc", "size", key.alias("key"), F.xxhash64("text").alias("own"))
     rows = staged(rows, "mix")  # texts are read once; what is carried stays in its rows and is never shuffled, but for the few rows that are sorted
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
     plan = staged(targets(sizes), "mix-targets")
@@ -86,8 +103,8 @@ def mix(docs: DataFrame, seed: int = 20, per_bucket: int = PER_BUCKET, broadcast
     send = F.broadcast if n_sources <= broadcast_sources else (lambda df: df)
     p = plan.withColumnRenamed("source", "p_source")
     keyed = rows.join(send(p), rows["source"].eqNullSafe(p["p_source"])).drop("p_source")
-    # 1 - exp(-key) is uniform for weight 1 and rises with the key for any weight, so buckets are in the order of the keys.
-    keyed = keyed.withColumn("bucket", F.least(F.col("buckets") - 1, F.floor((1 - F.exp(-F.col("key"))) * F.col("buckets"))).cast("long"))
+    # Rises with the key, so buckets are in the order of the keys, and is spread well for any weight.
+    keyed = keyed.withColumn("bucket", F.least(F.col("buckets") - 1, F.floor(F.col("key") / (1 + F.col("key")) * F.col("buckets"))).cast("long"))
     sums = keyed.groupBy("source", "bucket", "budget").agg(F.sum("size").alias("words"))
     sums = sums.withColumn("upto", F.sum("words").over(Window.partitionBy("source").orderBy("bucket")))
     cut = sums.where((F.col("upto") > F.col("budget")) & (F.col("upto") - F.col("words") <= F.col("budget")))
@@ -97,7 +114,7 @@ def mix(docs: DataFrame, seed: int = 20, per_bucket: int = PER_BUCKET, broadcast
     whole = F.when(F.col("cut").isNull() | (F.col("bucket") < F.col("cut")), F.col("size")).otherwise(F.lit(0))
     at_cut = F.coalesce(F.col("bucket") == F.col("cut"), F.lit(False))
     easy = placed.where(~at_cut).withColumn("part", F.when(F.col("budget") > 0, whole).otherwise(F.lit(0)))
-    order = Window.partitionBy("source").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    order = Window.partitionBy("source").orderBy("key", "doc_id", "size", "own").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     before = F.col("base") + F.sum("size").over(order) - F.col("size")
     hard = placed.where(at_cut).withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("budget") - before)))
     both = easy.unionByName(hard)
@@ -119,12 +136,16 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL = r"""
 WITH d AS (
-  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^ \x09-\x0D]+')), 0)::BIGINT AS size, length(text) AS n FROM documents
+  SELECT doc_id, source, coalesce(text, '') AS text, coalesce(regexp_extract_all(text, '[^ \x09-\x0D]+'), []) AS words FROM documents
+), q AS (
+  SELECT doc_id, source, len(words)::BIGINT AS size, len(list_distinct(words))::DOUBLE AS different, length(text) AS n,
+    length(translate(text, '|*#&%$@!^~=<>{}[]_\', ''))::DOUBLE AS plain, length(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', ''))::DOUBLE AS low FROM d
 ), k AS (
   SELECT *, -ln((('0x' || substr(md5('20|' || coalesce(doc_id::VARCHAR, 'null') || '|' || size::VARCHAR), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
-    / CASE WHEN n / greatest(size, 1) BETWEEN 4 AND 10 THEN 1.5::DOUBLE WHEN n / greatest(size, 1) BETWEEN 3 AND 14 THEN 1::DOUBLE ELSE 0.5::DOUBLE END AS key FROM d
+    / (0.05::DOUBLE + CASE WHEN size > 0 THEN greatest(0::DOUBLE, 1 - 8 * ((n - plain) / greatest(n, 1))) * greatest(0::DOUBLE, 1 - 2 * ((n - low) / greatest(n, 1)))
+      * least(1::DOUBLE, different / least(size::DOUBLE, 2 * sqrt(size::DOUBLE))) ELSE 0 END) AS key FROM q
 ), s AS (
-  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nth FROM d GROUP BY source
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS nth FROM q GROUP BY source
 ), w AS (
   SELECT *, CASE nth % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight FROM s
 ), r AS (
