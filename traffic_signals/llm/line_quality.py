@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import held_out, labelled, mixed, read
 
-TRAIN_DOCUMENTS = 6000  # bound of the labelled sample
-TRAIN_LINES = 300  # lines of a sampled document that the fit sees; scoring always reads all lines
+TRAIN_DOCUMENTS = 6000  # bound of the labelled sample, whose documents are read whole
 STEPS = 60
 BLOCK = 200_000  # lines, padding included, whose marginals are computed at once
 THRESHOLD = 0.3
@@ -107,11 +106,22 @@ def laid_out(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return order, alive[order], x
 
 
+def alike(lengths: list[int], block: int = BLOCK) -> Iterator[np.ndarray]:
+    """Indexes of documents in groups of like length, shortest first: little padding, and at most `block` padded lines or one document."""
+    ranked = np.argsort(lengths, kind="stable")
+    at = 0
+    while at < len(ranked):
+        to = at + 1
+        while to < len(ranked) and (to + 1 - at) * lengths[ranked[to]] <= block:
+            to += 1
+        yield ranked[at:to]
+        at = to
+
+
 def fit_chain(rows: list[np.ndarray], y: np.ndarray, steps: int = STEPS, ridge: float = 1e-3) -> tuple[np.ndarray, np.ndarray]:
     """Weights and pair potentials that maximize the conditional likelihood, each document counting once, by Adam."""
     groups = []
-    ranked = np.argsort([len(r) for r in rows], kind="stable")
-    for part in np.array_split(ranked, max(1, len(rows) // 500)):  # documents of like length together: little padding
+    for part in alike([len(r) for r in rows]):
         order, alive, x = laid_out([rows[k] for k in part])
         label = y[part][order]
         mask = np.arange(x.shape[1]) < alive[:, None]
@@ -152,13 +162,8 @@ def fit_scale(raw: np.ndarray, y: np.ndarray, steps: int = 50, ridge: float = 1e
 def raw_scores(rows: list[tuple[np.ndarray, np.ndarray]], model: tuple) -> list[tuple[float, int]]:
     """(length-weighted mean marginal, lines likelier good than bad) of documents given as (features, weights) of their lines."""
     out: list[tuple[float, int]] = [(0.0, 0)] * len(rows)
-    ranked = sorted(range(len(rows)), key=lambda k: len(rows[k][1]))
-    at = 0
-    while at < len(ranked):  # shortest first, so that a padded block holds documents of like length
-        to = at + 1
-        while to < len(ranked) and (to + 1 - at) * len(rows[ranked[to]][1]) <= BLOCK:
-            to += 1
-        part = ranked[at:to][::-1]
+    for group in alike([len(w) for _, w in rows]):
+        part = group[::-1].tolist()
         alive = np.array([len(rows[k][1]) for k in part])
         node = np.zeros((len(part), alive[0]))
         for i, k in enumerate(part):
@@ -167,7 +172,6 @@ def raw_scores(rows: list[tuple[np.ndarray, np.ndarray]], model: tuple) -> list[
         for i, k in enumerate(part):
             g, w = good[i, : alive[i]], rows[k][1]
             out[k] = float(min(1.0, g @ w / w.sum())), int((g > 0.5).sum())
-        at = to
     return out
 
 
@@ -176,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCUMENTS) -> tup
 
     def dense(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            x, w = zip(*((x[:TRAIN_LINES], w[:TRAIN_LINES]) for x, w in map(line_features, pdf["text"])), strict=True) if len(pdf) else ((), ())
+            x, w = zip(*map(line_features, pdf["text"]), strict=True) if len(pdf) else ((), ())
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "label": pdf["label"], "lines": [len(f) for f in x], "x": [f.tobytes() for f in x], "w": [f.tobytes() for f in w]})
 
     got = labelled(docs, labels, "quality", bound).select("doc_id", "label", "text").mapInPandas(dense, "doc_id long, label int, lines int, x binary, w binary").toPandas()
@@ -185,8 +189,12 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCUMENTS) -> tup
     if not 0 < y.sum() < len(y):
         return None
     rows = [(np.frombuffer(x, np.float32).reshape(n, -1), np.frombuffer(w)) for x, w, n in zip(got["x"], got["w"], got["lines"], strict=True)]
-    chain = fit_chain([x for x, _ in rows], y)
-    return *chain, fit_scale(np.array([r for r, _ in raw_scores(rows, chain)]), y)
+    # One in five documents is kept from the chain and gives the scale, if there are enough for both.
+    kept = np.arange(len(y)) % 5 == 4
+    if not all(0 < y[part].sum() < part.sum() for part in (kept, ~kept)):
+        kept = np.ones(len(y), bool)
+    chain = fit_chain([x for (x, _), k in zip(rows, kept, strict=True) if not k or kept.all()], y[~kept | kept.all()])
+    return *chain, fit_scale(np.array([r for r, _ in raw_scores([r for r, k in zip(rows, kept, strict=True) if k], chain)]), y[kept])
 
 
 def with_score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray] | None, column: str = "__quality") -> DataFrame:
@@ -211,7 +219,11 @@ def with_score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray] | None, threshold: float = THRESHOLD) -> DataFrame:
-    """doc_id, held_out, score, predicted, lines, good_lines for each row of docs (doc_id, text)."""
+    """doc_id, held_out, score, predicted, lines, good_lines for each row of docs (doc_id, text).
+
+    Null and empty texts are one empty line, texts of any length are read whole. Repeated rows are scored each, and alike; a score at
+    the threshold is predicted 1. An empty table gives no rows; further columns are not read.
+    """
     q = with_score(docs.select("doc_id", "text"), model)
     return q.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "__quality.score", (F.col("__quality.score") >= threshold).cast("int").alias("predicted"), "__quality.lines", "__quality.good_lines"
