@@ -19,7 +19,7 @@ from .boosting import calibrated, fit_trees, isotonic, raw_scores
 from .common import held_out, labelled, read, staged
 
 TRAIN_DOCUMENTS = 20_000  # bound of the labelled sample
-LEXICON = 300  # bound of the lexicon
+LEXICON = 300  # terms of the lexicon, those with the largest weighted log-odds
 STEM = 5  # letters of a word beginning
 NEAR = 5  # words between an entry of the lexicon and a second person pronoun
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch sie tu te toi ton ta tes vous votre tú ti usted ustedes vosotros".split())
@@ -53,7 +53,7 @@ def features(text: str | None, lexicon: dict[str, float]) -> list[float]:
         at = np.searchsorted(you, hits)
         spots = np.array([-(1 << 40), *you, 1 << 40])
         near = int((np.minimum(np.array(hits) - spots[at], spots[at + 1] - np.array(hits)) <= NEAR).sum())
-    letters = sum(map(str.isalpha, text)) if len(text) < 5000 else len(re.findall(r"[^\W\d_]", text))
+    letters = sum(map(str.isalpha, text))
     capitals = len(re.findall(r"[A-ZÀ-ÖØ-Þ]", text))
     total = len(text)
     return [
@@ -104,23 +104,24 @@ def fit(docs: DataFrame, labels: DataFrame, bound: int = TRAIN_DOCUMENTS, lexico
 
 
 def score(docs: DataFrame, model: dict | None, threshold: float = 0.5) -> DataFrame:
-    """doc_id, held_out, score, predicted for each row of docs (doc_id, text); empty and null texts are scored as well.
+    """doc_id, held_out, score, predicted for each row of docs (doc_id, text); empty and null texts, which have no feature, are scored as
+    well, and texts of any length as a whole.
 
-    Without a model (too few labels) every score is 0. Equal texts have equal scores.
+    Without a model (too few labels) every score is 0. Equal texts, so repeated rows too, have equal scores; a score at the threshold
+    is predicted 1. An empty table gives no rows; further columns are not read.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("double")
+    def scored(texts: pd.Series) -> pd.Series:
         model = sent.value
-        for pdf in batches:
-            s = np.zeros(len(pdf))
-            if model and len(pdf):
-                x = np.array([features(t, model["lexicon"]) for t in pdf["text"]], float)
-                s = calibrated(model["knots"], raw_scores(model["trees"], x))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "held_out": pdf["held_out"], "score": s, "predicted": (s >= threshold).astype("int32")})
-
-    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return rows.mapInPandas(scored, "doc_id long, held_out boolean, score double, predicted int")
+        if not model or not len(texts):
+            return pd.Series(np.zeros(len(texts)))
+        x = np.array([features(t, model["lexicon"]) for t in texts], float)
+        return pd.Series(calibrated(model["knots"], raw_scores(model["trees"], x)))
+
+    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), scored.asNondeterministic()(F.col("text")).alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
