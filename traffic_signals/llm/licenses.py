@@ -9,8 +9,6 @@ hit are aligned with the template's in a band around the hit's diagonal; matched
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -50,21 +48,43 @@ TEMPLATES = [
         "bsd-conditions",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
     ),
+    (
+        "mit-license",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software "
+        "without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies "
+        "or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, "
+        "WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    ),
+    (
+        "isc-license",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this "
+        "permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES "
+        "OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS "
+        "OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    ),
     ("isc-grant", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
     ("mpl-2.0-notice", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 
-PLAIN = np.zeros(256, np.uint8)  # the lower-case byte of a letter or digit (any byte of a non-ASCII letter), else 0
-PLAIN[128:] = np.arange(128, 256)
+ASCII = np.zeros(128, np.uint32)  # the lower-case code point of a letter or digit, else 0
 for _c in b"abcdefghijklmnopqrstuvwxyz0123456789":
-    PLAIN[_c] = _c
+    ASCII[_c] = _c
 for _c in b"ABCDEFGHIJKLMNOPQRSTUVWXYZ":
-    PLAIN[_c] = _c + 32
+    ASCII[_c] = _c + 32
 
 
 def plain(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(letters and digits, their byte positions)."""
-    a = PLAIN[np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)]
+    """(lower-case letters and digits as code points, their positions). Anything else, such as a no-break space, is left out."""
+    if text.isascii():
+        a = ASCII[np.frombuffer(text.encode(), np.uint8)]
+    else:
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        a = ASCII[np.minimum(points, 127)] * (points < 128)
+        other = np.flatnonzero(points > 127)
+        kinds, nth = np.unique(points[other], return_inverse=True)
+        a[other] = np.array([ord(low) if chr(c).isalnum() and len(low := chr(c).lower()) == 1 else c * chr(c).isalnum() for c in kinds.tolist()], np.uint32)[nth]
     at = np.flatnonzero(a)
     return a[at], at
 
@@ -76,7 +96,7 @@ def winnowed(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     h = np.zeros(n, np.uint64)
     for j in range(GRAM):
-        h |= a[j : n + j].astype(np.uint64) << np.uint64(8 * j)
+        h = h * np.uint64(0xD1342543DE82EF95) + a[j : n + j]
     h = mixed(mixed(h))
     m = h
     size = 1
@@ -142,13 +162,10 @@ def matches(text: str | None, t: Templates, coverage: float, band: int) -> list[
     words = [(m.group().lower(), m.start(), m.end()) for m in TOKEN.finditer(text)]
     only = [w for w, _, _ in words]
     starts = np.array([s for _, s, _ in words])
-    raw = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    point = np.cumsum((raw & 0xC0) != 0x80) - 1  # byte -> code point
     seeds: dict[int, set[int]] = {}
-    for v, b in zip(h[hit], place[at[hit]], strict=True):
-        j = int(np.searchsorted(starts, point[b], "right")) - 1
+    for v, j in zip(h[hit], np.searchsorted(starts, place[at[hit]], "right") - 1, strict=True):
         for k, i in t.index[int(v)]:
-            seeds.setdefault(k, set()).add(j - i)
+            seeds.setdefault(k, set()).add(int(j) - i)
     out = []
     for k, diagonals in sorted(seeds.items()):
         pattern, taken = t.words[k], -(1 << 60)
@@ -172,7 +189,9 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, coverage
     """One row for each template match in the texts of docs (doc_id, text): doc_id, license, coverage, matched, start, end.
 
     coverage is the share of the template's words that the alignment matches, start and end are code points of the text. Null and
-    empty texts have no rows. Repeated occurrences and repeated rows are reported each. Templates of fewer than GRAM letters and
+    empty texts have no rows, texts of any length are scanned whole, a null doc_id is passed on. Repeated occurrences and repeated rows
+    are reported each; where one passage fits several templates each has a row, and of equally good alignments of one template the one
+    that ends first counts. An empty table gives no rows; further columns are not read. Templates of fewer than GRAM letters and
     digits have no fingerprint and are refused, as are more than MAX_TEMPLATE_WORDS words in all.
     """
     index = Templates(templates)
@@ -180,12 +199,11 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, coverage
         raise ValueError("a template is too short, or there are too many to broadcast")
     sent = docs.sparkSession.sparkContext.broadcast(index)
 
-    def found(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [{"doc_id": d, **m} for d, text in zip(pdf["doc_id"], pdf["text"], strict=True) for m in matches(text, sent.value, coverage, band)]
-            yield pd.DataFrame(rows, columns=["doc_id", "license", "coverage", "matched", "start", "end"])
+    @F.pandas_udf("array<struct<license:string,coverage:double,matched:int,start:int,end:int>>")
+    def found(texts: pd.Series) -> pd.Series:
+        return pd.Series([matches(t, sent.value, coverage, band) for t in texts], dtype=object)
 
-    return docs.select("doc_id", "text").mapInPandas(found, "doc_id long, license string, coverage double, matched int, start int, end int")
+    return docs.select("doc_id", found.asNondeterministic()(F.col("text")).alias("__found")).select("doc_id", F.inline("__found"))
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
