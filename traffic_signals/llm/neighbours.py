@@ -14,6 +14,7 @@ than a rare one. Cells are dealt over shards of bounded size, a large cell over
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,16 +34,16 @@ MOST_CENTROIDS = 256
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, v): double vectors that take part, one for each id.
+    """(vec_id, v): double vectors that take part; rows that are equal in both count once.
 
     Null ids, and vectors that are null, empty, zero or hold a null or non-finite component, take no part; nor do vectors whose length
-    isn't the most frequent one (the shorter of equally frequent). An id with several vectors keeps the least.
+    isn't the most frequent one (the shorter of equally frequent), as they have no inner product with the rest. All different vectors
+    of an id are rows of their own.
     """
     fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     v = v.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
-    v = v.where(F.forall("v", fine) & F.exists("v", lambda x: x != 0)).groupBy("vec_id").agg(F.min("v").alias("v"))
-    v = staged(v, "vectors")
+    v = staged(v.where(F.forall("v", fine) & F.exists("v", lambda x: x != 0)).distinct(), "vectors")
     size = v.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     return v.where(F.size("v") == (size["n"] if size else 0))
 
@@ -116,51 +117,59 @@ class MultiIndex:
 
 
 def reranked(key: tuple, entries: pd.DataFrame, asked: pd.DataFrame, need: int) -> pd.DataFrame:
-    """The best `need` ids of a shard for each query, by exact inner product among the cells that the query visits."""
-    columns = ["query", "vec_id", "score"]
+    """The best `need` ids of a shard for each query, by exact inner product among the cells that the query visits.
+
+    A matrix product tells which entries can be among them, with room for its rounding; their scores are then summed exactly and
+    rounded once, so that they depend neither on blocks nor on the order of the components.
+    """
+    columns = ["query", "vec_id", "vid", "score"]
     if not len(entries) or not len(asked):
         return pd.DataFrame({c: [] for c in columns})
     x, cells = np.array(entries["v"].tolist()), entries["cell"].to_numpy()
     names, local = np.unique(cells, return_inverse=True)
-    ids = entries["ids"].tolist()
+    ids, vids, norms = entries["ids"].tolist(), entries["vid"].to_numpy(), np.linalg.norm(x, axis=1)
     out = []
     for at in range(0, len(asked), 512):
         part = asked.iloc[at : at + 512]
         visits = np.zeros((len(part), len(names)), bool)
         for n, own in enumerate(part["cells"]):
             visits[n, np.searchsorted(names, own[np.isin(own, names)] if isinstance(own, np.ndarray) else [c for c in own if c in names])] = True
-        s = np.array(part["v"].tolist()) @ x.T
+        asking = np.array(part["v"].tolist())
+        s = asking @ x.T
         s[~visits[:, local]] = -np.inf
-        least = -np.partition(-s, need - 1, 1)[:, need - 1] if s.shape[1] > need else np.full(len(s), -np.inf)
+        room = 1e-12 * np.linalg.norm(asking, axis=1) * norms.max()
+        least = -np.partition(-s, need - 1, 1)[:, need - 1] - room if s.shape[1] > need else np.full(len(s), -np.inf)
         q, e = np.nonzero((s >= least[:, None]) & (s > -np.inf))
+        exact = np.array([math.fsum(row) for row in asking[q] * x[e]])
         n = np.array([len(ids[k]) for k in e], int)
-        q, score = np.repeat(q, n), np.repeat(s[q, e], n)
+        q, score, own = np.repeat(q, n), np.repeat(exact, n), np.repeat(vids[e], n)
         vec = np.concatenate([ids[k] for k in e]) if len(e) else np.empty(0, np.int64)
         order = np.lexsort((vec, -score, q))
-        q, score, vec = q[order], score[order], vec[order]
-        rank = np.arange(len(q)) - np.searchsorted(q, q)
-        q, score, vec = q[rank < need], score[rank < need], vec[rank < need]
-        out.append(pd.DataFrame({"query": part["vid"].to_numpy()[q], "vec_id": vec, "score": score}))
+        order = order[np.arange(len(q)) - np.searchsorted(q[order], q[order]) < need]
+        out.append(pd.DataFrame({"query": part["vid"].to_numpy()[q[order]], "vec_id": vec[order], "vid": own[order], "score": score[order]}))
     return pd.concat(out)
 
 
 def search(vectors: DataFrame, every: int = EVERY, nearest: int = NEAREST, sample: int = SAMPLE, centroids: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the nearest rows found for each row whose id is divisible by `every`, its own row apart.
 
-    Nearest is the largest inner product in double precision; ties go to the smaller vec_id. A table with no usable query gives no
-    rows; a query without another usable row has none. Without enough vectors to calibrate on, all cells are visited.
+    Nearest is the largest inner product in double precision; ties go to the smaller vec_id. Repeated rows count once (`usable` says
+    which rows take part); an id with several vectors asks with each, and each of them is a candidate. A table with no usable query
+    gives no rows; a query without another usable row has none. Without enough vectors to calibrate on, all cells are visited.
+    Further columns are not read. A task holds a shard of about SHARD distinct vectors and 512 queries at a time, so vectors may be
+    long as far as that many fit.
     """
     spark = vectors.sparkSession
     rows = usable(vectors)
     need = nearest + 1
     place = Window.partitionBy("v").orderBy("vec_id")
     distinct = rows.withColumn("place", F.row_number().over(place)).where(F.col("place") <= need).groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
-    distinct = staged(distinct.select(F.col("ids")[0].alias("vid"), "ids", "v"), "distinct-vectors")
+    distinct = staged(distinct.select(F.monotonically_increasing_id().alias("vid"), "ids", "v"), "distinct-vectors")
     queries = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("query_id"), "v")
     n = distinct.count()
     if not n:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    fitted = np.array([r["v"] for r in bounded(distinct, F.col("vid"), sample).select("vid", "v").orderBy("vid").collect()] or [distinct.first()["v"]])
+    fitted = np.array([r["v"] for r in bounded(distinct, F.xxhash64("v"), sample).select("v").orderBy("v").collect()] or [distinct.first()["v"]])
     index = MultiIndex(fitted, centroids or int(min(MOST_CENTROIDS, max(4, round(n**0.5 / 7)))), nearest)
     sent = spark.sparkContext.broadcast(index)
 
@@ -205,12 +214,12 @@ def search(vectors: DataFrame, every: int = EVERY, nearest: int = NEAREST, sampl
     asked = asked.mapInPandas(walked, "vid long, v array<double>, shard int, cells array<int>").withColumn("block", F.pmod(F.xxhash64("vid"), F.lit(blocks)))
     held = entries.mapInPandas(sharded, "vid long, ids array<long>, v array<double>, cell int, shard int").withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     met = held.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block"))
-    found = met.applyInPandas(lambda key, e, q: reranked(key, e, q, need), "query long, vec_id long, score double")
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    found = met.applyInPandas(lambda key, e, q: reranked(key, e, q, need), "query long, vec_id long, vid long, score double")
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "vid")
     found = found.withColumn("place", F.row_number().over(best)).where(F.col("place") <= need)
-    found = found.groupBy(F.col("query").alias("vid")).agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("found"))
-    named = queries.join(distinct.select("vid", "v"), "v").select("query_id", "vid").join(found, "vid")
-    listed = F.slice(F.filter("found", lambda f: f.vec_id != F.col("query_id")), 1, nearest)
+    found = found.groupBy(F.col("query").alias("q_vid")).agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score", "vid"))).alias("found"))
+    named = queries.join(distinct.select("vid", "v"), "v").select("query_id", "vid").join(found, F.col("vid") == F.col("q_vid"))
+    listed = F.slice(F.filter("found", lambda f: (f.vec_id != F.col("query_id")) | (f.vid != F.col("vid"))), 1, nearest)
     return named.select("query_id", F.posexplode(listed).alias("at", "f")).select("query_id", (F.col("at") + 1).cast("int").alias("rank"), "f.vec_id", "f.score")
 
 
