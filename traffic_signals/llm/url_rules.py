@@ -49,7 +49,9 @@ def apply_rules(pages: DataFrame, rules: DataFrame, default: str = "allow", broa
     Returns page_id, host, path, rule, verdict: one row for each input row. A null URL or one without `://` has an empty host
     and path, and the default verdict, as has any URL that no rule fits. A rule fits its host and all subdomains if the path
     starts with the rule's. The longest rule (host and path together) wins, then the longer host, then block before allow.
-    Repeated pages are judged row by row; rules with a null or empty host are ignored, a null path counts as empty.
+    Repeated pages are judged row by row; rules with a null or empty host are ignored, a null path counts as empty. URLs may be of any
+    length. An empty table gives no rows, and without rules all get the default; further columns of pages, whatever their names, are
+    not read.
     """
     rules = rules.where(F.coalesce(F.col("host"), F.lit("")) != "").select(
         F.col("verdict").alias("r_verdict"), ascii_lower(F.col("host")).alias("r_host"), F.coalesce(F.col("path"), F.lit("")).alias("r_path")
@@ -69,7 +71,7 @@ def apply_rules(pages: DataFrame, rules: DataFrame, default: str = "allow", broa
     urls = urls.withColumns({"suffixes": suffixes, "prefixes": prefixes})
     each = F.flatten(F.transform("suffixes", lambda s: F.transform("prefixes", lambda p: F.struct(s.alias("suffix"), F.sha2(F.concat(s, p), 256).substr(1, SHORT).alias("short")))))
     urls = urls.select("page_id", "host", "path", "suffixes", "prefixes")
-    exploded = urls.select("host", "path", "suffixes", "prefixes").distinct().select("host", "path", F.inline(each))
+    exploded = urls.where("host <> ''").select("host", "path", "suffixes", "prefixes").distinct().select("host", "path", F.inline(each))
     if n_rules <= broadcast_rules:
         met = exploded.join(F.broadcast(rules), "short")
     else:  # a suffix such as `com` may hold most expressions: they are dealt over salts, and each rule goes to all of them
@@ -77,7 +79,9 @@ def apply_rules(pages: DataFrame, rules: DataFrame, default: str = "allow", broa
         met = salted.join(rules.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))), ["short", "salt"])
     confirmed = F.sha2(F.concat("suffix", F.col("path").substr(F.lit(1), F.col("r_len"))), 256) == F.col("r_digest")
     best = met.where(confirmed).groupBy("host", "path").agg(F.max("r_best").alias("best"))
-    judged = urls.join(best, ["host", "path"], "left")
+    # URLs without a host fit no rule; they would all meet in one key of the join.
+    some = urls.where("host <> ''").join(best, ["host", "path"], "left")
+    judged = some.select("page_id", "host", "path", "best").unionByName(urls.where("host = ''").select("page_id", "host", "path", F.lit(None).cast(best.schema["best"].dataType).alias("best")))
     return judged.select("page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
 
 
