@@ -73,8 +73,8 @@ def brute_components(rows, k, percent=80):
 
 def test_near_duplicates_match_brute_force(spark, docs, monkeypatch):
     monkeypatch.setattr(near_duplicates, "BLOCK", 8)
-    monkeypatch.setattr(near_duplicates, "BIN", 4)
-    monkeypatch.setattr(near_duplicates, "CHUNK", 8)
+    monkeypatch.setattr(near_duplicates, "SET_BYTES", 20_000)
+    monkeypatch.setattr(near_duplicates, "ROWS_PER_BIN", 50)
     rng = np.random.default_rng(2)
     words = [f"w{i}" for i in range(300)]
     chain, rows = list(rng.choice(words, 60)), []
@@ -95,6 +95,72 @@ def test_near_duplicate_edges(spark, messy):
     assert near_duplicates.near_duplicates(messy.limit(0)).count() == 0 and near_duplicates.drop_near_duplicates(messy.limit(0)).count() == 0
 
 
+def test_texts_that_share_an_id(spark):
+    a, b = [f"a{i}" for i in range(60)], [f"b{i}" for i in range(60)]
+    near = lambda w: " ".join([*w[:-1], "other"])
+    rows = [(3, " ".join(a)), (3, " ".join(b)), (1, near(a)), (6, near(b)), (3, " ".join(b))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"], r["kept"]) for r in near_duplicates.near_duplicates(df).collect())
+    assert got == [(1, 1, True), (3, 1, False), (3, 3, True), (3, 3, True), (6, 3, False)]
+    assert sorted(map(tuple, near_duplicates.drop_near_duplicates(df).collect())) == [(1, near(a)), (3, " ".join(b))]
+
+
+def test_texts_that_are_alike_but_not_linked(spark, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "BLOCK", 16)
+    common = [f"c{i}" for i in range(200)]
+    rows = [(i, " ".join([*common, *(f"u{i}x{j}" for j in range(28 + i % 3))])) for i in range(40)] + [(100, " ".join([*common, *(f"u5x{j}" for j in range(26))]))]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_components(rows, 4) and got[100][1] == 5 and len({c for _, c in got.values()}) == 40
+
+
+def plain_tiles(a, b, least):
+    ma, mb, out = [0] * len(a), [0] * len(b), []
+    while True:
+        best = (0, 0, 0)
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] and not ma[i + n] and not mb[j + n]:
+                    n += 1
+                best = (n, i, j) if n > best[0] else best
+        n, i, j = best
+        if n < least:
+            return out
+        ma[i : i + n] = mb[j : j + n] = [1] * n
+        out.append((i, j, n))
+
+
+def test_tiles_match_brute_force():
+    rng = np.random.default_rng(4)
+    for _ in range(400):
+        a = rng.integers(0, rng.choice([2, 3, 30]), rng.integers(1, 26)).tolist()
+        b = rng.integers(0, 30, rng.integers(0, 12)).tolist()
+        for _ in range(3):
+            i, at = int(rng.integers(len(a))), int(rng.integers(len(b) + 1))
+            b[at:at] = a[i : i + int(rng.integers(1, 15))]
+        for least in (1, 2, 4):
+            assert decontaminate.tiles(a, b, least) == plain_tiles(a, b, least)
+
+
+def test_contaminations_match_brute_force():
+    rng = np.random.default_rng(5)
+    items = [(k, rng.integers(0, 60, rng.integers(1, 30)).astype(np.uint64) * np.uint64(8)) for k in range(40)]
+    index = decontaminate.Index(items, 3)
+    for _ in range(60):
+        h = np.concatenate([x[1][int(a) : int(a) + 12] for x, a in ((items[k], rng.integers(0, 9)) for k in rng.integers(0, 40, 6))])
+        got = {r["item_id"]: (r["coverage"], r["tiles"]) for r in decontaminate.contaminations(h, index, 3, 0.5)}
+        want = {}
+        for k, pattern in items:
+            found = plain_tiles(pattern.tolist(), h.tolist(), min(3, len(pattern)))
+            share = sum(n for *_, n in found) / len(pattern)
+            if len(pattern) < 3:
+                if found and found[0][2] == len(pattern):
+                    want[k] = (1.0, 1)
+            elif share >= 0.5:
+                want[k] = (share, len(found))
+        assert got == want
+
+
 def test_tiles():
     assert decontaminate.tiles([1, 2, 3, 4, 5, 6], [4, 5, 6, 9, 1, 2, 3], 2) == [(0, 4, 3), (3, 0, 3)]
     assert decontaminate.tiles([1, 1, 1, 1], [1, 1, 1], 2) == [(0, 0, 3)]
@@ -104,14 +170,14 @@ def test_tiles():
 
 def test_decontamination(spark, messy):
     item = [f"w{i}" for i in range(30)]
-    bench = spark.createDataFrame([(1, " ".join(item)), (2, "too short"), (3, None), (None, "a b c d e f g"), (4, " ".join(f"z{i}" for i in range(12)))], "item_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "too short"), (3, None), (None, "a b c d e f g"), (4, " ".join(f"z{i}" for i in range(12))), (5, "--")], "item_id long, text string")
     swapped = [*item[20:], "gap", *item[:10], "more", *item[10:20]]
-    rows = [(1, "x " + " ".join(item).upper() + " y"), (2, " ".join(swapped)), (3, " ".join(item[:12])), (4, None), (5, "too short"), (6, "pad " * 50_000 + " ".join(item))]
+    rows = [(1, "x " + " ".join(item).upper() + " y"), (2, " ".join(swapped)), (3, " ".join(item[:12])), (4, None), (5, "far too short"), (6, "pad " * 50_000 + " ".join(item)), (7, "short too")]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     for block in (1_000_000, 20):
         got = {(r["doc_id"], r["item_id"]): (r["coverage"], r["tiles"]) for r in decontaminate.find_leaks(df, bench, block_words=block).collect()}
-        assert got == {(1, 1): (1.0, 1), (2, 1): (1.0, 3), (6, 1): (1.0, 1)}
-    assert sorted(r["doc_id"] for r in decontaminate.drop_leaks(df, bench).collect()) == [3, 4, 5]
+        assert got == {(1, 1): (1.0, 1), (2, 1): (1.0, 3), (5, 2): (1.0, 1), (6, 1): (1.0, 1)}
+        assert sorted(r["doc_id"] for r in decontaminate.drop_leaks(df, bench, block_words=block).collect()) == [3, 4, 7]
     assert decontaminate.drop_leaks(messy, bench.limit(0)).columns == messy.columns
     assert decontaminate.drop_leaks(messy, bench).count() == len(MESSY) and decontaminate.find_leaks(messy.limit(0), bench).count() == 0
 
@@ -124,9 +190,27 @@ def test_language_id(spark, docs, messy):
     assert [got[k] for k in (None, 1, 2, 6)] == ["und"] * 4 and got[3] != "und"
     nothing = language_id.predict(messy, *language_id.fit(messy.limit(0)))
     assert {r["lang_pred"] for r in nothing.collect()} == {"und"}
-    # Chunks of a long text give the counts of the whole.
-    whole = np.concatenate(list(language_id.gram_buckets("abc" * 200_000, 64)))
-    assert len(whole) == sum(600_002 - n + 1 for n in language_id.ORDERS)
+    # As many languages as documents.
+    langs, logs = language_id.fit(docs.withColumn("lang", docs["doc_id"].cast("string")))
+    assert len(langs) > 100 and logs.size <= language_id.MATRIX_CELLS + len(langs)
+
+
+def test_language_scores_match_brute_force(monkeypatch):
+    texts = ["abcabc", "x", "Ünder", "", "words of a longer text " * 20]
+    logs = np.random.default_rng(6).normal(size=(65, 3))
+    want = []
+    for t in texts:
+        points, total = [ord(c) for c in f" {t.lower()} "], logs[-1].copy()
+        for n in language_id.ORDERS:
+            for i in range(len(points) - n + 1):
+                h = np.array([n], np.uint64)
+                for c in points[i : i + n]:
+                    h = h * np.uint64(0x100000001B3) + np.uint64(c)
+                total += logs[int(language_id.mixed(h)[0] % np.uint64(64))]
+        want.append(total)
+    for chunk in (1 << 17, 7):
+        monkeypatch.setattr(language_id, "CHUNK", chunk)
+        assert np.allclose(language_id.log_scores(texts, logs), want)
 
 
 def test_line_quality(spark, docs, labels, messy):
@@ -140,6 +224,30 @@ def test_line_quality(spark, docs, labels, messy):
     assert line_quality.keep_good(messy, labels).columns == messy.columns
 
 
+def test_line_features_match_brute_force():
+    text = "The Cat sat 12 !!\nGO GO GO\n\na a b é"
+    x, w = line_quality.line_features(text)
+    want = []
+    for line in text.split("\n"):
+        b, words = line.encode(), line.split()
+        n = max(1, len(b))
+        symbol = sum(not (c >= 128 or chr(c).isalnum() or chr(c) in " .,;:'\"()-") for c in b) / n
+        loud = [sum(c.isupper() for c in v) >= 2 and sum(c.islower() for c in v) == 0 for v in words]
+        want.append([sum(65 <= c <= 90 for c in b) / n, sum(48 <= c <= 57 for c in b) / n, sum(chr(c) in ".,;:'\"()-" for c in b) / n, symbol, min(symbol * 10, 1),
+                     sum(p == q for p, q in zip(words, words[1:])) / max(1, len(words)), sum(loud) / max(1, len(words)), math.log1p(len(b)) / 8, len(b) == 0])
+    assert np.allclose(x[:, :9], want, atol=1e-6) and np.allclose(x[1:, 9:16], x[:-1, :7]) and np.allclose(x[:-1, 16:23], x[1:, :7])
+    assert w.tolist() == [len(s.encode()) or 1 for s in text.split("\n")]
+
+
+def test_the_fit_reads_whole_texts(spark):
+    # What tells the labels apart stands behind 300 like lines.
+    rows = [(i, "one plain line\n" * 300 + ("bad ***\n" if i % 2 else "good words\n") * 300) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1 - i % 2) for i, _ in rows], "doc_id long, quality int")
+    got = {r["doc_id"]: r["score"] for r in line_quality.score(df, line_quality.fit(df, marks)).collect()}
+    assert min(s for i, s in got.items() if i % 2 == 0) > max(s for i, s in got.items() if i % 2)
+
+
 def test_chain_marginals_match_enumeration():
     rng = np.random.default_rng(3)
     node, pair = rng.normal(size=(1, 5)), rng.normal(size=(2, 2))
@@ -163,6 +271,24 @@ def test_toxicity(spark, data, messy):
     assert toxicity.fit(docs, labels.limit(0)) is None and {r["score"] for r in toxicity.score(messy, None).collect()} == {0.0}
 
 
+def test_toxicity_features():
+    lexicon = {"idiot": 3.0, "stupi~": 2.0}
+    names = dict(zip(toxicity.FEATURES, toxicity.features("You IDIOT! so stupidly b4d, and ² Ⅷ far away from it all idiot", lexicon), strict=True))
+    words = ["You", "IDIOT", "so", "stupidly", "b4d", "and", "²", "Ⅷ", "far", "away", "from", "it", "all", "idiot"]
+    n, letters = len(words), sum(c.isalpha() for w in words for c in w)
+    assert names["density"] == 3 / n and names["weighted"] == 8 / n and names["strongest"] == 3 and names["distinct"] == 2 and names["second_person"] == 1 / n and names["near"] == 2 / n
+    assert names["capitals"] == 6 / letters and names["shouted"] == 1 / n and names["obfuscated"] == 1 / n
+    # A feature that is a share does not change with the length of a text.
+    part = "Aa ½² B3 ok "
+    short, long = (toxicity.features(part * k, lexicon) for k in (300, 3000))
+    assert np.allclose(short[:3] + short[5:11], long[:3] + long[5:11])
+    assert toxicity.features(None, lexicon) == toxicity.features("  ", lexicon) == [0.0] * len(toxicity.FEATURES)
+
+
+def test_toxicity_without_rows(spark, messy):
+    assert toxicity.score(messy.limit(0), None).count() == 0 and line_quality.score(messy.limit(0), None).count() == 0
+
+
 def test_isotonic():
     knots = isotonic(np.array([1.0, 2, 3, 4, 4]), np.array([0.0, 1, 0, 1, 1]))
     p = calibrated(knots, np.linspace(0, 5, 50))
@@ -181,6 +307,32 @@ def test_licenses(spark, messy):
         licenses.scan(messy, [("short", "a b")])
 
 
+def brute_licenses(text, templates, coverage):
+    """Templates that somewhere share enough words with a text, by alignment with all of it."""
+    words, out = [w.lower() for w in licenses.TOKEN.findall(text)], set()
+    for name, template in templates:
+        pattern = [w.lower() for w in licenses.TOKEN.findall(template)]
+        m, *_ = licenses.aligned(pattern, words, 0, len(words) + len(pattern))
+        if m / len(pattern) >= coverage:
+            out.add(name)
+    return out
+
+
+def test_licenses_match_full_alignment(spark):
+    rng, rows = np.random.default_rng(7), []
+    for i in range(60):
+        name, template = licenses.TEMPLATES[i % len(licenses.TEMPLATES)]
+        words = template.split()
+        for _ in range(int(rng.integers(0, 1 + len(words) // 8))):
+            words[int(rng.integers(len(words)))] = "changed"
+        filler = [" ".join(rng.choice(["some", "other", "words", "é", "of", "the"], 40)) for _ in range(2)]
+        rows.append((i, filler[0] + "\u00a0" + ["\u00a0", " ", "\n * "][i % 3].join(words) + " " + filler[1]))
+    got = {}
+    for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        got.setdefault(r["doc_id"], set()).add(r["license"])
+    assert got == {i: want for i, t in rows if (want := brute_licenses(t, licenses.TEMPLATES, licenses.COVERAGE))}
+
+
 def brute_neighbours(rows, every=20, nearest=20):
     ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], float)
     out = {}
@@ -202,7 +354,26 @@ def test_neighbours(spark, data, monkeypatch):
     assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
     assert np.mean([len({a for a, _ in got[q]} & {a for a, _ in want[q]}) / 20 for q in want]) >= 0.9
     exact = {r["vec_id"]: np.array(r["embedding"], float) for r in df.collect()}
-    assert all(np.isclose(s, exact[q] @ exact[v], rtol=0, atol=1e-12) for q in got for v, s in got[q])
+    assert all(s == math.fsum(exact[q] * exact[v]) for q in got for v, s in got[q])
+
+
+@pytest.mark.parametrize("clusters", [40, 0])
+def test_neighbours_beyond_the_sample(spark, clusters):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(4000, 16))
+    if clusters:
+        x = rng.normal(size=(clusters, 16))[rng.integers(0, clusters, 4000)] + 0.15 * x
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    want = brute_neighbours(rows)
+    got = {}
+    for r in neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), sample=800, centroids=16).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert np.mean([len(got[q] & {a for a, _ in want[q]}) / 20 for q in want]) >= 0.9
+    if clusters:  # an index of clustered vectors visits few of them
+        index = neighbours.MultiIndex(x[:800], 16)
+        counts = np.bincount(index.cell(x), minlength=256)
+        assert np.mean([counts[c].sum() for c in index.walks(x[:200], counts)]) < 0.35 * len(x)
 
 
 def test_neighbour_edges(spark):
@@ -211,6 +382,8 @@ def test_neighbour_edges(spark):
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "vec_id long, embedding array<double>, rank int, v string")
     got = [tuple(r) for r in neighbours.search(df).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 2, 1.0), (0, 2, 20, 1.0), (0, 3, 1, 0.5), (20, 1, 0, 1.0), (20, 2, 2, 1.0), (20, 3, 1, 0.5)]
+    twice = spark.createDataFrame([(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.5, 0.25])], "vec_id long, embedding array<double>")
+    assert sorted(tuple(r) for r in neighbours.search(twice).collect()) == [(0, 1, 1, 0.25), (0, 1, 1, 0.5), (0, 2, 0, 0.0), (0, 2, 0, 0.0)]
     same = spark.createDataFrame([(i, [0.6, 0.8]) for i in range(60)], "vec_id long, embedding array<double>")
     assert [r["vec_id"] for r in neighbours.search(same).where("query_id = 20").orderBy("rank").collect()] == [*range(20)]
     assert neighbours.search(df.limit(0)).columns == ["query_id", "rank", "vec_id", "score"]
@@ -227,5 +400,28 @@ def test_pipeline(spark, data):
         assert name == "mixture" or kept.columns == docs.columns
     assert docs.count() > seen[0] > seen[1] >= seen[2] == seen[3] >= seen[4] > 0
     assert kept.where("text rlike '[a-z0-9]@mail'").count() == 0
+    assert seen[1] == sum(r["kept"] for r in near_duplicates.near_duplicates(corpus_pipeline.quality(spark, docs, data)).collect())
     rerun = corpus_pipeline.run(spark, data)
     assert rerun.exceptAll(kept).count() == 0 == kept.exceptAll(rerun).count()
+
+
+def test_pipeline_stages_on_messy_rows(spark, messy, data):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, messy.limit(0), data).count() == 0
+        out = stage(spark, messy, data)
+        assert set(messy.columns) <= set(out.columns) and out.count() <= len(MESSY), name
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from traffic_signals.llm.common import shared_dir
+
+    class Session:
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+            getCheckpointDir = staticmethod(lambda: None)
+
+        class conf:  # noqa: N801
+            get = staticmethod(lambda key, default: default)
+
+    with pytest.raises(ValueError):
+        shared_dir(Session)

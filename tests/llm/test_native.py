@@ -1,8 +1,10 @@
 """Operators written in DataFrame expressions: URL rules, mixing, personal data."""
 
 import hashlib
+import math
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -158,8 +160,86 @@ def test_disclosing_words_of_groups(spark):
     assert all(f"unique{chr(97 + i)}" in out[i] and "wrote" in out[i] and "today" in out[20 + i] for i in range(8)) and all(out[i] == t for i, t in plain)
 
 
+def brute_terms(rows, prior=personal_data.PRIOR, generalise=personal_data.GENERALISE):
+    """Words that disclose an entity of their document, by the formula of the module, from counts over all documents."""
+    docs = []
+    for i, text in rows:
+        blank, found = text, set()
+        for kind, (_, p) in enumerate(PATTERNS):
+            for m in re.finditer(p, text):
+                if valid(PATTERNS[kind][0], m.group()):
+                    blank = blank[: m.start()] + "\n" * (m.end() - m.start()) + blank[m.end() :]
+                    low, d = m.group().lower(), re.sub("[^0-9]", "", m.group())
+                    name = re.match(r"[^@a-z]*([a-z]+)[^@]*@", low)
+                    groups = [[low, "*@" + low.split("@")[-1], *([name.group(1) + "*@"] if name else [])], [low, ".".join(low.split(".")[:3]) + ".*", ".".join(low.split(".")[:2]) + ".*"], [d, d[:6] + "*"], [d, d[:4] + "*"]]
+                    found |= {(kind, e) for e in groups[kind]}
+        docs.append((i, text, found, {w.lower() for w in re.findall(r"[^\W\d_]{3,}", blank)}))
+    n = len(docs)
+    out = {}
+    for i, _, entities, words in docs:
+        for t in words:
+            for e in entities:
+                n_e, n_t, both = (sum(f(d) for d in docs) for f in (lambda d, e=e: e in d[2], lambda d, t=t: t in d[3], lambda d, e=e, t=t: e in d[2] and t in d[3]))
+                if n_e == n:
+                    continue
+                texts = len({d[1] for d in docs if e in d[2] and t in d[3]})
+                score = texts / (texts + prior) * (1 + math.log(both / n_t) / -math.log(n_e / n))
+                if score >= generalise:
+                    out.setdefault(i, set()).add(t)
+    return out
+
+
+def test_terms_match_brute_force(spark):
+    rng = np.random.default_rng(3)
+    names = ["ann@corp.example", "bob.x@corp.example", "eve@other.example", "10.1.2.3", "+1 555 123 4567"]
+    own = {e: [f"{a}{'pqrst'[k]}{b}" for a in ("kiwi", "lemon") for b in "xyz"[: k + 1]] for k, e in enumerate(names)}
+    rows = []
+    for i in range(240):
+        text = [str(w) for w in rng.choice(["common", "words", "about", "things"], 6)]
+        if i < 60:
+            e = names[i % 5]
+            text += [e, *(w for w in own[e] if rng.random() < 0.8)]
+        elif rng.random() < 0.02:
+            text += ["kiwix"]
+        rows.append((i, " ".join(str(w) for w in rng.permutation(text)) if i % 11 else " ".join(text)))
+    got = {}
+    for r in personal_data.report(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        for kind, a, b in (x.split(":") for x in r["spans"].split(",") if x):
+            if kind == "term":
+                got.setdefault(r["doc_id"], set()).add(rows[r["doc_id"]][1][int(a) : int(b)].lower())
+    assert got == brute_terms(rows) and got
+
+
+def test_generalised_words(spark):
+    """A word between the thresholds keeps as much of its beginning as frequent words share."""
+    secret = [(i, f"note {i} zebrafish wrote to ann@corp.example today") for i in range(5)]
+    plain = [(i, f"note {i} about a zebra today") for i in range(100, 160)]
+    out = dict(personal_data.sanitise(spark.createDataFrame([*secret, *plain], "doc_id long, text string"), remove=0.95).collect())
+    assert all(out[i] == f"note {i} [zebra*] wrote to [EMAIL] today" or "[zebra*]" in out[i] for i in range(5)) and out[100] == plain[0][1]
+
+
+def test_very_many_mentions(spark):
+    text = " ".join(f"user{i} wrote a{i}@mail{i % 50}.example" for i in range(20_000))
+    df = spark.createDataFrame([(k, text + f" {k}") for k in range(4)] + [(9, "é" * 300_000)], "doc_id long, text string")
+    assert [r["n_email"] for r in personal_data.report(df).orderBy("doc_id").collect()] == [20_000] * 4 + [0]
+    out = dict(personal_data.sanitise(df).collect())
+    assert out[0].count("[EMAIL]") == 20_000 and "@" not in out[0] and out[9] == "é" * 300_000
+
+
+def test_weights_of_the_mix_follow_quality(spark, data):
+    big = data.replace("sf0.001", "sf0.01")
+    docs = spark.read.parquet(f"{big}/documents.parquet").join(spark.read.parquet(f"{big}/labels.parquet"), "doc_id").withColumn("words", mixing.words_of(F.col("text")))
+    w = docs.select("quality", mixing.quality_weight(F.col("text"), F.size("words"), F.size(F.array_distinct("words"))).alias("w")).toPandas().groupby("quality")["w"]
+    assert w.median()[1] > 3 * w.median()[0] and w.min().min() >= 0.05 and w.max().max() <= 1.05 + 1e-9
+
+
+def test_urls_without_a_host_skip_the_join(spark):
+    df = spark.createDataFrame([(i, None if i % 2 else "no scheme") for i in range(50)] + [(50, "http://x.net/es/")], "page_id long, url string")
+    got = url_rules.apply_rules(df, url_rules.rule_table(spark, url_rules.RULES)).where("rule is null").collect()
+    assert len(got) == 50 and {tuple(r)[1:] for r in got} == {("", "", None, "allow")}
+
+
 def test_no_python_on_the_native_path(spark, data):
     for name in ("op2_mix_sources", "op8_personal_data", "op10_url_filter"):
         plan = registry.QUERIES[name](spark, data)._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan), name
-    assert F is not None

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -19,13 +20,20 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for checkpoints: the cluster's own, or a temporary one where none is set."""
+    """The folder for checkpoints: the cluster's own, or, with a local master only, a temporary one where none is set."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
+        path = spark.conf.get("spark.checkpoint.dir", None)
+        if not path and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(path or tempfile.mkdtemp(prefix="spark-"))
     return sc.getCheckpointDir()
 
 
+#: Paths of the tables that `staged` has written, so that a job that is done with them can delete them.
+_written: list[str] = []
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared checkpoint folder and read it again.
 
@@ -33,9 +41,23 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_staged(spark: SparkSession, start: int, keep: int = 0) -> None:
+    """Delete the tables staged since `_written` had `start` entries, but for the `keep` latest. Nothing may read them any more."""
+    gone = _written[start : len(_written) - keep]
+    _written[start : len(_written) - keep] = []
+    for path in gone:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def n_staged() -> int:
+    return len(_written)
+
+
 def held_out(doc_id: Column) -> Column:
     """Whether the document must not be learned from; a null id counts as held out."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(True))

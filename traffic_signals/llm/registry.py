@@ -17,5 +17,6 @@ QUERIES = {
 
 ORACLES = {
     "op2_mix_sources": mixing.SQL,
+    "op9_near_duplicates": near_duplicates.SQL,
     "op10_url_filter": url_rules.SQL,
 }
