@@ -82,23 +82,42 @@ def java_pattern(pattern: str) -> str:
     return "(?i)" + head + tail.replace(r"\b", r"(?![A-Za-z0-9_])").replace("$", r"\z")
 
 
-def load_rules(path: str) -> dict[str, list[Rule]]:
-    """Read rules from a JSON file of the shape that `dump_rules` writes."""
-    with open(path) as f:
-        return {kind: [Rule(**(r | {"patterns": tuple(r["patterns"])})) for r in rules] for kind, rules in json.load(f).items()}
+RULE = "array<struct<id:string,provider:string,agent_type:string,confidence:double,patterns:array<string>,docs_url:string>>"
 
 
-def dump_rules(path: str) -> None:
-    with open(path, "w") as f:
-        json.dump({"user_agent": [*map(asdict, USER_AGENT_RULES)], "referer": [*map(asdict, REFERER_RULES)], "query": [*map(asdict, QUERY_RULES)]}, f, indent=1)
+def read_rules(spark: SparkSession, path: str) -> dict[str, list[Rule]]:
+    """Rules from a JSON document of the shape that `write_rules` writes, in any store that Spark reads."""
+    r = spark.read.schema(f"user_agent {RULE}, referer {RULE}, query {RULE}").json(path, multiLine=True).first()
+    return {kind: [Rule(x["id"], x["provider"], x["agent_type"], x["confidence"], tuple(x["patterns"]), x["docs_url"]) for x in r[kind]] for kind in ("user_agent", "referer", "query") if r[kind] is not None}
 
 
-def rules_table(spark: SparkSession) -> DataFrame:
-    """(kind, place, id, provider, agent_type, confidence, docs_url, pattern): one row for each pattern."""
+def write_rules(spark: SparkSession, path: str, rules: dict[str, list[Rule]] | None = None) -> None:
+    """A folder with one JSON document; by default the rules of the registry."""
+    own = rules or {"user_agent": USER_AGENT_RULES, "referer": REFERER_RULES, "query": QUERY_RULES}
+    text = json.dumps({kind: [*map(asdict, some)] for kind, some in own.items()})
+    spark.range(1, numPartitions=1).select(F.lit(text).alias("value")).write.text(path)
+
+
+def rule_differences(ours: DataFrame, theirs: DataFrame) -> DataFrame:
+    """(kind, id, ours, theirs) of two rule tables: rules that are missing on one side (null there), or differ in anything, their order
+    and the order of their patterns included. Two tables agree if there is no row."""
+
+    def rules(df: DataFrame, name: str) -> DataFrame:
+        row = F.struct("place", "provider", "agent_type", "confidence", "docs_url")
+        g = df.groupBy("kind", "id").agg(F.min(row).alias("row"), F.sort_array(F.collect_list(F.struct("nth", "pattern"))).alias("patterns"))
+        return g.select("kind", "id", F.struct("row.*", "patterns").alias(name))
+
+    both = rules(ours, "ours").join(rules(theirs, "theirs"), ["kind", "id"], "full")
+    return both.where(~F.col("ours").eqNullSafe(F.col("theirs")))
+
+
+def rules_table(spark: SparkSession, rules: dict[str, list[Rule]] | None = None) -> DataFrame:
+    """(kind, place, id, provider, agent_type, confidence, docs_url, nth, pattern): one row for each pattern."""
+    own = {"user_agent": USER_AGENT_RULES, "referer": REFERER_RULES, "query": QUERY_RULES} | (rules or {})
     rows = [
-        F.struct(F.lit(kind).alias("kind"), F.lit(i).alias("place"), F.lit(r.id).alias("id"), F.lit(r.provider).alias("provider"), F.lit(r.agent_type).alias("agent_type"), F.lit(r.confidence).alias("confidence"), F.lit(r.docs_url).cast("string").alias("docs_url"), F.lit(p).alias("pattern"))
-        for kind, rules in (("user_agent", USER_AGENT_RULES), ("referer", REFERER_RULES), ("query", QUERY_RULES))
-        for i, r in enumerate(rules)
-        for p in r.patterns
+        F.struct(F.lit(kind).alias("kind"), F.lit(i).alias("place"), F.lit(r.id).alias("id"), F.lit(r.provider).alias("provider"), F.lit(r.agent_type).alias("agent_type"), F.lit(r.confidence).alias("confidence"), F.lit(r.docs_url).cast("string").alias("docs_url"), F.lit(n).alias("nth"), F.lit(p).alias("pattern"))
+        for kind, some in own.items()
+        for i, r in enumerate(some)
+        for n, p in enumerate(r.patterns)
     ]
     return spark.range(1).select(F.inline(F.array(*rows)))

@@ -78,13 +78,15 @@ def best_class(*classes: Column) -> Column:
     return F.coalesce(best, unknown("fallback:unknown-request"))
 
 
-def with_request_class(df: DataFrame, user_agent: str = "user_agent", referer: str = "referer", search: str = "search", name: str = "class") -> DataFrame:
+def with_request_class(df: DataFrame, user_agent: str = "user_agent", referer: str = "referer", search: str = "search", name: str = "class", rules: dict[str, list[Rule]] | None = None) -> DataFrame:
     """df with the classification of each request, by user agent, then referer, then landing query.
 
+    rules: lists for user_agent, referer and query, such as `read_rules` gives; those of the registry stand in for what is left out.
     What the rules read is computed once a row, in a projection of its own, and so is the result.
     """
-    read = df.withColumns({"__agent": filled(F.col(user_agent)), "__referer": filled(F.col(referer)), "__query": known_attribution(F.col(search))})
-    best = best_class(classify_user_agent(F.col("__agent")), classify_referer(F.col("__referer")), classify_landing_query(F.col("__query")))
+    own = {"user_agent": USER_AGENT_RULES, "referer": REFERER_RULES, "query": QUERY_RULES} | (rules or {})
+    read = df.withColumns({"__agent": filled(F.col(user_agent)), "__referer": filled(F.col(referer)), "__query": known_attribution(F.col(search), own["query"])})
+    best = best_class(classify_user_agent(F.col("__agent"), own["user_agent"]), classify_referer(F.col("__referer"), own["referer"]), classify_landing_query(F.col("__query"), own["query"]))
     return with_class(read, best, name).drop("__agent", "__referer", "__query")
 
 
@@ -92,6 +94,21 @@ def first_filled(*values: Column) -> Column:
     return F.coalesce(*map(filled, values))
 
 
+def with_loose_request_class(df: DataFrame, headers: str = "headers", name: str = "class", rules: dict[str, list[Rule]] | None = None) -> DataFrame:
+    """df with the classification of requests that name their parts in several ways; columns that df lacks are absent.
+
+    The first filled one counts: user_agent, or its header; referer, referrer, or their headers; search, query, url, landing_url.
+    """
+    have = lambda *names: [F.col(n) for n in names if n in df.columns]
+    of = lambda *names: [header(F.col(headers), n) for n in names] if headers in df.columns else []
+    none = F.lit(None).cast("string")
+    read = df.withColumns({
+        "__user_agent": first_filled(none, *have("user_agent"), *of("user-agent")), "__from": first_filled(none, *have("referer", "referrer"), *of("referer", "referrer")),
+        "__landing": first_filled(none, *have("search", "query", "url", "landing_url")),
+    })
+    return with_request_class(read, "__user_agent", "__from", "__landing", name, rules).drop("__user_agent", "__from", "__landing")
+
+
 def header(headers: Column, *names: str, trim: bool = True) -> Column:
     """The first non-blank header of these names, whatever its case."""
     found = []
