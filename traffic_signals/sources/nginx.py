@@ -6,6 +6,8 @@ lines never stop a job; `split_errors` puts them aside.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from ..functions.exprs import dash_null, epoch_seconds, http_method, iso_timesta
 
 ENTRY = ["format", "remote_address", "observed_at", "host", "method", "path", "search", "protocol", "status", "bytes_sent", "referer", "user_agent"]
 
+# The combined log format and its time.
 LINE = r'^(\S+)\s+\S+\s+\S+\s+\[([^\]]+)\]\s+"([^"]*)"\s+([0-9]{3}|-)\s+(\S+)(?:\s+"([^"]*)"\s+"([^"]*)")?'
 TIME = r"^[0-9]{2}/(?:Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)/[0-9]{4}:[0-9]{2}:[0-9]{2}:[0-9]{2} [+-][0-9]{4}\z"
 
@@ -60,18 +63,27 @@ def nginx_time(c: Column) -> Column:
 
 def request_parts(request: Column) -> Column:
     """The words of a request line, or null if it has fewer than two."""
-    parts = F.split(jtrim(request), r"\s+")
-    return F.when(request.isNotNull() & (request != "-") & (F.size(parts) >= 2) & (jtrim(request) != ""), parts)
+    return F.get(F.filter(F.array(F.split(jtrim(request), r"\s+")), lambda parts: (request != "-") & (F.size(parts) >= 2)), F.lit(0))
+
+
+#: Stands between the groups of LINE, none of which can hold it: each lacks the quote, the space or the bracket.
+BETWEEN = '" ]'
+
+
+def line_groups(text: Column) -> Column:
+    """The seven groups of LINE, which must match, by one pass over the text; groups that take no part are empty."""
+    every = BETWEEN.join(f"${i}" for i in range(1, 8))
+    return F.split(F.regexp_replace(text, LINE + r"(?s:.*)\z", every), re.escape(BETWEEN), 7)
 
 
-def present(keys: list[str], v: str = "__v", names: str = "__names") -> Column:
+def present(keys: list[str], fields: str = "__fields") -> Column:
     """struct<type, text> of the first key that a JSON object has, whatever its type: later keys don't stand in for null, blank or `-`."""
-    out = None
+    value = None
     for k in keys:
-        value = F.struct(F.schema_of_variant(F.try_variant_get(F.col(v), f"$['{k}']", "variant")).alias("type"), F.try_variant_get(F.col(v), f"$['{k}']", "string").alias("text"))
-        here = F.array_contains(names, k)
-        out = F.when(here, value) if out is None else out.when(here, value)
-    return out
+        here, own = F.map_contains_key(fields, k), F.try_element_at(fields, F.lit(k))
+        value = F.when(here, own) if value is None else value.when(here, own)
+    each = F.transform(F.array(value), lambda v: F.struct(F.schema_of_variant(v).alias("type"), F.try_variant_get(v, "$", "string").alias("text")))
+    return each[0]
 
 
 def is_text(x: str) -> Column:
@@ -98,8 +110,9 @@ def parse_nginx(df: DataFrame, format: str = "auto", default_host: str | None =
     # A JSON line is parsed inside brackets, so that anything after the object makes the whole malformed.
     d = d.withColumn("__all", F.when(F.col("__json"), F.try_parse_json(F.concat(F.lit("["), "__line", F.lit("]")))))
     d = d.withColumns({"__v": F.try_variant_get("__all", "$[0]", "variant"), "__more": F.try_variant_get("__all", "$[1]", "variant").isNotNull(), "__text": F.when(~F.col("__json"), F.col("__line"))})
-    d = d.withColumns({"__object": F.coalesce(F.schema_of_variant("__v").startswith("OBJECT") & ~F.col("__more"), F.lit(False)), "__names": F.json_object_keys(F.to_json("__v")), "__fits": F.col("__text").rlike(LINE)})
-    d = d.withColumns({f"__p_{k}": present(keys) for k, keys in KEYS.items()} | {f"__c{i}": F.regexp_extract("__text", LINE, i) for i in range(1, 8)})
+    d = d.withColumns({"__fields": F.try_variant_get("__v", "$", "map<string,variant>"), "__fits": F.coalesce(F.col("__text").rlike(LINE), F.lit(False))})
+    d = d.withColumns({"__object": F.col("__fields").isNotNull() & ~F.col("__more"), "__groups": F.when(F.col("__fits"), line_groups(F.col("__text")))})
+    d = d.withColumns({f"__p_{k}": present(keys) for k, keys in KEYS.items()} | {f"__c{i}": F.get("__groups", F.lit(i - 1)) for i in range(1, 8)})
     d = d.withColumns({f"__t_{k}": dash_null(F.when(is_text(f"__p_{k}"), F.col(f"__p_{k}.text"))) for k in KEYS if k not in ("status", "bytes_sent", "msec")} | {"__creq": request_parts(F.col("__c3"))})
     d = d.withColumn("__req", F.when(F.col("__json"), request_parts(F.col("__t_request"))).otherwise(F.col("__creq")))
     split = ~F.col("__json") | F.col("__t_request").isNotNull()  # a present but malformed request does not fall through
