@@ -12,12 +12,12 @@ from traffic_signals.functions.exprs import form_decode, jtrim, strict_iso
 from traffic_signals.operators import delivery, rollups
 from traffic_signals.operators.classify import with_request_class
 from traffic_signals.operators.privacy import allow_headers, hmac_pads, hmac_sha256, sanitize_for_delivery
-from traffic_signals.plans.jobs import nginx_to_observations
-from traffic_signals.sources.cloudfront import decode_envelopes, parse_cloudfront
+from traffic_signals.plans.jobs import cloudfront_to_observations, delivery_job, nginx_to_observations
+from traffic_signals.sources.cloudfront import decode_envelopes, parse_cloudfront, read_cloudfront
 from traffic_signals.sources.nginx import parse_nginx, read_nginx, split_errors
 from traffic_signals.sources.requests import page_route, url_authority
-from traffic_signals.sources.sinks import write_dead_letters, write_observations
-from traffic_signals.streaming.jobs import stream_nginx, stream_rollup
+from traffic_signals.sources.sinks import side_output, write_dead_letters, write_observations, write_outbox
+from traffic_signals.streaming.jobs import stream_cloudfront, stream_nginx, stream_rollup
 
 CASES = [
     # user agent, referer, search -> provider, rule
@@ -53,9 +53,79 @@ def test_guards_cover_the_rules():
     assert all(p.startswith("^https?") for r in rules.REFERER_RULES for p in r.patterns)
 
 
-def test_rules_round_trip(tmp_path):
-    rules.dump_rules(str(tmp_path / "rules.json"))
-    assert rules.load_rules(str(tmp_path / "rules.json")) == {"user_agent": rules.USER_AGENT_RULES, "referer": rules.REFERER_RULES, "query": rules.QUERY_RULES}
+def test_rules_round_trip(spark, tmp_path):
+    rules.write_rules(spark, str(tmp_path / "rules"))
+    assert rules.read_rules(spark, str(tmp_path / "rules")) == {"user_agent": rules.USER_AGENT_RULES, "referer": rules.REFERER_RULES, "query": rules.QUERY_RULES}
+
+
+def test_own_rules_classify(spark, tmp_path):
+    own = {"user_agent": [rules.Rule("ua:own", "other_bot", "ai_search_crawler", 0.5, (r"\bownbot\b",))]}
+    rules.write_rules(spark, str(tmp_path / "own"), own)
+    df = spark.createDataFrame([("OwnBot/1", None, None), ("GPTBot", "https://chatgpt.com/", None)], "user_agent string, referer string, search string")
+    got = [r["class"]["matched_rule"] for r in with_request_class(df, rules=rules.read_rules(spark, str(tmp_path / "own"))).collect()]
+    assert got == ["ua:own", "ref:openai:chatgpt"]
+
+
+def test_rule_differences(spark):
+    """Two tables of rules are compared both ways."""
+    ours = rules.rules_table(spark)
+    assert rules.rule_differences(ours, ours).count() == 0
+    changed = {"user_agent": [*rules.USER_AGENT_RULES[1:], rules.Rule("ua:new", "x", "y", 0.1, ("a",))], "query": [rules.Rule(**{**vars(rules.QUERY_RULES[0]), "patterns": ("b",)})]}
+    gone, new, query = rules.USER_AGENT_RULES[0].id, "ua:new", rules.QUERY_RULES[0].id
+    got = {r["id"]: (r["ours"] is None, r["theirs"] is None) for r in rules.rule_differences(ours, rules.rules_table(spark, changed)).collect()}
+    assert got[gone] == (False, True) and got[new] == (True, False) and got[query] == (False, False)
+
+
+# Typed apart from the registry: what known agents, referers and queries must be classified as.
+KNOWN = {
+    "user_agent": {
+        "Mozilla/5.0 (compatible; OAI-SearchBot/1.0; +https://openai.com/searchbot)": ("openai_search_bot", "ai_search_crawler"), "Mozilla/5.0 (compatible; GPTBot/1.2)": ("openai_gptbot", "ai_training_crawler"),
+        "Mozilla/5.0 ChatGPT-User/1.0": ("openai_chatgpt_user", "ai_browser_user"), "ClaudeBot/1.0": ("anthropic_claudebot", "ai_training_crawler"), "Claude-User/1.0": ("anthropic_claude_user", "ai_browser_user"),
+        "Claude-SearchBot/1.0": ("anthropic_claude_search_bot", "ai_search_crawler"), "PerplexityBot/1.0": ("perplexitybot", "ai_search_crawler"), "Perplexity-User/1.0": ("perplexity_user", "ai_browser_user"),
+    },
+    "referer": {
+        "https://chatgpt.com/": "openai_chatgpt_referral", "https://claude.ai/chat/1": "anthropic_claude_referral", "https://www.perplexity.ai/search": "perplexity_referral", "https://gemini.google.com/app": "google_gemini_referral",
+        "https://copilot.microsoft.com/": "microsoft_copilot_referral", "https://grok.com/": "xai_grok_referral", "https://chat.mistral.ai/chat": "mistral_le_chat_referral", "https://www.meta.ai/": "meta_ai_referral",
+    },
+    "search": {"?utm_source=chatgpt.com": "openai_chatgpt_referral", "https://example.com/?utm_source=chatgpt": "openai_chatgpt_referral", "?source=chat.openai.com": "openai_chatgpt_referral"},
+}
+
+
+def test_known_visitors(spark):
+    rows = [(v if k == "user_agent" else None, v if k == "referer" else None, v if k == "search" else None) for k, vs in KNOWN.items() for v in vs]
+    df = with_request_class(spark.createDataFrame(rows, "user_agent string, referer string, search string"))
+    got = {r["user_agent"] or r["referer"] or r["search"]: r["class"] for r in df.collect()}
+    for v, (provider, kind) in KNOWN["user_agent"].items():
+        assert (got[v]["provider"], got[v]["agent_type"], got[v]["matched_by"]) == (provider, kind, "user_agent")
+    for k in ("referer", "search"):
+        for v, provider in KNOWN[k].items():
+            assert (got[v]["provider"], got[v]["agent_type"]) == (provider, "ai_referral_visit")
+
+
+def test_typed_validation_agrees_with_the_contract(spark, data):
+    from traffic_signals.operators.validate import valid_observation, validate_events
+    from traffic_signals.plans.jobs import observe_requests
+
+    o = observe_requests(rl.request_records(rl.request_log(spark, data)), "vercel", carry=("event_id",))
+    k = F.col("event_id") % 12
+    broken = {"host": (1, ""), "path": (2, "x"), "search": (3, "q"), "method": (4, "get"), "country": (5, "us"), "region": (6, ""), "request_id": (7, ""), "observed_at": (8, "2024-02-31T00:00:00Z"), "source_provider": (9, "x"), "integration_name": (10, ""), "integration_kind": (11, "x")}
+    o = o.withColumns({c: F.when(k == n, F.lit(v)).otherwise(F.col(c)) for c, (n, v) in broken.items()})
+    rows = validate_events(delivery.canonical_json(o).withColumn("typed", valid_observation())).select((F.size("issues") == 0).alias("json"), "typed").collect()
+    assert all(r["json"] == r["typed"] for r in rows) and {r["typed"] for r in rows} == {True, False}
+
+
+def test_unknown_fields_keep_their_order(spark):
+    from traffic_signals.operators.validate import validate_probe_responses
+
+    df = spark.createDataFrame([('{"zz":1,"ok":true,"aa":null,"eventKind":"setup_probe","probeId":"a","receivedAt":"2024-01-01T00:00:00Z"}',)], "event string")
+    assert validate_probe_responses(df).first()["issues"] == ["response.zz is not allowed", "response.aa is not allowed"]
+
+
+def test_collection_is_switched_on_by_exact_words(spark):
+    from traffic_signals.sources.requests import tracked
+
+    df = spark.createDataFrame([("1",), ("true",), ("TRUE",), (" yes",), ("on",), (None,), ("0",)], "enabled string")
+    assert [r[0] for r in tracked(df).collect()] == ["1", "true", "on"]
 
 
 def test_expressions(spark):
@@ -159,7 +229,55 @@ def test_stream_equals_batch(spark, data, tmp_path):
     streamed = spark.read.parquet(str(tmp_path / "out")).select(*batch.columns)
     assert batch.count() == streamed.count() > 0
     assert batch.drop("class", "ip_hash").exceptAll(streamed.drop("class", "ip_hash")).count() == 0
-    stream_rollup(spark, str(tmp_path / "in"), str(tmp_path / "rolled"), str(tmp_path / "cp2")).awaitTermination()
+    # What a failed run has left is replaced, and files that were taken are not taken again.
+    stream_nginx(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == batch.count()
+    stream_nginx(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp-lost")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == batch.count()
+    # A file that comes later under a new name is the only one read.
+    rl.common_lines(rl.request_log(spark, data).limit(20)).select("value").coalesce(1).write.text(str(tmp_path / "late"))
+    (part,) = (tmp_path / "late").glob("part-*")
+    part.rename(tmp_path / "in" / "rotated.txt")
+    stream_nginx(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == nginx_to_observations(read_nginx(spark, str(tmp_path / "in"))).count() > batch.count()
+
+
+def test_stream_rollup(spark, data, tmp_path):
+    log = rl.request_log(spark, data)
+    late = log.limit(1).withColumns({"stamp": F.lit("2035-01-01").cast("timestamp"), "event_id": F.lit(0).cast("long")})
+    for i, part in enumerate((log, late)):  # the watermark of the last file closes the windows of the first
+        rl.common_lines(part).select("value").coalesce(1).write.text(str(tmp_path / f"p{i}"))
+    (tmp_path / "in").mkdir()
+    for i in range(2):
+        (file,) = (tmp_path / f"p{i}").glob("part-*")
+        file.rename(tmp_path / "in" / f"{i}.txt")
+        stream_rollup(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    got = {(r["start"], r["bucket"], r["family"]): r["visits"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    want = rollups.by_bucket(with_request_class(log).withColumn("start", F.date_trunc("hour", "stamp")), "start").collect()
+    assert got == {(r["start"], r["bucket"], r["family"]): r["visits"] for r in want}
+
+
+def test_stream_of_cdn_lines(spark, data, tmp_path):
+    lines = rl.cloudfront_lines(rl.request_log(spark, data))
+    lines.select("value").write.text(str(tmp_path / "in"))
+    stream_cloudfront(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    batch = cloudfront_to_observations(read_cloudfront(spark, str(tmp_path / "in")))
+    assert spark.read.parquet(str(tmp_path / "out")).drop("class", "ip_hash", "batch_id").exceptAll(batch.drop("class", "ip_hash")).count() == 0 < batch.count()
+
+
+def test_outbox_and_side_outputs(spark, data, tmp_path):
+    import json
+
+    obs = nginx_to_observations(rl.common_lines(rl.request_log(spark, data))).withColumns({"shard": F.lit(1), "own": F.lit("main")})
+    keys = spark.createDataFrame([("main", b"\x36" * 64, b"\x5c" * 64)], "site string, ipad binary, opad binary")
+    sent = delivery_job(obs, "shard", ["observed_at"], keys, "own", F.lit("t"))
+    write_outbox(sent.select("body", "signature"), str(tmp_path / "outbox"))
+    bodies = [json.loads(r["body"])["events"] for r in spark.read.json(str(tmp_path / "outbox")).collect()]
+    assert sum(map(len, bodies)) == obs.count() and max(map(len, bodies)) == 100
+    assert not any("?" in e["request"].get("referer", "") for b in bodies for e in b)
+    seen = []
+    side_output(obs, lambda df: seen.append(df.count()), lambda df: write_observations(df.drop("ip_hash"), str(tmp_path / "o")))
+    assert seen == [spark.read.parquet(str(tmp_path / "o")).count()]
 
 
 def test_sinks(spark, data, tmp_path):

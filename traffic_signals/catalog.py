@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 from . import requestlog as rl
 from .functions.exprs import http_method, iso_millis
 from .functions.rules import QUERY_RULES, REFERER_RULES, USER_AGENT_RULES, Rule, rules_table
-from .functions.schema import AGENT_TYPES, CLASSIFIED_PROVIDERS, HTTP_METHODS, INTEGRATION_KINDS, INTEGRATION_ORIGINS, PROVIDER_BUCKETS, SIGNAL_FAMILIES, SOURCE_PROVIDERS
+from .functions.schema import AGENT_TYPES, BUCKET_LABELS, CLASSIFIED_PROVIDERS, FAMILY_LABELS, HTTP_METHODS, INTEGRATION_KINDS, INTEGRATION_ORIGINS, PROVIDER_BUCKETS, SIGNAL_FAMILIES, SOURCE_PROVIDERS
 from .operators import delivery, rollups
-from .operators.classify import classify_landing_query, classify_referer, classify_user_agent, integration_origins, known_attribution, with_class, with_request_class
+from .operators.classify import classify_landing_query, classify_referer, classify_user_agent, integration_origins, known_attribution, with_class, with_loose_request_class, with_request_class
 from .operators.privacy import Policy, allow_headers, allow_pairs, apply_privacy, hmac_sha256, key_table, omit_query, resolve_policies, sanitize_referral_search, sha256_ip, strip_referer, truncated
-from .operators.validate import validate_events, validate_probe_responses, validate_probes
-from .plans.jobs import cloudfront_to_observations, envelopes_to_observations, forwardable, nginx_to_observations, observe_requests
+from .operators.validate import read_events, validate_events, validate_probe_responses, validate_probes
+from .plans import jobs
+from .plans.jobs import cloudfront_to_observations, envelopes_to_observations, forwardable, nginx_to_observations, observe_requests, union_observations
 from .sources.cloudfront import decode_envelopes, parse_cloudfront
 from .sources.nginx import origin_form, parse_nginx, target_path, target_search
-from .sources.requests import page_route, split_probes
+from .sources.requests import page_route, read_requests, split_probes
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -439,11 +440,14 @@ PORT = "CASE WHEN event_id % 17 = 2 THEN ':8443' ELSE '' END"
 PAGE = "CASE WHEN event_id % 17 = 5 THEN '/__setup-probe' ELSE path END"
 
 
-def profile_sql(host: str, request_id: str, country: str, region: str, search: str, ip: str, second_referer: bool = True, untrimmed: bool = False) -> str:
+IS_PROBE = "event_id % 17 = 5 AND event_id % 2 = 0 AND event_id % 3 <> 0"
+
+
+def profile_sql(host: str, request_id: str, country: str, region: str, search: str, ip: str, second_referer: bool = True, untrimmed: bool = False, probes: bool = True) -> str:
     base = CLASSED if second_referer else CLASSED.replace(f"nullif({pick(rl.REFERERS, 5)}, '-') AS referer", f"CASE WHEN event_id % 17 = 3 THEN NULL ELSE nullif({pick(rl.REFERERS, 5)}, '-') END AS referer")
     agent = "CASE WHEN event_id % 17 = 1 THEN ' ' || user_agent ELSE user_agent END" if untrimmed else "user_agent"
     return base + f""" SELECT event_id, {ISO} AS observed_at, {host} AS host, {PAGE} AS path, {search} AS search, {METHOD} AS method, {agent} AS user_agent, {STRIPPED} AS referer, {country} AS country, {region} AS region,
-      {request_id} AS request_id, provider, {ip} AS ip_algorithm FROM classed WHERE provider <> 'other'"""
+      {request_id} AS request_id, provider, {ip} AS ip_algorithm FROM classed WHERE provider <> 'other' {f"AND NOT ({IS_PROBE})" if probes else ""}"""
 
 
 GEO = "CASE event_id % 3 WHEN 0 THEN 'DE' WHEN 1 THEN {fr} ELSE {other} END"
@@ -459,7 +463,7 @@ for _name, _sql in {
     "cloudflare": profile_sql(f"host || {PORT}", "'ray' || event_id", GEO.format(fr="NULL", other="NULL"), "'BE'", cleaned(SAFE), "'none'", False, True),
     "netlify": profile_sql(f"host || {PORT}", "'id' || event_id", GEO.format(fr="'FR'", other="NULL"), "'BE'", cleaned(SAFE), "'none'", False, True),
     "fastly": profile_sql(f"host || {PORT}", "'id' || event_id", GEO.format(fr="'fr'", other="'x1'"), "'BE'", cleaned(SAFE), "NULL"),
-    "wordpress": profile_sql(f"host || {PORT}", "NULL", "NULL", "NULL", "NULL", "'none'", False),
+    "wordpress": profile_sql(f"host || {PORT}", "NULL", "NULL", "NULL", "NULL", "'none'", False, probes=False),
 }.items():
     QUERIES[f"observe_{_name}"], ORACLES[f"observe_{_name}"] = _profile(_name), _sql
 
@@ -482,12 +486,71 @@ def observe_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.groupBy("sequence_number").agg(F.count("*").alias("events"), F.min("request_id").alias("first_request"))
 
 
-@query(CLASSED + f""" SELECT event_id, {ISO} AS observed_at, 'unknown.local' AS host, path, {allowed(['page', 'utm_source'], KEY)} AS search, {METHOD} AS method, user_agent, referer, NULL AS country, NULL AS region,
+# What a referral may keep is read from what the allow-list, on undecoded keys, has left.
+SITE_LEFT = SITE.replace(OWN, f"list_filter({OWN}, lambda p: {KEY} IN ('page', 'utm_source'))")
+
+
+@query(CLASSED + f""" SELECT event_id, {ISO} AS observed_at, 'unknown.local' AS host, path, {cleaned(allowed(['page', 'utm_source'], KEY)).replace("site", f"({SITE_LEFT})")} AS search, {METHOD} AS method, user_agent, {STRIPPED} AS referer, NULL AS country, NULL AS region,
   NULL AS request_id, provider, NULL AS ip_algorithm FROM classed WHERE provider <> 'other'""")
 def observe_nginx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observed(nginx_to_observations(rl.common_lines(rl.request_log(spark, sf_dir)), query="allowlist", allow=("page", "utm_source"), carry=("event_id",)))
 
 
+@query(ORACLES["classify_requests"])
+def classify_loose_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same classes from requests that name their parts in other ways, by turns."""
+    log = rl.request_log(spark, sf_dir)
+    even = F.col("event_id") % 2 == 0
+    header = lambda name, c: F.struct(F.lit(name).alias("key"), F.coalesce(c, F.lit("")).alias("value"))
+    headers = F.map_from_entries(F.array(header("User-Agent", F.col("user_agent")), header("REFERRER", F.when(~even, F.col("referer")))))
+    loose = log.select(
+        "event_id", F.when(even, F.col("user_agent")).alias("user_agent"), F.lit(" ").alias("referer"), F.when(even, F.col("referer")).alias("referrer"), headers.alias("headers"),
+        F.lit("").alias("query"), F.when(even, F.concat(F.lit("https://"), "host", "path", "search")).alias("url"), F.when(~even, F.col("search")).alias("landing_url"),
+    )
+    return with_loose_request_class(loose).select("event_id", *flat())
+
+
+@query(ORACLES["observe_vercel"])
+def observe_scanned_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observations of one runtime from collected records in files."""
+    root = _scratch(spark)
+    rl.request_records(rl.request_log(spark, sf_dir)).drop("event_id").write.json(f"{root}/in")
+    found = observe_requests(read_requests(spark, f"{root}/in"), "vercel")
+    return observed(found.withColumn("event_id", F.substring("request_id", 2, 20).cast("long")))
+
+
+@query(CLASSED + f" SELECT event_id, substr({hmac_sql('ip')}, 1, 32) AS value FROM classed WHERE provider <> 'other' AND NOT ({IS_PROBE})")
+def client_ip_hmac(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hashes of the first forwarded address of each visit."""
+    policy = Policy(query="omit", ip="hash", truncated_bits=128)
+    o = observe_requests(rl.request_records(rl.request_log(spark, sf_dir)), "node", policy, test_keys(spark), F.lit("main"), carry=("event_id",))
+    return o.select("event_id", F.col("ip_hash.value").alias("value"))
+
+
+@query(CLASSED + f""" SELECT source_provider, count(*) AS events FROM (SELECT 'nginx_log_forwarder' AS source_provider FROM classed WHERE provider <> 'other'
+  UNION ALL SELECT 'vercel' FROM classed WHERE provider <> 'other' AND NOT ({IS_PROBE})) GROUP BY 1""")
+def observe_all_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = rl.request_log(spark, sf_dir)
+    return union_observations(nginx_to_observations(rl.common_lines(log)), observe_requests(rl.request_records(log), "vercel")).groupBy("source_provider").agg(F.count("*").alias("events"))
+
+
+@query(CLASSED + f""" SELECT bucket, family, CASE bucket {" ".join(f"WHEN {text(k)} THEN {text(v)}" for k, v in BUCKET_LABELS.items())} END AS bucket_label,
+  CASE family {" ".join(f"WHEN {text(k)} THEN {text(v)}" for k, v in FAMILY_LABELS.items())} END AS family_label, visits
+  FROM (SELECT {BUCKET} AS bucket, {FAMILY} AS family, count(*) AS visits FROM classed GROUP BY 1, 2)""")
+def labelled_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rollups.with_labels(rollups.by_bucket(classed(spark, sf_dir)))
+
+
+@query(LOG + f" SELECT reason, count(*) AS events FROM (SELECT nullif({pick([m for _, m in EVENT_CASES])}, '') AS reason FROM log) GROUP BY 1")
+def event_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event records in files of JSON lines: accepted ones (no reason), and rejected ones by their reason."""
+    root = _scratch(spark)
+    _records(spark, sf_dir, GOOD, EVENT_CASES).select("event").write.text(f"{root}/in")
+    good, bad = read_events(spark, f"{root}/in")
+    every = good.select(F.lit(None).cast("string").alias("reason")).unionByName(bad.select("reason"))
+    return every.groupBy("reason").agg(F.count("*").alias("events"))
+
+
 # --- Delivery ------------------------------------------------------------------------------------------------------------------
 
 SHARDED = LOG + ", sharded AS (SELECT event_id % 7 AS shard, event_id, row_number() OVER (PARTITION BY event_id % 7 ORDER BY event_id) - 1 AS n FROM log)"
@@ -512,6 +575,40 @@ def delivery_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return signed.select("shard", "batch_no", "events", "body", delivery.signature(F.lit("1700000000"), F.col("body"), F.col("ipad"), F.col("opad")).alias("signature"))
 
 
+def json_of(x: str) -> str:
+    return f"to_json({x})::VARCHAR"
+
+
+def json_member(name: str, x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN '' ELSE ',\"{name}\":' || {json_of(x)} END"
+
+
+EVENT_SQL = CLASSED + f""", cleaned AS MATERIALIZED (SELECT event_id, {ISO} AS iso, path, {cleaned("search")} AS search, {METHOD} AS method, user_agent, {STRIPPED} AS referer, provider, agent_type, confidence, matched_by
+  FROM classed WHERE provider <> 'other'), rendered AS (
+  SELECT event_id % 7 AS shard, row_number() OVER (PARTITION BY event_id % 7 ORDER BY event_id) - 1 AS n,
+    '{{"schemaVersion":1,"eventKind":"request_observation","sourceProvider":"nginx_log_forwarder","observedAt":' || {json_of("iso")} || ',"request":{{"host":"unknown.local","path":' || {json_of("path")}
+    || {json_member("search", "search")} || ',"method":' || {json_of("method")} || {json_member("userAgent", "user_agent")} || {json_member("referer", "referer")}
+    || '}},"providerClassification":{{"provider":"' || provider || '","agentType":"' || agent_type || '","confidence":' || confidence::VARCHAR || ',"matchedBy":["' || matched_by
+    || '"]}},"integration":{{"kind":"nginx_log_forwarder","name":"nginx-log-forwarder"}}}}' AS event FROM cleaned
+), posted AS (SELECT shard, (n // 50)::INT AS batch_no, count(*)::INT AS events, '{{"events":[' || string_agg(event, ',' ORDER BY n) || ']}}' AS body FROM rendered GROUP BY 1, 2)"""
+
+
+@query(EVENT_SQL + f" SELECT shard, batch_no, events, body, 'sha256=' || {hmac_sql(text('2024-01-01T00:00:00.000Z.') + ' || body')} AS signature FROM posted")
+def delivery_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From log lines to signed envelopes."""
+    o = nginx_to_observations(rl.common_lines(rl.request_log(spark, sf_dir)), query="keep", carry=("event_id",)).withColumns({"shard": F.col("event_id") % 7, "own": F.lit("main")})
+    sent = jobs.delivery_job(o, "shard", ["event_id"], test_keys(spark), "own", F.lit("2024-01-01T00:00:00.000Z"), 50)
+    return sent.select("shard", "batch_no", "events", "body", "signature")
+
+
+@query(CLASSED + f""" SELECT event_id, '{{"probe":{{"schemaVersion":1,"eventKind":"setup_probe","sourceProvider":"vercel","observedAt":' || {json_of(ISO)} || ',"probe":{{"id":"p' || event_id || '","token":"t"}},"request":{{"host":' || {json_of("host")}
+  || ',"path":"/__setup-probe"' || {json_member("search", "search")} || ',"method":' || {json_of(METHOD)} || {json_member("userAgent", "user_agent")} || {json_member("referer", "referer")}
+  || '}},"integration":{{"kind":"vercel_nextjs_middleware","name":"vercel-middleware","requestId":"r' || event_id || '"}}}}}}' AS body FROM classed WHERE {IS_PROBE}""")
+def probe_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probes = jobs.observe_probes(rl.request_records(rl.request_log(spark, sf_dir)), "vercel", carry=("event_id",))
+    return delivery.probe_envelopes(probes).select("event_id", "body")
+
+
 CODES = [200, 204, 401, 403, 408, 409, 425, 429, 500, 503, 404, 0]
 
 
@@ -565,5 +662,8 @@ def stream_nginx_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scratch(spark: SparkSession) -> str:
     import uuid
 
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or tempfile.mkdtemp(prefix='spark-')}/stream-{uuid.uuid4().hex}"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not spark.sparkContext.master.startswith(("local[", "local:")) and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{shared or tempfile.mkdtemp(prefix='spark-')}/scratch-{uuid.uuid4().hex}"
 

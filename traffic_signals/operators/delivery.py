@@ -27,6 +27,22 @@ def canonical_json(df: DataFrame) -> DataFrame:
     return df.withColumn("event", F.to_json(body))
 
 
+def probe_json(df: DataFrame) -> DataFrame:
+    """df with event: the JSON body of a setup probe."""
+    f = F.col
+    request = F.struct(f("host"), f("path"), f("search"), f("method"), f("user_agent").alias("userAgent"), f("referer"))
+    body = F.struct(
+        f("schema_version").alias("schemaVersion"), f("event_kind").alias("eventKind"), f("source_provider").alias("sourceProvider"), f("observed_at").alias("observedAt"),
+        F.struct(f("probe_id").alias("id"), f("probe_token").alias("token")).alias("probe"), request.alias("request"),
+        F.struct(f("integration_kind").alias("kind"), f("integration_name").alias("name"), f("request_id").alias("requestId")).alias("integration"))
+    return df.withColumn("event", F.to_json(body))
+
+
+def probe_envelopes(probes: DataFrame) -> DataFrame:
+    """probes with body: each probe is posted alone."""
+    return probe_json(probes).withColumn("body", F.concat(F.lit('{"probe":'), "event", F.lit("}")))
+
+
 def assign_batches(df: DataFrame, source: str, order: list[str], size: int = BATCH_SIZE) -> DataFrame:
     """df with batch_no and position: consecutive chunks of `size` rows of each source, the last one short.
 
@@ -38,11 +54,13 @@ def assign_batches(df: DataFrame, source: str, order: list[str], size: int = BAT
     return df.withColumn("__n", n).withColumns({"batch_no": F.floor(F.col("__n") / size).cast("int"), "position": (F.col("__n") % size).cast("int")}).drop("__n")
 
 
-def envelopes(batched: DataFrame, source: str, event: str = "event") -> DataFrame:
-    """(source, batch_no, events, body): one ready-to-post body for each batch. No rows, no envelope."""
-    g = batched.groupBy(source, "batch_no").agg(F.array_sort(F.collect_list(F.struct("position", F.col(event).alias("e")))).alias("all"))
+def envelopes(batched: DataFrame, source: str, event: str = "event", also: str | None = None) -> DataFrame:
+    """(source, batch_no, events, body): one ready-to-post body for each batch. No rows, no envelope. also: a further column that is
+    the same for all rows of a source."""
+    more = [F.first(also).alias(also)] if also else []
+    g = batched.groupBy(source, "batch_no").agg(F.array_sort(F.collect_list(F.struct("position", F.col(event).alias("e")))).alias("all"), *more)
     body = F.concat(F.lit('{"events":['), F.array_join(F.transform("all", lambda x: x.e), ","), F.lit("]}"))
-    return g.select(source, "batch_no", F.size("all").alias("events"), body.alias("body"))
+    return g.select(source, "batch_no", F.size("all").alias("events"), body.alias("body"), *([also] if also else []))
 
 
 def signature(timestamp: Column, body: Column, ipad: Column, opad: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.schema import BUCKET_LABELS, FAMILY_LABELS
 from .classify import provider_bucket, signal_family
 
 
@@ -29,3 +30,9 @@ def windowed_by_bucket(observations: DataFrame, window: str = "1 hour", late: st
     """The same for a stream, in tumbling windows of event time, late rows accepted up to the watermark."""
     keyed = observations.withWatermark(time, late).select(time, provider_bucket(F.col("class.provider")).alias("bucket"), signal_family(F.col("class.agent_type")).alias("family"))
     return keyed.groupBy(F.window(time, window), "bucket", "family").agg(F.count("*").alias("visits"))
+
+
+def with_labels(rollup: DataFrame) -> DataFrame:
+    """A rollup with bucket_label and family_label, the names for readers."""
+    named = lambda c, labels: F.element_at(F.create_map(*(F.lit(x) for pair in labels.items() for x in pair)), F.col(c))
+    return rollup.withColumns({"bucket_label": named("bucket", BUCKET_LABELS), "family_label": named("family", FAMILY_LABELS)})

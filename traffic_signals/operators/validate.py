@@ -1,11 +1,14 @@
 """Validation of JSON records against the closed, versioned schemas, as ordered lists of issues.
 
-Records are VARIANT values, since a field that is absent and one that is null differ: every field is read with its JSON type.
+Records are VARIANT values, since a field that is absent and one that is null differ: every object becomes one map of its fields, each
+with its JSON type, and the rules look fields up in it. Messages, and the order of the checks, are fixed by the contract.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import strict_iso
@@ -14,20 +17,22 @@ from ..functions.schema import AGENT_TYPES, CLASSIFIED_PROVIDERS, HTTP_METHODS,
 NUMERIC = r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"
 
 
+def fields_of(v: Column) -> Column:
+    """map<name, struct<v, type, text, number>> of a JSON object, null for anything else."""
+    known = lambda k, x: F.struct(x.alias("v"), F.schema_of_variant(x).alias("type"), F.try_variant_get(x, "$", "string").alias("text"), F.try_variant_get(x, "$", "double").alias("number"))
+    return F.transform_values(F.try_variant_get(v, "$", "map<string,variant>"), known)
+
+
 class Field:
-    """One field of a JSON object."""
+    """One field of a JSON object, given as `fields_of` it."""
 
-    def __init__(self, v: Column, path: str, name: str):
-        at = f"{path}.{name}"
+    def __init__(self, fields: Column, name: str):
+        own = F.try_element_at(fields, F.lit(name))
         self.name = name
-        self.at = at
-        self.v = F.try_variant_get(v, at, "variant")
-        self.type = F.schema_of_variant(self.v)
-        self.present = F.coalesce(F.is_variant_null(self.v), F.lit(False)) | self.type.isNotNull()
+        self.v, self.type, self.text, self.number = own["v"], own["type"], own["text"], own["number"]
+        self.present = F.coalesce(F.map_contains_key(fields, name), F.lit(False))
         self.is_text = F.coalesce(self.type == "STRING", F.lit(False))
-        self.text = F.try_variant_get(v, at, "string")
         self.is_number = F.coalesce(self.type.rlike(NUMERIC), F.lit(False))
-        self.number = F.try_variant_get(v, at, "double")
         self.is_object = F.coalesce(self.type.startswith("OBJECT"), F.lit(False))
         self.is_integer = F.coalesce(self.is_number & (self.number == F.floor(self.number)), F.lit(False))
 
@@ -68,141 +73,152 @@ def needs_version(f: Field) -> list[Column]:
     return when(~f.is_integer, f"{f.name} must be an integer") + when(f.is_number & (f.number < SCHEMA_VERSION), f"{f.name} must be >= {SCHEMA_VERSION}")
 
 
-def unknown_fields(raw: Column, path: str, label: str, allowed: list[str]) -> list[Column]:
-    """One message for each field that the object may not have, in its own order."""
-    keys = F.json_object_keys(raw if path == "$" else F.get_json_object(raw, path))
-    extra = F.filter(keys, lambda k: ~k.isin(allowed))
-    return [F.coalesce(F.transform(extra, lambda k: F.concat(F.lit(f"{label}."), k, F.lit(" is not allowed"))), F.array().cast("array<string>"))]
+def unknown_fields(fields: Column, raw: Column, path: str, label: str, allowed: list[str]) -> list[Column]:
+    """One message for each field that the object may not have, in its own order, for which the text is read again if there is any."""
+    extra = lambda keys: F.filter(keys, lambda k: ~k.isin(allowed))
+    ordered = extra(F.json_object_keys(raw if path == "$" else F.get_json_object(raw, path)))
+    some = F.coalesce(F.size(extra(F.map_keys(fields))) > 0, F.lit(False))
+    message = F.transform(ordered, lambda k: F.concat(F.lit(f"{label}."), k, F.lit(" is not allowed")))
+    return [F.when(some, message).otherwise(F.array().cast("array<string>"))]
 
 
-def nested(v: Column, raw: Column, name: str, allowed: list[str], rules, optional: bool = False) -> list[Column]:
-    """The issues of a closed nested object, or that it is none."""
-    f = Field(v, "$", name)
-    inner = unknown_fields(raw, f"$.{name}", name, allowed) + rules(f"$.{name}")
+def nested(top: Column, raw: Column, name: str, allowed: list[str], rules, optional: bool = False) -> list[Column]:
+    """The issues of a closed nested object, whose fields are in the column __<name>, or that it is none."""
+    f, own = Field(top, name), F.col(f"__{name}")
+    inner = unknown_fields(own, raw, f"$.{name}", name, allowed) + rules(own)
     issues = F.when(f.is_object, F.concat(*inner)).otherwise(F.array(F.lit(f"{name} must be an object")))
     return [F.when(f.present, issues).otherwise(F.array().cast("array<string>")) if optional else issues]
 
 
-def request_rules(v: Column):
-    def rules(p: str) -> list[Column]:
-        f = {n: Field(v, p, n) for n in ("host", "path", "search", "method", "userAgent", "referer")}
-        s = f["search"]
-        return [
-            *needs_text(f["host"]), *needs_text(f["path"]), *when(f["path"].is_text & ~f["path"].text.startswith("/"), "request.path must start with /"), *optional_text(s),
-            *when(s.is_text & (s.text != "") & ~s.text.startswith("?"), "request.search must be empty or start with ?"), *needs_one_of(f["method"], HTTP_METHODS), *optional_text(f["userAgent"]),
-            *optional_text(f["referer"]),
-        ]
-
-    return rules
-
-
-def classification_rules(v: Column):
-    def rules(p: str) -> list[Column]:
-        confidence, matched = Field(v, p, "confidence"), Field(v, p, "matchedBy")
-        items = F.try_variant_get(v, matched.at, "array<variant>")
-        known = lambda x: F.coalesce((F.schema_of_variant(x) == "STRING") & F.try_variant_get(x, "$", "string").isin(MATCH_KINDS), F.lit(False))
-        each = F.transform(items, lambda x, i: F.when(~known(x), F.concat(F.lit("providerClassification.matchedBy["), i.cast("string"), F.lit("] is invalid"))))
-        some = F.coalesce(matched.type.startswith("ARRAY") & (F.size(items) > 0), F.lit(False))
-        return [
-            *needs_one_of(Field(v, p, "provider"), CLASSIFIED_PROVIDERS), *needs_one_of(Field(v, p, "agentType"), AGENT_TYPES),
-            *when(~confidence.is_number, "confidence must be a finite number"),
-            *when(confidence.is_number & ((confidence.number < 0) | (confidence.number > 1)), "providerClassification.confidence must be between 0 and 1"),
-            F.when(some, each).otherwise(F.array(F.lit("providerClassification.matchedBy must be a non-empty array"))),
-        ]
-
-    return rules
-
+def request_rules(v: Column) -> list[Column]:
+    f = {n: Field(v, n) for n in ("host", "path", "search", "method", "userAgent", "referer")}
+    s = f["search"]
+    return [
+        *needs_text(f["host"]), *needs_text(f["path"]), *when(f["path"].is_text & ~f["path"].text.startswith("/"), "request.path must start with /"), *optional_text(s),
+        *when(s.is_text & (s.text != "") & ~s.text.startswith("?"), "request.search must be empty or start with ?"), *needs_one_of(f["method"], HTTP_METHODS), *optional_text(f["userAgent"]),
+        *optional_text(f["referer"]),
+    ]
 
-def location_rules(v: Column):
-    def rules(p: str) -> list[Column]:
-        c = Field(v, p, "country")
-        return [*optional_text(c), *when(c.is_text & ~c.text.rlike(r"^[A-Z]{2}\z"), "location.country must be an ISO 3166-1 alpha-2 code"), *optional_full_text(Field(v, p, "region"))]
 
-    return rules
+def classification_rules(v: Column) -> list[Column]:
+    confidence, matched = Field(v, "confidence"), Field(v, "matchedBy")
+    items = F.try_variant_get(matched.v, "$", "array<variant>")
+    known = lambda x: F.coalesce((F.schema_of_variant(x) == "STRING") & F.try_variant_get(x, "$", "string").isin(MATCH_KINDS), F.lit(False))
+    each = F.transform(items, lambda x, i: F.when(~known(x), F.concat(F.lit("providerClassification.matchedBy["), i.cast("string"), F.lit("] is invalid"))))
+    some = F.coalesce(matched.type.startswith("ARRAY") & (F.size(items) > 0), F.lit(False))
+    return [
+        *needs_one_of(Field(v, "provider"), CLASSIFIED_PROVIDERS), *needs_one_of(Field(v, "agentType"), AGENT_TYPES),
+        *when(~confidence.is_number, "confidence must be a finite number"),
+        *when(confidence.is_number & ((confidence.number < 0) | (confidence.number > 1)), "providerClassification.confidence must be between 0 and 1"),
+        F.when(some, each).otherwise(F.array(F.lit("providerClassification.matchedBy must be a non-empty array"))),
+    ]
 
 
-def ip_hash_rules(v: Column):
-    def rules(p: str) -> list[Column]:
-        bits, kept = Field(v, p, "truncatedBits"), Field(v, p, "originalIpRetention")
-        return [
-            *needs_one_of(Field(v, p, "algorithm"), IP_HASH_ALGORITHMS), *optional_full_text(Field(v, p, "value")), *optional_full_text(Field(v, p, "keyId")),
-            *when(bits.present & ~bits.is_integer, "truncatedBits must be an integer"), *when(bits.is_number & (bits.number < 1), "ipHash.truncatedBits must be >= 1"),
-            *when(kept.present & ~kept.one_of(IP_RETENTIONS), "ipHash.originalIpRetention is invalid"),
-        ]
+def location_rules(v: Column) -> list[Column]:
+    c = Field(v, "country")
+    return [*optional_text(c), *when(c.is_text & ~c.text.rlike(r"^[A-Z]{2}\z"), "location.country must be an ISO 3166-1 alpha-2 code"), *optional_full_text(Field(v, "region"))]
 
-    return rules
 
+def ip_hash_rules(v: Column) -> list[Column]:
+    bits, kept = Field(v, "truncatedBits"), Field(v, "originalIpRetention")
+    return [
+        *needs_one_of(Field(v, "algorithm"), IP_HASH_ALGORITHMS), *optional_full_text(Field(v, "value")), *optional_full_text(Field(v, "keyId")),
+        *when(bits.present & ~bits.is_integer, "truncatedBits must be an integer"), *when(bits.is_number & (bits.number < 1), "ipHash.truncatedBits must be >= 1"),
+        *when(kept.present & ~kept.one_of(IP_RETENTIONS), "ipHash.originalIpRetention is invalid"),
+    ]
 
-def integration_rules(v: Column):
-    def rules(p: str) -> list[Column]:
-        kind = Field(v, p, "kind")
-        return [*needs_one_of(kind, INTEGRATION_KINDS, kind.present), *needs_text(Field(v, p, "name")), *optional_full_text(Field(v, p, "version")), *optional_full_text(Field(v, p, "requestId"))]
 
-    return rules
+def integration_rules(v: Column) -> list[Column]:
+    kind = Field(v, "kind")
+    return [*needs_one_of(kind, INTEGRATION_KINDS, kind.present), *needs_text(Field(v, "name")), *optional_full_text(Field(v, "version")), *optional_full_text(Field(v, "requestId"))]
 
 
 REQUEST = ["host", "path", "search", "method", "userAgent", "referer"]
 INTEGRATION = ["kind", "name", "version", "requestId"]
 
 
-def _validated(df: DataFrame, column: str, what: str, rules) -> DataFrame:
+def _validated(df: DataFrame, column: str, what: str, rules, parts: tuple[str, ...]) -> DataFrame:
     """df with issues array<string>. Text after the JSON value, or none, is reported as one that is no object."""
     raw = F.col(column)
-    v = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))), "$[0]", "variant")
-    held = df.withColumn("__v", v)
-    top = F.coalesce(F.schema_of_variant("__v").startswith("OBJECT"), F.lit(False))
-    issues = F.filter(F.concat(*rules(F.col("__v"), raw)), lambda x: x.isNotNull())
-    every = F.when(top, issues).otherwise(F.array(F.lit(f"{what} must be an object")))
+    held = df.withColumn("__v", F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))), "$[0]", "variant"))
+    held = held.withColumn("__top", fields_of(F.col("__v")))
+    held = held.withColumns({f"__{n}": fields_of(F.try_element_at("__top", F.lit(n))["v"]) for n in parts})
+    issues = F.filter(F.concat(*rules(F.col("__top"), raw)), lambda x: x.isNotNull())
+    every = F.when(F.col("__top").isNotNull(), issues).otherwise(F.array(F.lit(f"{what} must be an object")))
     # Through inline, so that a filter on the issues is not pushed below the checks, where it would run them twice.
-    return held.select("*", F.inline(F.array(F.struct(every.alias("issues"))))).drop("__v")
+    return held.select("*", F.inline(F.array(F.struct(every.alias("issues"))))).drop("__v", "__top", *(f"__{n}" for n in parts))
 
 
 def validate_events(df: DataFrame, column: str = "event") -> DataFrame:
     """Request observations; open at the top level, closed below."""
 
     def rules(v: Column, raw: Column) -> list[Column]:
-        f = lambda n: Field(v, "$", n)
+        f = lambda n: Field(v, n)
         return [
             *needs_version(f("schemaVersion")), *needs_literal(f("eventKind"), "request_observation"), *needs_one_of(f("sourceProvider"), SOURCE_PROVIDERS), *needs_time(f("observedAt")),
-            *nested(v, raw, "request", REQUEST, request_rules(v)),
-            *nested(v, raw, "providerClassification", ["provider", "agentType", "confidence", "matchedBy"], classification_rules(v)),
-            *nested(v, raw, "location", ["country", "region"], location_rules(v), True),
-            *nested(v, raw, "ipHash", ["algorithm", "value", "keyId", "truncatedBits", "originalIpRetention"], ip_hash_rules(v), True),
-            *nested(v, raw, "integration", INTEGRATION, integration_rules(v), True),
+            *nested(v, raw, "request", REQUEST, request_rules),
+            *nested(v, raw, "providerClassification", ["provider", "agentType", "confidence", "matchedBy"], classification_rules),
+            *nested(v, raw, "location", ["country", "region"], location_rules, True),
+            *nested(v, raw, "ipHash", ["algorithm", "value", "keyId", "truncatedBits", "originalIpRetention"], ip_hash_rules, True),
+            *nested(v, raw, "integration", INTEGRATION, integration_rules, True),
         ]
 
-    return _validated(df, column, "event", rules)
+    return _validated(df, column, "event", rules, ("request", "providerClassification", "location", "ipHash", "integration"))
 
 
 def validate_probes(df: DataFrame, column: str = "event") -> DataFrame:
     """Setup probes; closed everywhere."""
 
     def rules(v: Column, raw: Column) -> list[Column]:
-        f = lambda n: Field(v, "$", n)
+        f = lambda n: Field(v, n)
         own = ["schemaVersion", "eventKind", "sourceProvider", "observedAt", "probe", "request", "integration"]
         return [
-            *unknown_fields(raw, "$", "event", own), *needs_version(f("schemaVersion")), *needs_literal(f("eventKind"), "setup_probe"), *needs_one_of(f("sourceProvider"), SOURCE_PROVIDERS),
-            *needs_time(f("observedAt")), *nested(v, raw, "probe", ["id", "token"], lambda p: [*needs_text(Field(v, p, "id")), *needs_text(Field(v, p, "token"))]),
-            *nested(v, raw, "request", REQUEST, request_rules(v)), *nested(v, raw, "integration", INTEGRATION, integration_rules(v), True),
+            *unknown_fields(v, raw, "$", "event", own), *needs_version(f("schemaVersion")), *needs_literal(f("eventKind"), "setup_probe"), *needs_one_of(f("sourceProvider"), SOURCE_PROVIDERS),
+            *needs_time(f("observedAt")), *nested(v, raw, "probe", ["id", "token"], lambda p: [*needs_text(Field(p, "id")), *needs_text(Field(p, "token"))]),
+            *nested(v, raw, "request", REQUEST, request_rules), *nested(v, raw, "integration", INTEGRATION, integration_rules, True),
         ]
 
-    return _validated(df, column, "setup probe event", rules)
+    return _validated(df, column, "setup probe event", rules, ("probe", "request", "integration"))
 
 
 def validate_probe_responses(df: DataFrame, column: str = "event") -> DataFrame:
     """Answers to setup probes; four fields, closed."""
 
     def rules(v: Column, raw: Column) -> list[Column]:
-        f = lambda n: Field(v, "$", n)
+        f = lambda n: Field(v, n)
         is_flag = F.coalesce(f("ok").type == "BOOLEAN", F.lit(False))
         return [
-            *unknown_fields(raw, "$", "response", ["ok", "eventKind", "probeId", "receivedAt"]), *when(~is_flag, "ok must be a boolean"), *needs_literal(f("eventKind"), "setup_probe"),
+            *unknown_fields(v, raw, "$", "response", ["ok", "eventKind", "probeId", "receivedAt"]), *when(~is_flag, "ok must be a boolean"), *needs_literal(f("eventKind"), "setup_probe"),
             *needs_text(f("probeId")), *needs_time(f("receivedAt")),
         ]
 
-    return _validated(df, column, "setup probe response", rules)
+    return _validated(df, column, "setup probe response", rules, ())
 
 
 def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected with their reason)."""
     return validated.where(F.size("issues") == 0).drop("issues"), validated.where(F.size("issues") > 0).withColumn("reason", F.array_join("issues", "; "))
+
+
+def valid_observation() -> Column:
+    """What `validate_events` asks of an observation, on its typed columns: whether its JSON would have no issue."""
+    c = F.col
+    absent_or = lambda x, ok: c(x).isNull() | ok
+    full = lambda x: c(x).isNotNull() & (c(x) != "")
+    rules = [
+        c("schema_version") >= SCHEMA_VERSION, c("event_kind") == "request_observation", c("source_provider").isin(SOURCE_PROVIDERS), strict_iso(c("observed_at")), full("host"),
+        c("path").startswith("/"), absent_or("search", (c("search") == "") | c("search").startswith("?")), c("method").isin(HTTP_METHODS), c("class.provider").isin(CLASSIFIED_PROVIDERS),
+        c("class.agent_type").isin(AGENT_TYPES), c("class.confidence").between(0, 1), c("class.matched_by").isin(MATCH_KINDS), absent_or("country", c("country").rlike(r"^[A-Z]{2}\z")),
+        absent_or("region", c("region") != ""), c("integration_kind").isin(INTEGRATION_KINDS), full("integration_name"), absent_or("request_id", c("request_id") != ""),
+        c("ip_hash").isNull() | (
+            c("ip_hash.algorithm").isin(IP_HASH_ALGORITHMS) & absent_or("ip_hash.value", c("ip_hash.value") != "") & absent_or("ip_hash.key_id", c("ip_hash.key_id") != "")
+            & absent_or("ip_hash.truncated_bits", c("ip_hash.truncated_bits") >= 1) & absent_or("ip_hash.original_ip_retention", c("ip_hash.original_ip_retention").isin(IP_RETENTIONS))
+        ),
+    ]
+    return reduce(lambda a, b: a & b, (F.coalesce(r, F.lit(False)) for r in rules))
+
+
+def read_events(spark: SparkSession, paths: str | list[str], stream: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(accepted events, rejected ones with their reason) of files of JSON lines, each with its source file; blank lines are skipped."""
+    raw = (spark.readStream if stream else spark.read).text(paths, lineSep="\n").where(F.trim("value") != "")
+    return split_valid(validate_events(raw.select(F.col("value").alias("event"), F.col("_metadata.file_path").alias("source_file"))))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import absent, filled, form_decode, http_method, query_pairs
 from ..functions.rules import QUERY_KEYS
 from ..functions.schema import REQUEST_SCHEMA
-from ..operators.classify import first_filled, header
+from ..operators.classify import header
 
 # Neutral defaults; a deployment sets its own.
 PROBE_PATH = "/__setup-probe"
@@ -34,6 +34,7 @@ class Profile:
     validated: bool
     safe_query_only: bool = False
     second_referer: bool = True
+    probes: bool = True
 
 
 # What each runtime's collector records.
@@ -43,7 +44,7 @@ PROFILES = {
     "cloudflare": Profile("cloudflare", "cloudflare_worker", "cloudflare-worker", "authority", "unknown", False, ("cf-ray",), "record", False, True, "omit", "disabled", True, second_referer=False),
     "netlify": Profile("netlify", "netlify_edge", "netlify-edge", "authority", "unknown", False, (), "record", True, True, "omit", "disabled", True, second_referer=False),
     "fastly": Profile("fastly", "fastly_compute", "fastly-compute", "authority", "unknown", True, (), "record", False, False, "omit", None, False),
-    "wordpress": Profile("wordpress", "wordpress_plugin", "wordpress-plugin", "header", "unknown", True, ("",), "none", False, False, "drop", "disabled", False, True, False),
+    "wordpress": Profile("wordpress", "wordpress_plugin", "wordpress-plugin", "header", "unknown", True, ("",), "none", False, False, "drop", "disabled", False, True, False, False),
 }
 GEO_HEADERS = ("x-vercel-ip-country", "x-vercel-ip-country-region")
 
@@ -129,14 +130,15 @@ def env_flag(c: Column) -> Column:
 
 def probe_condition(url: Column, headers: Column, path: str = PROBE_PATH, names: tuple[str, str, str] = PROBE_HEADERS) -> Column:
     """Whether a request is a setup probe: its path, a truthy header, an id and a token."""
-    return (url_path(url) == path) & truthy(header(headers, names[0])) & header(headers, names[1]).isNotNull() & header(headers, names[2]).isNotNull()
+    named = truthy(header(headers, names[0])) & header(headers, names[1]).isNotNull() & header(headers, names[2]).isNotNull()
+    return F.coalesce(F.when(url_path(url) == path, named), F.lit(False))
 
 
 def split_probes(df: DataFrame, path: str = PROBE_PATH, names: tuple[str, str, str] = PROBE_HEADERS) -> tuple[DataFrame, DataFrame]:
     """(probes with probe_id and probe_token, other requests). What is no complete probe goes on as ordinary traffic."""
     is_probe = probe_condition(F.col("url"), F.col("headers"), path, names)
     probes = df.where(is_probe).withColumns({"probe_id": header(F.col("headers"), names[1]), "probe_token": header(F.col("headers"), names[2])})
-    return probes, df.where(~F.coalesce(is_probe, F.lit(False)))
+    return probes, df.where(~is_probe)
 
 
 def page_route(path: Column) -> Column:
@@ -146,4 +148,9 @@ def page_route(path: Column) -> Column:
     return path.startswith("/") & ~path.rlike(skipped) & ~path.rlike(assets)
 
 
-__all__ = ["PROFILES", "Profile", "client_ip", "env_flag", "first_filled", "normalize_requests", "page_route", "read_requests", "safe_pairs", "split_probes", "url_authority", "url_path", "url_search"]
+def tracked(df: DataFrame, enabled: str = "enabled") -> DataFrame:
+    """The rows of deployments whose setting, a text, switches the collection on."""
+    return df.where(env_flag(F.col(enabled)))
+
+
+__all__ = ["PROFILES", "Profile", "client_ip", "env_flag", "normalize_requests", "page_route", "read_requests", "safe_pairs", "split_probes", "tracked", "url_authority", "url_path", "url_search"]
