@@ -156,9 +156,14 @@ def in_bins(rows: DataFrame, n: int, keys: list[str], percent: int, forest: bool
 
 
 def proposed(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Forests of the buckets (band, node, n), a large bucket dealt over blocks."""
+    """Forests of the buckets (band, node, n), a large bucket dealt over blocks.
+
+    There are two ways of dealing, and the number of blocks is a power of two: the buckets of a large group mostly have the same blocks,
+    so they propose the same links instead of others in each band, while the blocks of one way are joined by those of the other.
+    """
     rows = buckets.join(classes.select("node", "signature"), "node")
-    block = F.pmod(F.xxhash64("node", "band"), F.ceil(F.col("n") / BLOCK))
+    blocks = F.pow(F.lit(2.0), F.ceil(F.log2(F.ceil(F.col("n") / BLOCK).cast("double")))).cast("long")
+    block = F.pmod(F.xxhash64("node", F.pmod("band", F.lit(2))), blocks)
     rows = rows.select("band", block.alias("block"), "node", F.col("node").alias("root"), "signature", F.lit(0).alias("side"))
     return in_bins(rows, buckets.count(), ["band", "block"], percent, True)
 
