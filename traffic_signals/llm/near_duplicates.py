@@ -6,8 +6,9 @@
 2. Classes that share a band key are candidates. Inside a bucket (dealt over blocks of bounded size) signatures are compared, and only
    a forest of links is proposed, never all pairs.
 3. Proposed links are confirmed on the full sets, and the confirmed ones give components by alternating large-star and small-star.
-4. Buckets that still hold several components are searched again, in pairs of blocks, for the pairs of different components whose
-   set sizes and signatures allow the similarity, so no link between parts is lost; those pairs are confirmed in the same way.
+4. Buckets that still hold several components are searched again, in pairs of blocks that hold the full sets as well: every two classes
+   of different components whose set sizes and signatures allow the similarity are compared on their sets there and then, in the first
+   bucket that they share, so no link between parts is lost and nothing but links comes out.
 
 What is probabilistic: a link at the threshold is missed by all bands with probability (1 - 0.8^5)^32 = 3e-6, and by the signature
 test (4.5 standard deviations below the threshold) with about 3e-6.
@@ -16,6 +17,7 @@ test (4.5 standard deviations below the threshold) with about 3e-6.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -30,7 +32,7 @@ BANDS, ROWS = 32, 5
 PERCENT = 80
 BLOCK = 512  # classes of a bucket that are compared in one task
 ROWS_PER_BIN = 20_000
-SET_BYTES = 32 << 20  # bytes of shingle sets that confirm one bin of links, about
+SET_BYTES = 32 << 20  # bytes of shingle sets that one bin of links or one pair of blocks holds, about
 BROADCAST_IDS = 200_000  # ids up to which a set of ids is broadcast
 DEVIATIONS = 4.5
 
@@ -93,66 +95,86 @@ def agreement(j: float, deviations: float) -> float:
     return low + (1 - low) / 256
 
 
-def links_between(nodes: np.ndarray, roots: np.ndarray, sig: np.ndarray, side: np.ndarray, least: int, sure: int, forest: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Links between different components among the classes of one block (nodes rising), or between the two sides of a pair of blocks.
+class Parts:
+    """Union-find over the rows of a block, of which those of a component are one part from the start."""
 
-    forest: only links that join the components that the block holds, as if all of them held, and of those that are as good as certain
-    the ones between the least nodes, so that the buckets of a group propose the same; otherwise every one.
-    """
+    def __init__(self, roots: np.ndarray):
+        self.of = np.unique(roots, return_inverse=True)[1].tolist()
+        self.up = list(range(len(self.of)))
+
+    def find(self, i: int) -> int:
+        p = self.of[i]
+        while self.up[p] != p:
+            self.up[p] = self.up[self.up[p]]
+            p = self.up[p]
+        return p
+
+    def join(self, i: int, j: int) -> bool:
+        a, b = self.find(i), self.find(j)
+        self.up[max(a, b)] = min(a, b)
+        return a != b
+
+
+def least_agreement(percent: int) -> int:
+    """Equal signature bytes that a link shows at least."""
+    return math.ceil(agreement(percent / 100, -DEVIATIONS) * BANDS * ROWS - 1e-9)
+
+
+def forest(nodes: np.ndarray, sig: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links that join the classes of one block (nodes rising) as all links that signatures allow would: of those that are as good as
+    certain the ones between the least nodes, so that the buckets of a group propose the same."""
     none = np.empty(0, np.int64)
-    two = side.min() != side.max()
     us, vs, eq = [none], [none], [none]
+    least, sure = least_agreement(percent), math.ceil(agreement(percent / 100, 3) * BANDS * ROWS)
     for i in range(len(nodes) - 1):
-        can = (roots[i + 1 :] != roots[i]) & (nodes[i + 1 :] != nodes[i])
-        if two:
-            can &= side[i + 1 :] != side[i]
-        j = np.flatnonzero(can) + i + 1
-        same = (sig[j] == sig[i]).sum(1)
-        keep = same >= least
-        us.append(np.full(keep.sum(), i))
-        vs.append(j[keep])
+        same = (sig[i + 1 :] == sig[i]).sum(1)
+        keep = np.flatnonzero(same >= least)
+        us.append(np.full(len(keep), i))
+        vs.append(keep + i + 1)
         eq.append(same[keep])
     us, vs, eq = np.concatenate(us), np.concatenate(vs), np.concatenate(eq)
-    if forest and len(us):
-        _, part = np.unique(roots, return_inverse=True)
-        up = list(range(len(nodes)))
-
-        def find(p: int) -> int:
-            while up[p] != p:
-                up[p] = up[up[p]]
-                p = up[p]
-            return p
-
-        best = []
-        for k in np.lexsort((vs, us, -np.minimum(eq, sure))).tolist():
-            a, b = find(int(part[us[k]])), find(int(part[vs[k]]))
-            if a != b:
-                up[max(a, b)] = min(a, b)
-                best.append(k)
-        us, vs = us[best], vs[best]
-    return nodes[us], nodes[vs]
-
-
-def proposals(pdf: pd.DataFrame, keys: list[str], percent: int, forest: bool) -> pd.DataFrame:
-    """Candidate pairs u < v from many blocks; rows: keys of the block, node, root, signature, side."""
+    parts = Parts(nodes)
+    return [(int(nodes[us[k]]), int(nodes[vs[k]])) for k in np.lexsort((vs, us, -np.minimum(eq, sure))).tolist() if parts.join(us[k], vs[k])]
+
+
+def blocks_of(pdf: pd.DataFrame, keys: list[str]) -> Iterator[pd.DataFrame]:
+    """The blocks in a bin, nodes rising."""
     pdf = pdf.sort_values([*keys, "node"], ignore_index=True)
-    nodes, roots, side = pdf["node"].to_numpy(), pdf["root"].to_numpy(), pdf["side"].to_numpy()
-    sig = np.frombuffer(b"".join(pdf["signature"]), np.uint8).reshape(len(pdf), -1)
-    size = BANDS * ROWS
-    least, sure = math.ceil(agreement(percent / 100, -DEVIATIONS) * size - 1e-9), math.ceil(agreement(percent / 100, 3) * size)
     fresh = (pdf[keys] != pdf[keys].shift()).any(axis=1).to_numpy()
     starts = np.append(np.flatnonzero(fresh), len(pdf))
-    found = [links_between(nodes[a:b], roots[a:b], sig[a:b], side[a:b], least, sure, forest) for a, b in zip(starts[:-1], starts[1:], strict=True) if b - a > 1]
-    if not found:
-        return pd.DataFrame({"u": [], "v": []})
-    pairs = np.unique(np.stack([np.concatenate([u for u, _ in found]), np.concatenate([v for _, v in found])]), axis=1)
-    return pd.DataFrame({"u": pairs[0], "v": pairs[1]})
+    return (pdf.iloc[a:b] for a, b in zip(starts[:-1], starts[1:], strict=True) if b - a > 1)
+
+
+def matrix(column: pd.Series, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(column), kind).reshape(len(column), -1)
+
+
+def forests(pdf: pd.DataFrame, keys: list[str], percent: int) -> pd.DataFrame:
+    pairs = {pair for block in blocks_of(pdf, keys) for pair in forest(block["node"].to_numpy(), matrix(block["signature"], np.uint8), percent)}
+    return pd.DataFrame(sorted(pairs), columns=["u", "v"])
+
 
+def links_within(block: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
+    """Confirmed links that join the components of one block, or of the two sides of a pair of blocks, as all links would.
 
-def in_bins(rows: DataFrame, n: int, keys: list[str], percent: int, forest: bool) -> DataFrame:
-    """The distinct proposals of all blocks of n rows, thousands of rows of small blocks to a call."""
-    grouped = rows.withColumn("bin", F.pmod(F.xxhash64(*keys), F.lit(max(1, -(-n // ROWS_PER_BIN))))).groupBy("bin")
-    return grouped.applyInPandas(lambda pdf: proposals(pdf, keys, percent, forest), "u long, v long").distinct()
+    Two classes are compared only if this is the first bucket that they share: in the others they are compared there.
+    """
+    nodes, roots, side = block["node"].to_numpy(), block["root"].to_numpy(), block["side"].to_numpy()
+    sig, bands, at = matrix(block["signature"], np.uint8), np.stack(block["bands"].to_list()), int(block["at"].iat[0])
+    sets = [np.frombuffer(s, np.uint64) for s in block["shingles"]]
+    parts, two, least, out = Parts(roots), side.min() != side.max(), least_agreement(percent), []
+    for i in range(len(nodes) - 1):
+        can = (roots[i + 1 :] != roots[i]) & (nodes[i + 1 :] != nodes[i])
+        if two:
+            can &= side[i + 1 :] != side[i]
+        j = np.flatnonzero(can) + i + 1
+        j = j[(sig[j] == sig[i]).sum(1) >= least]
+        j = j[(bands[j] == bands[i]).argmax(1) == at]
+        for k in j.tolist():
+            if parts.find(i) != parts.find(k) and similar(sets[i], sets[k], percent):
+                parts.join(i, k)
+                out.append((int(nodes[i]), int(nodes[k])))
+    return out
 
 
 def proposed(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -164,38 +186,50 @@ def proposed(buckets: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     rows = buckets.join(classes.select("node", "signature"), "node")
     blocks = F.pow(F.lit(2.0), F.ceil(F.log2(F.ceil(F.col("n") / BLOCK).cast("double")))).cast("long")
     block = F.pmod(F.xxhash64("node", F.pmod("band", F.lit(2))), blocks)
-    rows = rows.select("band", block.alias("block"), "node", F.col("node").alias("root"), "signature", F.lit(0).alias("side"))
-    return in_bins(rows, buckets.count(), ["band", "block"], percent, True)
+    bins = max(1, -(-buckets.count() // ROWS_PER_BIN))
+    rows = rows.select(F.pmod(F.xxhash64("band", block), F.lit(bins)).alias("bin"), "band", block.alias("block"), "node", "signature")
+    return rows.groupBy("bin").applyInPandas(lambda pdf: forests(pdf, ["band", "block"], percent), "u long, v long").distinct()
 
 
-def remaining(buckets: DataFrame, classes: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """The pairs of different components in a bucket that set sizes and signatures allow, found in pairs of blocks.
+def remaining(buckets: DataFrame, classes: DataFrame, roots: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """The links (u, v) between different components that share a bucket, found in pairs of blocks.
 
-    A block holds classes of like set size; a large component has blocks of its own, small ones share blocks. Pairs of blocks within one
-    component, and of sizes that are too far apart for the similarity, fall away. What is left is compared at once.
+    A block holds classes of like set size, and so many that their sets fit; a large component has blocks of its own, small ones share
+    blocks. Pairs of blocks within one component, and of sizes that are too far apart for the similarity, fall away.
     """
-    rooted = buckets.join(roots, "node", "left").select("band", "node", F.coalesce("root", "node").alias("root"))
+    rooted = buckets.join(roots, "node", "left").select("band", "at", "node", F.coalesce("root", "node").alias("root"))
     several = rooted.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi").select("band")
     # Sizes of a link differ by less than a step and a bit, so their steps by one at most.
-    step = F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(100 / percent * 1.01)).cast("int")
-    rows = rooted.join(several, "band").join(classes.select("node", step.alias("step"), "signature"), "node")
-    rows = staged(rows, "mixed-buckets")
+    base = 100 / percent * 1.01
+    step = F.floor(F.log(F.col("n_shingles").cast("double")) / math.log(base)).cast("int")
+    rows = staged(rooted.join(several, "band").join(classes.select("node", step.alias("step")), "node"), "mixed-buckets")
+    cap = F.greatest(F.lit(2.0), F.least(F.lit(float(BLOCK)), SET_BYTES / (8 * F.pow(F.lit(base), F.col("step") + 1))))
     parts = rows.groupBy("band", "step", "root").agg(F.count("*").alias("own"))
-    shared = parts.where(F.col("own") <= BLOCK // 2).groupBy("band", "step").agg(F.sum("own").alias("small"))
+    large = F.col("own") > cap / 2
+    shared = parts.where(~large).groupBy("band", "step").agg(F.sum("own").alias("small"))
     sized = parts.join(shared, ["band", "step"], "left")
-    large = F.col("own") > BLOCK // 2
-    sized = sized.select("band", "step", "root", F.when(large, F.ceil(F.col("own") / BLOCK)).otherwise(F.ceil(F.col("small") / BLOCK)).alias("pieces"), F.when(large, F.col("root")).alias("only"))
-    piece = F.pmod(F.when(F.col("only").isNotNull(), F.xxhash64("node")).otherwise(F.xxhash64("root")), F.col("pieces"))
-    rows = staged(rows.join(sized, ["band", "step", "root"]).withColumn("piece", piece).drop("pieces"), "mixed-blocks")
-    held = rows.select("band", F.struct("step", F.coalesce("only", F.lit(-1)).alias("only"), "piece").alias("own"), "node", "root", "signature")
+    sized = sized.select("band", "step", "root", F.ceil(F.when(large, F.col("own")).otherwise(F.col("small")) / cap).alias("pieces"), F.when(large, F.col("root")).otherwise(-1).alias("only"))
+    piece = F.pmod(F.when(F.col("only") >= 0, F.xxhash64("node")).otherwise(F.xxhash64("root")), F.col("pieces"))
+    held = rows.join(sized, ["band", "step", "root"]).select("band", "at", F.struct("step", "only", piece.alias("piece")).alias("own"), "node", "root")
+    held = staged(held, "mixed-blocks")
     left = held.groupBy("band", F.col("own").alias("p")).agg(F.count("*").alias("p_rows"))
     right = left.select("band", F.col("p").alias("q"), F.col("p_rows").alias("q_rows"))
-    tasks = left.join(right, "band").where("p <= q and q.step - p.step <= 1 and (p.only < 0 or p.only <> q.only)")
+    tasks = left.join(right, "band").where("p <= q and q.step - p.step <= 1 and (p.only < 0 or p.only <> q.only) and (p <> q or p_rows > 1)")
     one = F.struct(F.col("p").alias("own"), F.lit(0).alias("side"), F.col("p_rows").alias("rows"))
     two = F.struct(F.col("q").alias("own"), F.when(F.col("p") == F.col("q"), 0).otherwise(1).alias("side"), F.col("q_rows").alias("rows"))
     tasks = staged(tasks.select("band", F.xxhash64("p", "q").alias("task"), F.inline(F.array_distinct(F.array(one, two)))), "block-pairs")
-    dealt = tasks.join(held, ["band", "own"]).select("band", "task", "node", "root", "signature", "side")
-    return in_bins(dealt, tasks.agg(F.sum("rows")).first()[0] or 0, ["band", "task"], percent, False)
+    wanted = staged(held.select("node").distinct().join(classes.select("node", "digest", "least.*", "n_shingles"), "node"), "wanted")
+    n, size = wanted.agg(F.count("*"), F.sum("n_shingles")).first()
+    total = tasks.agg(F.sum("rows")).first()[0] or 0
+    bins = max(1, math.ceil(total * (500 + 8 * (size or 0) / max(1, n)) / SET_BYTES))
+    dealt = tasks.join(held, ["band", "own"]).select(F.pmod(F.xxhash64("band", "task"), F.lit(bins)).alias("bin"), "band", "at", "task", "node", "root", "side")
+    dealt = dealt.join(classes.select("node", "signature", "bands").join(sets_of(wanted, n, docs, k), "node"), "node")
+
+    def linked(pdf: pd.DataFrame) -> pd.DataFrame:
+        links = {link for block in blocks_of(pdf, ["band", "task"]) for link in links_within(block, percent)}
+        return pd.DataFrame(sorted(links), columns=["u", "v"])
+
+    return staged(dealt.groupBy("bin").applyInPandas(linked, "u long, v long"), "links")
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -207,6 +241,21 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common)
 
 
+def sets_of(wanted: DataFrame, n: int, docs: DataFrame, k: int) -> DataFrame:
+    """(node, shingles) of n wanted classes (node, digest, doc_id, own), from the whole texts."""
+
+    @F.pandas_udf("digest binary, shingles binary")
+    def full(texts: pd.Series) -> pd.DataFrame:
+        hashes = Hashes()
+        sets = [shingle_set(t, hashes, k) for t in texts]
+        return pd.DataFrame({"digest": [digest(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
+
+    asked = wanted.select("node", "digest", "doc_id", "own")
+    texts = docs.select("doc_id", text_key(F.col("text")).alias("own"), "text").join(F.broadcast(asked) if n <= BROADCAST_IDS else asked, ["doc_id", "own"])
+    # A text may have several rows.
+    return texts.select("node", "digest", full.asNondeterministic()("text").alias("s")).where("digest = s.digest").groupBy("node").agg(F.first("s.shingles").alias("shingles"))
+
+
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (u, v) whose full shingle sets have 100 * intersection >= percent * union.
 
@@ -215,26 +264,15 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, k: int, per
     ends = F.explode(F.array("u", "v")).alias("node")
     wanted = staged(pairs.select(ends).distinct().join(classes.select("node", "digest", "least.*", "n_shingles"), "node"), "wanted")
     n, size = wanted.agg(F.count("*"), F.sum("n_shingles")).first()
-    per_set = 8 * (size or 0) / max(1, n)
-    bins = max(1, math.ceil(2 * pairs.count() * per_set / SET_BYTES))
-
-    @F.pandas_udf("digest binary, shingles binary")
-    def full(texts: pd.Series) -> pd.DataFrame:
-        hashes = Hashes()
-        sets = [shingle_set(t, hashes, k) for t in texts]
-        return pd.DataFrame({"digest": [digest(s) for s in sets], "shingles": [s.tobytes() for s in sets]})
+    bins = max(1, math.ceil(2 * pairs.count() * 8 * (size or 0) / max(1, n) / SET_BYTES))
 
     def linked(pdf: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         sets = {i: np.frombuffer(raw, np.uint64) for i, raw in zip(held["node"], held["shingles"], strict=True)}
         fits = [u in sets and v in sets and similar(sets[u], sets[v], percent) for u, v in zip(pdf["u"], pdf["v"], strict=True)]
         return pdf.loc[np.array(fits, bool), ["u", "v"]]
 
-    asked = wanted.select("node", "digest", "doc_id", "own")
-    texts = docs.select("doc_id", text_key(F.col("text")).alias("own"), "text").join(F.broadcast(asked) if n <= BROADCAST_IDS else asked, ["doc_id", "own"])
-    # A text may have several rows.
-    sets = texts.select("node", "digest", full.asNondeterministic()("text").alias("s")).where("digest = s.digest").groupBy("node").agg(F.first("s.shingles").alias("shingles"))
     dealt = pairs.select(F.pmod(F.xxhash64("u", "v"), F.lit(bins)).alias("bin"), "u", "v")
-    held = dealt.select(F.col("bin").alias("for_bin"), ends).distinct().join(sets, "node")
+    held = dealt.select(F.col("bin").alias("for_bin"), ends).distinct().join(sets_of(wanted, n, docs, k), "node")
     return staged(dealt.groupBy("bin").cogroup(held.groupBy("for_bin")).applyInPandas(linked, "u long, v long"), "links")
 
 
@@ -245,14 +283,13 @@ def rows_with_components(docs: DataFrame, k: int, percent: int) -> DataFrame:
     classes = named.groupBy("digest").agg(F.min(F.struct("doc_id", "own")).alias("least"), F.first(F.struct("n_shingles", "bands", "signature")).alias("s"))
     # Numbers are fixed once the table is written; doc_ids would not do, as one may have several texts.
     classes = staged(classes.select(F.monotonically_increasing_id().alias("node"), "digest", "least", "s.*"), "classes")
-    keyed = classes.select("node", F.explode("bands").alias("band"))
+    keyed = classes.select("node", F.posexplode("bands").alias("at", "band"))
     full = keyed.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     buckets = staged(keyed.join(full, "band"), "buckets")
     links = confirmed(staged(proposed(buckets, classes, percent), "candidates"), classes, docs, k, percent)
     roots = staged(components(links), "roots")
-    rest = staged(remaining(buckets, classes, roots, percent), "candidates")
-    if not rest.isEmpty():
-        more = confirmed(rest, classes, docs, k, percent)
+    more = remaining(buckets, classes, roots, docs, k, percent)
+    if not more.isEmpty():
         roots = staged(components(more.unionByName(roots.select(F.col("node").alias("u"), F.col("root").alias("v")))), "roots")
     # Only now the least doc_id of each component.
     placed = classes.select("node", "digest", F.col("least.doc_id").alias("id")).join(roots, "node", "left")
