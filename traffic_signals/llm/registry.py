@@ -1,6 +1,6 @@
 """The queries of this subpackage, with DuckDB SQL where SQL can express them."""
 
-from . import decontaminate, language_id, licenses, line_quality, mixing, near_duplicates, neighbours, personal_data, toxicity, url_rules
+from . import byte_pairs, decontaminate, language_id, licenses, line_quality, mixing, near_duplicates, neighbours, personal_data, toxicity, url_rules
 
 QUERIES = {
     "op1_line_quality": line_quality.op1_line_quality,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_personal_data": personal_data.op8_personal_data,
     "op9_near_duplicates": near_duplicates.op9_near_duplicates,
     "op10_url_filter": url_rules.op10_url_filter,
+    "op11_byte_pairs": byte_pairs.op11_byte_pairs,
 }
 
 ORACLES = {
