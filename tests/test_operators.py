@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 from traffic_signals import requestlog as rl
 from traffic_signals.functions import rules
 from traffic_signals.functions.exprs import form_decode, jtrim, strict_iso
+from traffic_signals.functions.urls import authority, parse_url
 from traffic_signals.operators import delivery, rollups
 from traffic_signals.operators.classify import with_request_class
 from traffic_signals.operators.privacy import allow_headers, hmac_pads, hmac_sha256, sanitize_for_delivery
 from traffic_signals.plans.jobs import cloudfront_to_observations, delivery_job, nginx_to_observations
 from traffic_signals.sources.cloudfront import decode_envelopes, parse_cloudfront, read_cloudfront
 from traffic_signals.sources.nginx import parse_nginx, read_nginx, split_errors
-from traffic_signals.sources.requests import page_route, url_authority
+from traffic_signals.sources.requests import page_route
 from traffic_signals.sources.sinks import side_output, write_dead_letters, write_observations, write_outbox
 from traffic_signals.streaming.jobs import stream_cloudfront, stream_nginx, stream_rollup
 
@@ -219,7 +220,7 @@ def test_batches(spark):
 
 def test_routes_and_urls(spark):
     df = spark.createDataFrame([("/a", "https://U:p@H.example:443/x"), ("/api/b", "http://h.example:8080"), ("/b.png", "nothing")], "p string, u string")
-    assert [tuple(r) for r in df.select(page_route(F.col("p")), url_authority(F.col("u"))).collect()] == [(True, "h.example"), (False, "h.example:8080"), (False, None)]
+    assert [tuple(r) for r in df.select(page_route(F.col("p")), authority(parse_url(F.col("u")))).collect()] == [(True, "h.example"), (False, "h.example:8080"), (False, None)]
 
 
 def test_stream_equals_batch(spark, data, tmp_path):

@@ -5,8 +5,6 @@ The SQL is written from the meaning of an operator, on the columns of the derive
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +21,7 @@ from .plans.jobs import cloudfront_to_observations, envelopes_to_observations, f
 from .sources.cloudfront import decode_envelopes, parse_cloudfront
 from .sources.nginx import origin_form, parse_nginx, target_path, target_search
 from .sources.requests import page_route, read_requests, split_probes
+from .tables import scratch
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -513,7 +512,7 @@ def classify_loose_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(ORACLES["observe_vercel"])
 def observe_scanned_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The observations of one runtime from collected records in files."""
-    root = _scratch(spark)
+    root = scratch(spark)
     rl.request_records(rl.request_log(spark, sf_dir)).drop("event_id").write.json(f"{root}/in")
     found = observe_requests(read_requests(spark, f"{root}/in"), "vercel")
     return observed(found.withColumn("event_id", F.substring("request_id", 2, 20).cast("long")))
@@ -544,7 +543,7 @@ def labelled_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(LOG + f" SELECT reason, count(*) AS events FROM (SELECT nullif({pick([m for _, m in EVENT_CASES])}, '') AS reason FROM log) GROUP BY 1")
 def event_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event records in files of JSON lines: accepted ones (no reason), and rejected ones by their reason."""
-    root = _scratch(spark)
+    root = scratch(spark)
     _records(spark, sf_dir, GOOD, EVENT_CASES).select("event").write.text(f"{root}/in")
     good, bad = read_events(spark, f"{root}/in")
     every = good.select(F.lit(None).cast("string").alias("reason")).unionByName(bad.select("reason"))
@@ -653,17 +652,10 @@ def stream_nginx_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rollup again, over what a stream of the same lines has written."""
     from .streaming.jobs import stream_nginx
 
-    root = _scratch(spark)
+    root = scratch(spark)
     rl.common_lines(rl.request_log(spark, sf_dir)).select("value").write.text(f"{root}/in")
     stream_nginx(spark, f"{root}/in", f"{root}/out", f"{root}/checkpoint").awaitTermination()
     return rollups.by_bucket(spark.read.parquet(f"{root}/out"))
 
 
-def _scratch(spark: SparkSession) -> str:
-    import uuid
-
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared and not spark.sparkContext.master.startswith(("local[", "local:")) and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{shared or tempfile.mkdtemp(prefix='spark-')}/scratch-{uuid.uuid4().hex}"
-
+from . import queries_io  # noqa: E402, F401  registers the rest, from what stands above

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .schema import HTTP_METHODS
@@ -88,3 +88,10 @@ def mapped(c: Column, groups: dict[str, list[str]], default: str = "other") -> C
     for name, members in groups.items():
         out = F.when(c.isin(members), name) if out is None else out.when(c.isin(members), name)
     return out.otherwise(default)
+
+
+def last_wins(df: DataFrame) -> DataFrame:
+    """df, whose session reads JSON objects with repeated keys as JavaScript does: the last value of a key counts. Spark's own setting
+    refuses such objects."""
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    return df

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..tables import written
 from .privacy import hmac_sha256
 
 BATCH_SIZE = 100
@@ -43,15 +46,28 @@ def probe_envelopes(probes: DataFrame) -> DataFrame:
     return probe_json(probes).withColumn("body", F.concat(F.lit('{"probe":'), "event", F.lit("}")))
 
 
-def assign_batches(df: DataFrame, source: str, order: list[str], size: int = BATCH_SIZE) -> DataFrame:
-    """df with batch_no and position: consecutive chunks of `size` rows of each source, the last one short.
+def numbered(df: DataFrame, source: str, order: list[str], column: str) -> DataFrame:
+    """df with column: the rows of each source numbered from 0 by `order`, however many rows a source has.
 
-    Sources are the unit of distribution; a source is a file or a shard, which its writer bounds.
+    Rows are dealt by ranges of (source, order), so a large source lies in many partitions. A row's number is its place in its partition
+    plus the rows of its source in earlier partitions; the prefix sums run over one row for each source and partition. The ranges are
+    drawn from a sample, so they are written once, not drawn again by the second reader.
     """
+    ranged = written(df.repartitionByRange(source, *order).withColumn("__part", F.spark_partition_id()), "numbered")
+    counts = ranged.groupBy(F.col(source).alias("__source"), F.col("__part").alias("__of")).agg(F.count("*").alias("__n"))
+    before = Window.partitionBy("__source").orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("__source", "__of", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    own = F.row_number().over(Window.partitionBy(source, "__part").orderBy(*order)) - 1
+    placed = ranged.withColumn("__own", own).join(counts, F.col(source).eqNullSafe(F.col("__source")) & (F.col("__part") == F.col("__of")))
+    return placed.select(*df.columns, (F.col("__own") + F.col("__before")).alias(column))
+
+
+def assign_batches(df: DataFrame, source: str, order: list[str], size: int = BATCH_SIZE) -> DataFrame:
+    """df with batch_no and position: consecutive chunks of `size` rows of each source, the last one short. A source is a file or a shard."""
     if size < 1:
         raise ValueError("a batch size must be a positive integer")
-    n = F.row_number().over(Window.partitionBy(source).orderBy(*order)) - 1
-    return df.withColumn("__n", n).withColumns({"batch_no": F.floor(F.col("__n") / size).cast("int"), "position": (F.col("__n") % size).cast("int")}).drop("__n")
+    n = F.col("__n")
+    return numbered(df, source, order, "__n").withColumns({"batch_no": F.floor(n / size).cast("int"), "position": (n % size).cast("int")}).drop("__n")
 
 
 def envelopes(batched: DataFrame, source: str, event: str = "event", also: str | None = None) -> DataFrame:
@@ -87,3 +103,35 @@ def latest_attempts(attempts: DataFrame, batch: str = "batch_id") -> DataFrame:
     """(batch, attempts, status, ok): the last attempt of each batch."""
     last = F.max_by(F.struct("status", "ok"), "attempt")
     return attempts.groupBy(batch).agg(F.max("attempt").alias("attempts"), last.alias("last")).select(batch, "attempts", "last.status", "last.ok")
+
+
+def due_batches(outbox: DataFrame, attempts: DataFrame, batch: str = "batch_id", retries: int = MAX_RETRIES, base_ms: int = BASE_MS, max_ms: int = MAX_MS) -> DataFrame:
+    """outbox with attempt and delay_ms: the batches that are to be posted now, and how long after their last attempt.
+
+    attempts: (batch, attempt from 1, status), all that has happened so far. A batch without an attempt is due at once. One whose last
+    attempt has an outcome that can be tried again is due while attempts are left; any other is final and is not due.
+    """
+    last = latest_attempts(outcomes(attempts), batch).select(F.col(batch).alias("__batch"), "attempts", "status")
+    judged = retry_schedule(outcomes(last.withColumnRenamed("attempts", "attempt")), retries, base_ms, max_ms)
+    final = judged.where(F.col("next_delay_ms").isNull()).select("__batch")
+    again = judged.where(F.col("next_delay_ms").isNotNull()).select("__batch", "attempt", "next_delay_ms")
+    open_ = outbox.join(final, F.col(batch) == F.col("__batch"), "left_anti")
+    due = open_.join(again, F.col(batch) == F.col("__batch"), "left")
+    return due.select(*outbox.columns, (F.coalesce("attempt", F.lit(0)) + 1).cast("int").alias("attempt"), F.coalesce("next_delay_ms", F.lit(0)).alias("delay_ms"))
+
+
+def delivered(outbox: DataFrame, post: Callable[[DataFrame], DataFrame], batch: str = "batch_id", retries: int = MAX_RETRIES) -> DataFrame:
+    """The ledger of all attempts, (batch, attempt, delay_ms, status, ok, auth_failure, retryable), after rounds in which whatever is due is posted.
+
+    post: due batches with their attempt -> the same rows with status (null for a network error). Each round's answers are written before
+    the next is planned, so that nothing is posted twice to find out what came back. There are `retries` + 1 rounds at most.
+    """
+    spark = outbox.sparkSession
+    ledger = spark.createDataFrame([], outbox.select(batch, F.lit(1).alias("attempt"), F.lit(0).cast("long").alias("delay_ms"), F.lit(0).alias("status")).schema)
+    for _ in range(retries + 1):
+        due = due_batches(outbox, ledger.select(batch, "attempt", "status"), batch, retries)
+        answers = written(post(due).select(batch, "attempt", "delay_ms", F.col("status").cast("int").alias("status")), "answers")
+        ledger = ledger.unionByName(answers)
+        if answers.isEmpty():
+            break
+    return outcomes(ledger)

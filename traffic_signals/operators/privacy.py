@@ -117,6 +117,23 @@ def ip_hash(ip: Column, policy: Policy) -> Column:
     return F.lit(None).cast(IP_HASH)
 
 
+#: Rows up to which a table of keys or policies is broadcast, and shares over which a row's key is dealt beyond that.
+BROADCAST_ROWS, SHARES = 100_000, 32
+
+
+def looked_up(df: DataFrame, table: DataFrame, key: str, table_key: str, broadcast_rows: int = BROADCAST_ROWS, shares: int = SHARES) -> DataFrame:
+    """df left-joined with the row of table whose table_key equals the row's key.
+
+    A table of up to `broadcast_rows`, which are counted, is broadcast. A larger one is joined by key and share: each of its rows stands
+    in every share, and rows are dealt over the shares in turn, so that a key that a third of all rows have is spread over `shares` tasks.
+    """
+    if table.count() <= broadcast_rows:
+        return df.join(F.broadcast(table), F.col(key) == F.col(table_key), "left")
+    spread = table.withColumn("__share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    dealt = df.withColumn("__turn", F.pmod(F.monotonically_increasing_id(), F.lit(shares)).cast("int"))
+    return dealt.join(spread, (F.col(key) == F.col(table_key)) & (F.col("__turn") == F.col("__share")), "left").drop("__share", "__turn")
+
+
 def apply_privacy(df: DataFrame, policy: Policy, ip: str = "client_ip", keys: DataFrame | None = None, site: Column | None = None) -> DataFrame:
     """Observations after the policy, with an ip_hash column; the raw IP column goes.
 
@@ -124,7 +141,7 @@ def apply_privacy(df: DataFrame, policy: Policy, ip: str = "client_ip", keys: Da
     """
     c = F.col("class")
     if policy.ip == "hash":
-        df = df.withColumn("site", site).join(F.broadcast(keys), "site", "left").drop("site")
+        df = looked_up(df.withColumn("__site", site), keys.withColumnRenamed("site", "__key_site"), "__site", "__key_site").drop("__site", "__key_site")
     search = F.col("search")
     if policy.query == "omit":
         search = omit_query(search, c)
@@ -154,15 +171,14 @@ def allow_headers(headers: Column, allow: list[str]) -> Column:
     return F.map_from_arrays(names, F.transform(names, clean))
 
 
-def resolve_policies(df: DataFrame, policies: DataFrame, broadcast_rows: int = 100_000) -> DataFrame:
+def resolve_policies(df: DataFrame, policies: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """df (host, search, path, class, ...) after the policy of its host.
 
     policies: (host, query_policy, allow array<string>, path_policy, path_replacement). `keep` wins; then an allow-list, if the policy
-    says so or one is set without a policy; else the query is omitted. Hosts without a row get the default. Policies are broadcast
-    up to `broadcast_rows` of them.
+    says so or one is set without a policy; else the query is omitted. Hosts without a row get the default. `looked_up` joins them.
     """
     p = policies.select(F.col("host").alias("p_host"), "query_policy", F.coalesce("allow", F.array().cast("array<string>")).alias("allow"), "path_policy", "path_replacement")
-    j = df.join(F.broadcast(p) if p.count() <= broadcast_rows else p, df["host"] == p["p_host"], "left")
+    j = looked_up(df, p, "host", "p_host", broadcast_rows)
     listed = (F.col("query_policy") == "allowlist") | (F.col("query_policy").isNull() & (F.size(F.coalesce("allow", F.array().cast("array<string>"))) > 0))
     search = F.when(F.col("query_policy") == "keep", F.col("search")).when(listed, allow_pairs(F.col("search"), F.col("allow"))).otherwise(omit_query(F.col("search"), F.col("class")))
     path = F.when(F.col("path_policy") == "redact", F.coalesce("path_replacement", F.lit(REDACTED_PATH))).otherwise(F.col("path"))

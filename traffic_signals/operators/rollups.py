@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.schema import BUCKET_LABELS, FAMILY_LABELS
 from .classify import provider_bucket, signal_family
 
 
-def pass_statistics(parsed: DataFrame, batch_size: int = 100, include_unknown: bool = False) -> DataFrame:
-    """One row: parsed, malformed, blank, skipped, queued and batches of parsed lines with a class; partial sums, then one row."""
+def pass_counters(include_unknown: bool = False) -> list[Column]:
+    """parsed, malformed, blank, skipped and queued of parsed lines (error) with a class, as aggregates; also for `DataFrame.observe`."""
     ok = F.col("error").isNull()
     keep = ok & (F.lit(include_unknown) | (F.col("class.provider") != "other"))
-    g = parsed.agg(
+    return [
         F.count_if(ok).alias("parsed"), F.count_if(~ok & (F.col("error") != "empty_line")).alias("malformed"), F.count_if(F.col("error") == "empty_line").alias("blank"),
         F.count_if(ok & ~keep).alias("skipped"), F.count_if(keep).alias("queued"),
-    )
-    return g.withColumn("batches", F.ceil(F.col("queued") / batch_size).cast("long"))
+    ]
+
+
+def pass_statistics(parsed: DataFrame, batch_size: int = 100, include_unknown: bool = False) -> DataFrame:
+    """One row: parsed, malformed, blank, skipped, queued and batches of parsed lines with a class; partial sums, then one row."""
+    return parsed.agg(*pass_counters(include_unknown)).withColumn("batches", F.ceil(F.col("queued") / batch_size).cast("long"))
 
 
 def by_bucket(observations: DataFrame, *also: str) -> DataFrame:

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import strict_iso
+from ..functions.exprs import last_wins, strict_iso
 from ..functions.schema import AGENT_TYPES, CLASSIFIED_PROVIDERS, HTTP_METHODS, INTEGRATION_KINDS, IP_HASH_ALGORITHMS, IP_RETENTIONS, MATCH_KINDS, SCHEMA_VERSION, SOURCE_PROVIDERS
 
 NUMERIC = r"^(BIGINT|INT|SMALLINT|TINYINT|DECIMAL|DOUBLE|FLOAT)"
@@ -74,9 +74,14 @@ def needs_version(f: Field) -> list[Column]:
 
 
 def unknown_fields(fields: Column, raw: Column, path: str, label: str, allowed: list[str]) -> list[Column]:
-    """One message for each field that the object may not have, in its own order, for which the text is read again if there is any."""
+    """One message for each field that the object may not have, in its own order, for which the text is read again if there is any.
+
+    Of an object that stands under a repeated key, the text has the first and the fields are the last one's: their names follow then.
+    """
     extra = lambda keys: F.filter(keys, lambda k: ~k.isin(allowed))
-    ordered = extra(F.json_object_keys(raw if path == "$" else F.get_json_object(raw, path)))
+    own = extra(F.map_keys(fields))
+    written = F.array_intersect(F.coalesce(F.json_object_keys(raw if path == "$" else F.get_json_object(raw, path)), F.array().cast("array<string>")), own)
+    ordered = F.concat(written, F.array_except(own, written))
     some = F.coalesce(F.size(extra(F.map_keys(fields))) > 0, F.lit(False))
     message = F.transform(ordered, lambda k: F.concat(F.lit(f"{label}."), k, F.lit(" is not allowed")))
     return [F.when(some, message).otherwise(F.array().cast("array<string>"))]
@@ -140,7 +145,7 @@ INTEGRATION = ["kind", "name", "version", "requestId"]
 def _validated(df: DataFrame, column: str, what: str, rules, parts: tuple[str, ...]) -> DataFrame:
     """df with issues array<string>. Text after the JSON value, or none, is reported as one that is no object."""
     raw = F.col(column)
-    held = df.withColumn("__v", F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))), "$[0]", "variant"))
+    held = last_wins(df).withColumn("__v", F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))), "$[0]", "variant"))
     held = held.withColumn("__top", fields_of(F.col("__v")))
     held = held.withColumns({f"__{n}": fields_of(F.try_element_at("__top", F.lit(n))["v"]) for n in parts})
     issues = F.filter(F.concat(*rules(F.col("__top"), raw)), lambda x: x.isNotNull())

@@ -11,7 +11,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import dash_null, epoch_seconds, http_method, iso_timestamp, jtrim, leading_int
+from ..functions.exprs import dash_null, epoch_seconds, http_method, iso_timestamp, jtrim, last_wins, leading_int
 
 ENTRY = ["format", "remote_address", "observed_at", "host", "method", "path", "search", "protocol", "status", "bytes_sent", "referer", "user_agent"]
 
@@ -37,9 +37,32 @@ KEYS = {
 
 
 def read_nginx(spark: SparkSession, paths: str | list[str], stream: bool = False) -> DataFrame:
-    """(value, source_file): one row a line, a trailing carriage return removed. Blank lines are kept and counted later."""
+    """(value, source_file): one row a line, a trailing carriage return removed. Blank lines are kept and counted later.
+
+    Only lines that a newline ends count, so the half-written tail of a growing file is no row. A stream can't look at a whole file; its
+    rows keep file_size and the carriage return, and each micro-batch goes through `complete_lines`.
+    """
     raw = (spark.readStream if stream else spark.read).text(paths, lineSep="\n")
-    return raw.select(F.regexp_replace("value", r"\r\z", "").alias("value"), F.col("_metadata.file_path").alias("source_file"))
+    raw = raw.select("value", F.col("_metadata.file_path").alias("source_file"), F.col("_metadata.file_size").alias("file_size"))
+    return raw if stream else complete_lines(raw)
+
+
+#: File name ends of compressed files, whose size tells nothing about their lines; they are whole as they are.
+COMPRESSED = r"(?i)\.(?:gz|bz2|zst|snappy|lz4|deflate|xz)\z"
+
+
+def complete_lines(raw: DataFrame) -> DataFrame:
+    """raw (value, source_file, file_size, ...) without the last line of each file that doesn't end with a newline, and without file_size.
+
+    Lines and their newlines make up a file's size, less the three bytes of a byte order mark that the reader drops. So one aggregate
+    with a row a file tells which files have such a tail, and only those files' last rows are joined away. Rows are numbered by
+    partition and place, alike in both passes over the same scan, and the last row of a file has its greatest number.
+    """
+    numbered = raw.withColumn("__row", F.monotonically_increasing_id())
+    sizes = numbered.groupBy(F.col("source_file").alias("__file")).agg(F.sum(F.octet_length("value").cast("long") + 1).alias("__read"), F.max("file_size").alias("__size"), F.max("__row").alias("__last"))
+    open_ended = sizes.where(~F.col("__file").rlike(COMPRESSED) & (F.col("__read") - F.col("__size")).isin(1, -2)).select("__file", "__last")
+    kept = numbered.join(open_ended, (F.col("source_file") == F.col("__file")) & (F.col("__row") == F.col("__last")), "left_anti")
+    return kept.drop("__row", "file_size").withColumn("value", F.regexp_replace("value", r"\r\z", ""))
 
 
 def origin_form(target: Column) -> Column:
@@ -104,7 +127,7 @@ def parse_nginx(df: DataFrame, format: str = "auto", default_host: str | None =
     Steps are projections of their own, so that what several of them read is computed once.
     """
     known, own = format in ("auto", "common", "json"), df.columns
-    line = df.withColumn("__line", jtrim(F.coalesce("value", F.lit(""))))
+    line = last_wins(df).withColumn("__line", jtrim(F.coalesce("value", F.lit(""))))
     json = F.lit(True) if format == "json" else F.startswith("__line", F.lit("{")) if format == "auto" else F.lit(False)
     d = line.withColumn("__json", json & (F.col("__line") != ""))
     # A JSON line is parsed inside brackets, so that anything after the object makes the whole malformed.

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import urls
 from ..functions.exprs import absent, filled, form_decode, http_method, query_pairs
 from ..functions.rules import QUERY_KEYS
 from ..functions.schema import REQUEST_SCHEMA
@@ -53,21 +54,41 @@ def read_requests(spark: SparkSession, paths: str | list[str], stream: bool = Fa
     return (spark.readStream if stream else spark.read).schema(REQUEST_SCHEMA).json(paths)
 
 
-def url_authority(url: Column) -> Column:
-    """Host and port, lower-cased, without user information and default ports."""
+def _server_url(url: Column) -> Column:
+    """The parts of a URL as PHP's server variables have them: nothing is resolved or escaped."""
     a = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1))
     secure = F.startswith(F.lower(url), F.lit("https:"))
-    return absent(F.when(secure, F.regexp_replace(a, r":443\z", "")).otherwise(F.regexp_replace(a, r":80\z", "")))
-
-
-def url_path(url: Column) -> Column:
+    host = absent(F.when(secure, F.regexp_replace(a, r":443\z", "")).otherwise(F.regexp_replace(a, r":80\z", "")))
     p = F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)?([^?#]*)", 1)
-    return F.when(F.startswith(p, F.lit("/")), p).otherwise(F.concat(F.lit("/"), F.coalesce(p, F.lit(""))))
-
-
-def url_search(url: Column) -> Column:
-    """The query with its `?`; a bare `?` is none."""
-    return F.nullif(absent(F.regexp_extract(url, r"^[^?#]*(\?[^#]*)", 1)), F.lit("?"))
+    path = F.when(F.startswith(p, F.lit("/")), p).otherwise(F.concat(F.lit("/"), F.coalesce(p, F.lit(""))))
+    search = F.nullif(absent(F.regexp_extract(url, r"^[^?#]*(\?[^#]*)", 1)), F.lit("?"))
+    none = F.lit(None).cast("string")
+    return F.struct(none.alias("scheme"), host.alias("host"), none.alias("port"), path.alias("path"), search.alias("search"))
+
+
+def _first_of(header_value: Column) -> Column:
+    return filled(F.substring_index(header_value, ",", 1))
+
+
+def with_url(df: DataFrame, profile: Profile | None = None) -> DataFrame:
+    """df with __url, the parts of each record's URL by the URL standard; null where it is none.
+
+    A profile that knows the host from a header takes request targets, which are resolved against that host. The profile of PHP
+    servers takes what they hand over.
+    """
+    if "__url" in df.columns:
+        return df
+    url, h = F.col("url"), F.col("headers")
+    if profile is not None and profile.host == "header":
+        if profile.kind == "wordpress_plugin":
+            parts = _server_url(url)
+        else:
+            scheme, host = F.coalesce(_first_of(header(h, "x-forwarded-proto")), F.lit("http")), F.coalesce(_first_of(header(h, "host")), F.lit(profile.host_default))
+            parts = urls.parse_url(urls.resolve(url, scheme, host))
+    else:
+        parts = urls.parse_url(url)
+    # Through inline, so that a filter on the parts is not pushed below the parser, where it would run it twice.
+    return df.select("*", F.inline(F.array(F.struct(parts.alias("__url")))))
 
 
 def client_ip(headers: Column, own: Column) -> Column:
@@ -84,15 +105,16 @@ def safe_pairs(search: Column) -> Column:
 
 def normalize_requests(df: DataFrame, profile: Profile) -> DataFrame:
     """Request records as flat observations without a class yet: host, path, search, method, user_agent, referer, request_id,
-    country, region, client_ip, observed_at, and class_search (what the class is read from)."""
-    h, url = F.col("headers"), F.col("url")
-    authority = url_authority(url)
+    country, region, client_ip, observed_at, and class_search (what the class is read from). What is no URL has the profile's default
+    host and the path `/`."""
+    df, h = with_url(df, profile), F.col("headers")
+    parts = F.col("__url")
     if profile.host == "hostname":
-        host = F.coalesce(F.regexp_replace(authority, r":[0-9]+\z", ""), header(h, "host"))
-    elif profile.host == "authority":
-        host = authority
+        host = F.coalesce(parts["host"], header(h, "host"))
+    elif profile.kind == "wordpress_plugin":
+        host = F.coalesce(header(h, "host"), parts["host"])
     else:
-        host = F.coalesce(header(h, "host"), authority)
+        host = urls.authority(parts)
     names = ("referer", "referrer") if profile.second_referer else ("referer",)
     rid = filled(F.col("request_id")) if not profile.request_id else header(h, *profile.request_id, trim=profile.trim_headers) if profile.request_id != ("",) else F.lit(None).cast("string")
     country, region = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -106,16 +128,16 @@ def normalize_requests(df: DataFrame, profile: Profile) -> DataFrame:
         region = F.when(filled(region).isNotNull(), region)
     if profile.check_country:
         country = F.when(country.rlike(r"^[A-Z]{2}\z"), country)
-    search = url_search(url)
+    search = parts["search"]
     return df.select(
-        "observed_at", F.coalesce(host, F.lit(profile.host_default)).alias("host"), url_path(url).alias("path"), search.alias("search"), http_method(F.col("method")).alias("method"),
+        "observed_at", F.coalesce(host, F.lit(profile.host_default)).alias("host"), F.coalesce(parts["path"], F.lit("/")).alias("path"), search.alias("search"), http_method(F.col("method")).alias("method"),
         header(h, "user-agent", trim=profile.trim_headers).alias("user_agent"), header(h, *names, trim=profile.trim_headers).alias("referer"), rid.alias("request_id"),
         country.alias("country"), region.alias("region"), client_ip(h, F.col("client_ip")).alias("client_ip"), (safe_pairs(search) if profile.safe_query_only else search).alias("class_search"),
         *[c for c in df.columns if c not in (*REQUEST_COLUMNS, "observed_at")],
     )
 
 
-REQUEST_COLUMNS = ("url", "method", "headers", "client_ip", "request_id", "geo")
+REQUEST_COLUMNS = ("url", "method", "headers", "client_ip", "request_id", "geo", "__url")
 
 
 def truthy(c: Column) -> Column:
@@ -128,17 +150,18 @@ def env_flag(c: Column) -> Column:
     return F.coalesce(c.isin("1", "true", "yes", "on"), F.lit(False))
 
 
-def probe_condition(url: Column, headers: Column, path: str = PROBE_PATH, names: tuple[str, str, str] = PROBE_HEADERS) -> Column:
-    """Whether a request is a setup probe: its path, a truthy header, an id and a token."""
+def probe_condition(parts: Column, headers: Column, path: str = PROBE_PATH, names: tuple[str, str, str] = PROBE_HEADERS) -> Column:
+    """Whether a request is a setup probe: its path, a truthy header, an id and a token. parts: what `with_url` gives."""
     named = truthy(header(headers, names[0])) & header(headers, names[1]).isNotNull() & header(headers, names[2]).isNotNull()
-    return F.coalesce(F.when(url_path(url) == path, named), F.lit(False))
+    return F.coalesce(F.when(parts["path"] == path, named), F.lit(False))
 
 
 def split_probes(df: DataFrame, path: str = PROBE_PATH, names: tuple[str, str, str] = PROBE_HEADERS) -> tuple[DataFrame, DataFrame]:
     """(probes with probe_id and probe_token, other requests). What is no complete probe goes on as ordinary traffic."""
-    is_probe = probe_condition(F.col("url"), F.col("headers"), path, names)
-    probes = df.where(is_probe).withColumns({"probe_id": header(F.col("headers"), names[1]), "probe_token": header(F.col("headers"), names[2])})
-    return probes, df.where(~is_probe)
+    parsed = with_url(df)
+    is_probe = probe_condition(F.col("__url"), F.col("headers"), path, names)
+    probes = parsed.where(is_probe).withColumns({"probe_id": header(F.col("headers"), names[1]), "probe_token": header(F.col("headers"), names[2])})
+    return (probes, parsed.where(~is_probe)) if "__url" in df.columns else (probes.drop("__url"), parsed.where(~is_probe).drop("__url"))
 
 
 def page_route(path: Column) -> Column:
@@ -153,4 +176,4 @@ def tracked(df: DataFrame, enabled: str = "enabled") -> DataFrame:
     return df.where(env_flag(F.col(enabled)))
 
 
-__all__ = ["PROFILES", "Profile", "client_ip", "env_flag", "normalize_requests", "page_route", "read_requests", "safe_pairs", "split_probes", "tracked", "url_authority", "url_path", "url_search"]
+__all__ = ["PROFILES", "Profile", "client_ip", "env_flag", "normalize_requests", "page_route", "read_requests", "safe_pairs", "split_probes", "tracked", "with_url"]
