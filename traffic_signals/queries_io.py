@@ -101,7 +101,7 @@ def nginx_complete_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines that no newline ends are neither parsed nor counted as malformed."""
     root = scratch(spark)
     _growing_files(rl.request_log(spark, sf_dir), root)
-    parsed = parse_nginx(read_nginx(spark, [f"{root}/open", f"{root}/ended"]))
+    parsed = parse_nginx(read_nginx(spark, f"{root}/open").unionByName(read_nginx(spark, f"{root}/ended")))
     block = F.regexp_extract("source_file", "block=([0-9]+)", 1).cast("long")
     return parsed.groupBy(block.alias("block")).agg(F.count("*").alias("lines"), F.countDistinct(F.concat("method", "path")).alias("targets"))
 
