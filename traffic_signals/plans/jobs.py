@@ -28,6 +28,10 @@ OBSERVATION = [
 PROBE = ["schema_version", "event_kind", "source_provider", "observed_at", "probe_id", "probe_token", "host", "path", "search", "method", "user_agent", "referer", "integration_kind", "integration_name", "request_id"]
 
 
+#: What an observation takes from a parsed line.
+SEEN = ["observed_at", "host", "method", "path", "search", "referer", "user_agent"]
+
+
 def forwardable(df: DataFrame, include_unknown: bool = False) -> DataFrame:
     return df if include_unknown else df.where(F.col("class.provider") != "other")
 
@@ -48,7 +52,7 @@ def nginx_to_observations(
 
     counted: gets the pass's counters (`pass_counters`) of all lines while they go through; a name for streams, whose listeners see it.
     """
-    parsed = with_request_class(parse_nginx(lines, format, default_host))
+    parsed = with_request_class(parse_nginx(lines, format, default_host, SEEN))
     parsed = parsed if counted is None else parsed.observe(counted, *pass_counters(include_unknown))
     known = forwardable(parsed.where(F.col("error").isNull()), include_unknown)
     search = {"keep": F.col("search"), "omit": F.lit(None).cast("string"), "allowlist": allow_pairs(F.col("search"), F.array(*map(F.lit, allow)).cast("array<string>"), decode=False)}[query]

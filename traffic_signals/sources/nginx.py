@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import dash_null, epoch_seconds, http_method, iso_timestamp, jtrim, last_wins, leading_int
+from ..functions.urls import let
 
 ENTRY = ["format", "remote_address", "observed_at", "host", "method", "path", "search", "protocol", "status", "bytes_sent", "referer", "user_agent"]
 
@@ -99,66 +100,84 @@ def line_groups(text: Column) -> Column:
     return F.split(F.regexp_replace(text, LINE + r"(?s:.*)\z", every), re.escape(BETWEEN), 7)
 
 
-def present(keys: list[str], fields: str = "__fields") -> Column:
-    """struct<type, text> of the first key that a JSON object has, whatever its type: later keys don't stand in for null, blank or `-`."""
-    value = None
-    for k in keys:
-        here, own = F.map_contains_key(fields, k), F.try_element_at(fields, F.lit(k))
-        value = F.when(here, own) if value is None else value.when(here, own)
-    each = F.transform(F.array(value), lambda v: F.struct(F.schema_of_variant(v).alias("type"), F.try_variant_get(v, "$", "string").alias("text")))
-    return each[0]
+def found(fields: Column, wanted: list[str]) -> Column:
+    """array<struct<type, text, full>>: for each wanted entry of KEYS, the first of its keys that a JSON object has, whatever its value:
+    later keys don't stand in for null, blank or `-`. full is the trimmed text of a string, null for those. One function over a constant
+    list of keys, so neither the plan nor the generated code grows with the keys."""
+    lists = F.array(*(F.array(*map(F.lit, KEYS[k])) for k in wanted))
+    own = lambda keys: F.try_element_at(fields, F.get(F.filter(keys, lambda k: F.map_contains_key(fields, k)), F.lit(0)))
+    typed = lambda v: F.struct(F.schema_of_variant(v).alias("type"), F.try_variant_get(v, "$", "string").alias("text"))
+    full = lambda x: F.struct(x["type"].alias("type"), x["text"].alias("text"), dash_null(F.when(is_text(x), x["text"])).alias("full"))
+    return F.when(fields.isNotNull(), F.transform(lists, lambda keys: let(let(own(keys), typed), full)))
 
 
-def is_text(x: str) -> Column:
-    return F.coalesce(F.col(f"{x}.type") == "STRING", F.lit(False))
+def is_text(x: Column) -> Column:
+    return F.coalesce(x["type"] == "STRING", F.lit(False))
 
 
-def optional_int(x: str) -> Column:
+def optional_int(x: Column) -> Column:
     """From a present value: an integral number, or the integer that a string starts with."""
-    text, number = F.col(f"{x}.text"), F.col(f"{x}.text").try_cast("double")
-    whole = F.col(f"{x}.type").rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)") & (number == F.floor(number))
+    text, number = x["text"], x["text"].try_cast("double")
+    whole = x["type"].rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)") & (number == F.floor(number))
     return F.when(is_text(x), F.when(text != "-", leading_int(text))).when(whole, number.cast("bigint"))
 
 
-def parse_nginx(df: DataFrame, format: str = "auto", default_host: str | None = None) -> DataFrame:
-    """df (value, ...) with the columns of ENTRY and `error`: null, or empty_line, malformed_line, malformed_json, malformed_request,
-    missing_timestamp, unsupported_format. All entry columns of a bad line are null. format is auto, common or json.
+#: Which entries of KEYS a column of ENTRY is read from, besides those that every line needs.
+NEEDED = ("time", "msec", "request", "method", "uri")
+READ_FROM = {"remote_address": "remote_address", "host": "host", "protocol": "protocol", "status": "status", "bytes_sent": "bytes_sent", "referer": "referer", "user_agent": "user_agent"}
 
-    Steps are projections of their own, so that what several of them read is computed once.
+
+def parse_nginx(df: DataFrame, format: str = "auto", default_host: str | None = None, columns: list[str] = ENTRY) -> DataFrame:
+    """df (value, ...) with the given columns of ENTRY and `error`: null, or empty_line, malformed_line, malformed_json,
+    malformed_request, missing_timestamp, unsupported_format. All entry columns of a bad line are null. format is auto, common or json.
+
+    Steps are projections of their own, so that what several of them read is computed once. Columns that nobody asks for are not
+    computed; the plan can't tell, as the entry comes out of `inline`.
     """
     known, own = format in ("auto", "common", "json"), df.columns
-    line = last_wins(df).withColumn("__line", jtrim(F.coalesce("value", F.lit(""))))
+    d = last_wins(df).withColumn("__line", jtrim(F.coalesce("value", F.lit(""))))
     json = F.lit(True) if format == "json" else F.startswith("__line", F.lit("{")) if format == "auto" else F.lit(False)
-    d = line.withColumn("__json", json & (F.col("__line") != ""))
-    # A JSON line is parsed inside brackets, so that anything after the object makes the whole malformed.
-    d = d.withColumn("__all", F.when(F.col("__json"), F.try_parse_json(F.concat(F.lit("["), "__line", F.lit("]")))))
-    d = d.withColumns({"__v": F.try_variant_get("__all", "$[0]", "variant"), "__more": F.try_variant_get("__all", "$[1]", "variant").isNotNull(), "__text": F.when(~F.col("__json"), F.col("__line"))})
-    d = d.withColumns({"__fields": F.try_variant_get("__v", "$", "map<string,variant>"), "__fits": F.coalesce(F.col("__text").rlike(LINE), F.lit(False))})
-    d = d.withColumns({"__object": F.col("__fields").isNotNull() & ~F.col("__more"), "__groups": F.when(F.col("__fits"), line_groups(F.col("__text")))})
-    d = d.withColumns({f"__p_{k}": present(keys) for k, keys in KEYS.items()} | {f"__c{i}": F.get("__groups", F.lit(i - 1)) for i in range(1, 8)})
-    d = d.withColumns({f"__t_{k}": dash_null(F.when(is_text(f"__p_{k}"), F.col(f"__p_{k}.text"))) for k in KEYS if k not in ("status", "bytes_sent", "msec")} | {"__creq": request_parts(F.col("__c3"))})
-    d = d.withColumn("__req", F.when(F.col("__json"), request_parts(F.col("__t_request"))).otherwise(F.col("__creq")))
-    split = ~F.col("__json") | F.col("__t_request").isNotNull()  # a present but malformed request does not fall through
-    stated, msec = F.col("__t_time"), F.col("__p_msec.text").try_cast("double")
-    at_json = F.when(stated.isNotNull(), iso_timestamp(stated)).otherwise(epoch_seconds(msec))
-    d = d.withColumns({
-        "__target": origin_form(F.when(split, F.get("__req", F.lit(1))).otherwise(F.col("__t_uri"))), "__method": F.when(split, F.get("__req", F.lit(0))).otherwise(F.col("__t_method")),
-        "__protocol": F.when(split, F.get("__req", F.lit(2))).otherwise(F.col("__t_protocol")), "__at": F.when(F.col("__json"), at_json).otherwise(nginx_time(F.col("__c2"))),
-    })
+    d = d.withColumn("__json", json & (F.col("__line") != ""))
+    j, line = F.col("__json"), F.col("__line")
+    none = F.lit(None).cast("string")
+    text = {k: none for k in KEYS}
+    value = {k: F.struct(none.alias("type"), none.alias("text")) for k in KEYS}
+    group = {i: none for i in range(1, 8)}
+    is_object, fits = F.lit(False), F.lit(False)
+    if format != "common":
+        # A JSON line is parsed inside brackets, so that anything after the object makes the whole malformed.
+        d = d.withColumn("__all", F.when(j, F.try_parse_json(F.concat(F.lit("["), "__line", F.lit("]")))))
+        d = d.withColumns({"__fields": F.try_variant_get("__all", "$[0]", "map<string,variant>"), "__more": F.try_variant_get("__all", "$[1]", "variant").isNotNull()})
+        wanted = [k for k in KEYS if k in (*NEEDED, *(READ_FROM.get(c) for c in columns))]
+        d = d.withColumn("__found", found(F.col("__fields"), wanted))
+        value |= {k: F.get("__found", F.lit(i)) for i, k in enumerate(wanted)}
+        text |= {k: value[k]["full"] for k in wanted}
+        is_object = F.col("__fields").isNotNull() & ~F.col("__more")
+    if format != "json":
+        d = d.withColumn("__fits", F.coalesce(F.when(~j, line).rlike(LINE), F.lit(False)))
+        full = lambda g, i: F.when(i.isin(0, 5, 6), dash_null(g)).otherwise(g)  # noqa: E731  address, referer, user agent
+        d = d.withColumn("__groups", F.when(F.col("__fits"), F.transform(line_groups(line), full)))
+        group = {i: F.get("__groups", F.lit(i - 1)) for i in group}
+        fits = F.col("__fits")
+    d = d.withColumn("__req", request_parts(F.when(j, text["request"]).otherwise(group[3])))
+    split = ~j | text["request"].isNotNull()  # a present but malformed request does not fall through
+    msec = value["msec"]["text"].try_cast("double")
+    at_json = F.when(text["time"].isNotNull(), iso_timestamp(text["time"])).otherwise(epoch_seconds(msec))
+    part = lambda n, key: F.when(split, F.get("__req", F.lit(n))).otherwise(text[key])
+    d = d.withColumns({"__target": origin_form(part(1, "uri")), "__method": part(0, "method"), "__at": F.when(j, at_json).otherwise(nginx_time(group[2]))})
     lost = F.col("__target").isNull() | F.col("__method").isNull()
-    error = F.when(F.col("__line") == "", "empty_line").when(F.lit(not known), "unsupported_format").when(F.col("__json") & ~F.col("__object"), "malformed_json")
-    error = error.when(~F.col("__json") & ~F.col("__fits"), "malformed_line").when(lost, "malformed_request").when(F.col("__at").isNull(), "missing_timestamp")
-    d = d.withColumn("error", error)
-    j = F.col("__json")
+    error = F.when(line == "", "empty_line").when(F.lit(not known), "unsupported_format").when(j & ~is_object, "malformed_json").when(~j & ~fits, "malformed_line")
+    d = d.withColumn("error", error.when(lost, "malformed_request").when(F.col("__at").isNull(), "missing_timestamp"))
+    either = lambda key, n: F.when(j, text[key]).otherwise(group[n])
+    number = lambda key, n: F.when(j, optional_int(value[key])).otherwise(leading_int(group[n]))
     fields = {
-        "format": F.when(j, "json").otherwise("common"), "remote_address": F.when(j, F.col("__t_remote_address")).otherwise(dash_null(F.col("__c1"))), "observed_at": F.col("__at"),
-        "host": F.coalesce("__t_host", F.lit(default_host).cast("string")), "method": http_method(F.col("__method")), "path": target_path(F.col("__target")), "search": target_search(F.col("__target")),
-        "protocol": F.col("__protocol"), "status": F.when(j, optional_int("__p_status")).otherwise(leading_int(F.col("__c4"))).cast("int"),
-        "bytes_sent": F.when(j, optional_int("__p_bytes_sent")).otherwise(leading_int(F.col("__c5"))), "referer": F.when(j, F.col("__t_referer")).otherwise(dash_null(F.col("__c6"))),
-        "user_agent": F.when(j, F.col("__t_user_agent")).otherwise(dash_null(F.col("__c7"))),
+        "format": lambda: F.when(j, "json").otherwise("common"), "remote_address": lambda: either("remote_address", 1), "observed_at": lambda: F.col("__at"),
+        "host": lambda: F.coalesce(text["host"], F.lit(default_host).cast("string")), "method": lambda: http_method(F.col("__method")), "path": lambda: target_path(F.col("__target")),
+        "search": lambda: target_search(F.col("__target")), "protocol": lambda: part(2, "protocol"), "status": lambda: number("status", 4).cast("int"), "bytes_sent": lambda: number("bytes_sent", 5),
+        "referer": lambda: either("referer", 6), "user_agent": lambda: either("user_agent", 7),
     }
     # Through inline, so that a filter on the error is not pushed below the parser, where it would run it twice.
-    entry = F.struct("error", *(F.when(F.col("error").isNull(), fields[k]).alias(k) for k in ENTRY))
+    entry = F.struct("error", *(F.when(F.col("error").isNull(), fields[k]()).alias(k) for k in ENTRY if k in columns))
     return d.select(*own, F.inline(F.array(entry)))
 
 
