@@ -6,6 +6,7 @@ with its JSON type, and the rules look fields up in it. Messages, and the order
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,14 +24,31 @@ def fields_of(v: Column) -> Column:
     return F.transform_values(F.try_variant_get(v, "$", "map<string,variant>"), known)
 
 
+@dataclass(frozen=True)
+class Object:
+    """A JSON object: its fields as `fields_of` gives them, and those with a known name once more by place, so that no rule searches the map."""
+
+    fields: Column
+    placed: Column
+    names: tuple[str, ...]
+
+    @classmethod
+    def of(cls, column: str, names: tuple[str, ...]) -> Object:
+        return cls(F.col(column), F.col(f"{column}_placed"), names)
+
+
+def placed(fields: Column, names: tuple[str, ...]) -> Column:
+    return F.transform(F.array(*map(F.lit, names)), lambda n: F.try_element_at(fields, n))
+
+
 class Field:
-    """One field of a JSON object, given as `fields_of` it."""
+    """One field of a JSON object; absent fields have no type."""
 
-    def __init__(self, fields: Column, name: str):
-        own = F.try_element_at(fields, F.lit(name))
+    def __init__(self, object_: Object, name: str):
+        own = F.get(object_.placed, F.lit(object_.names.index(name)))
         self.name = name
         self.v, self.type, self.text, self.number = own["v"], own["type"], own["text"], own["number"]
-        self.present = F.coalesce(F.map_contains_key(fields, name), F.lit(False))
+        self.present = own.isNotNull()
         self.is_text = F.coalesce(self.type == "STRING", F.lit(False))
         self.is_number = F.coalesce(self.type.rlike(NUMERIC), F.lit(False))
         self.is_object = F.coalesce(self.type.startswith("OBJECT"), F.lit(False))
@@ -73,29 +91,30 @@ def needs_version(f: Field) -> list[Column]:
     return when(~f.is_integer, f"{f.name} must be an integer") + when(f.is_number & (f.number < SCHEMA_VERSION), f"{f.name} must be >= {SCHEMA_VERSION}")
 
 
-def unknown_fields(fields: Column, raw: Column, path: str, label: str, allowed: list[str]) -> list[Column]:
+def unknown_fields(object_: Object, raw: Column, path: str, label: str, allowed: tuple[str, ...]) -> list[Column]:
     """One message for each field that the object may not have, in its own order, for which the text is read again if there is any.
 
     Of an object that stands under a repeated key, the text has the first and the fields are the last one's: their names follow then.
     """
-    extra = lambda keys: F.filter(keys, lambda k: ~k.isin(allowed))
-    own = extra(F.map_keys(fields))
+    extra = lambda keys: F.filter(keys, lambda k: ~k.isin(*allowed))
+    own = extra(F.map_keys(object_.fields))
     written = F.array_intersect(F.coalesce(F.json_object_keys(raw if path == "$" else F.get_json_object(raw, path)), F.array().cast("array<string>")), own)
     ordered = F.concat(written, F.array_except(own, written))
-    some = F.coalesce(F.size(extra(F.map_keys(fields))) > 0, F.lit(False))
+    some = F.coalesce(F.exists(F.map_keys(object_.fields), lambda k: ~k.isin(*allowed)), F.lit(False))
     message = F.transform(ordered, lambda k: F.concat(F.lit(f"{label}."), k, F.lit(" is not allowed")))
     return [F.when(some, message).otherwise(F.array().cast("array<string>"))]
 
 
-def nested(top: Column, raw: Column, name: str, allowed: list[str], rules, optional: bool = False) -> list[Column]:
+def nested(top: Object, raw: Column, name: str, rules, optional: bool = False) -> list[Column]:
     """The issues of a closed nested object, whose fields are in the column __<name>, or that it is none."""
-    f, own = Field(top, name), F.col(f"__{name}")
+    allowed = PARTS[name]
+    f, own = Field(top, name), Object.of(f"__{name}", allowed)
     inner = unknown_fields(own, raw, f"$.{name}", name, allowed) + rules(own)
     issues = F.when(f.is_object, F.concat(*inner)).otherwise(F.array(F.lit(f"{name} must be an object")))
     return [F.when(f.present, issues).otherwise(F.array().cast("array<string>")) if optional else issues]
 
 
-def request_rules(v: Column) -> list[Column]:
+def request_rules(v: Object) -> list[Column]:
     f = {n: Field(v, n) for n in ("host", "path", "search", "method", "userAgent", "referer")}
     s = f["search"]
     return [
@@ -105,7 +124,7 @@ def request_rules(v: Column) -> list[Column]:
     ]
 
 
-def classification_rules(v: Column) -> list[Column]:
+def classification_rules(v: Object) -> list[Column]:
     confidence, matched = Field(v, "confidence"), Field(v, "matchedBy")
     items = F.try_variant_get(matched.v, "$", "array<variant>")
     known = lambda x: F.coalesce((F.schema_of_variant(x) == "STRING") & F.try_variant_get(x, "$", "string").isin(MATCH_KINDS), F.lit(False))
@@ -119,12 +138,12 @@ def classification_rules(v: Column) -> list[Column]:
     ]
 
 
-def location_rules(v: Column) -> list[Column]:
+def location_rules(v: Object) -> list[Column]:
     c = Field(v, "country")
     return [*optional_text(c), *when(c.is_text & ~c.text.rlike(r"^[A-Z]{2}\z"), "location.country must be an ISO 3166-1 alpha-2 code"), *optional_full_text(Field(v, "region"))]
 
 
-def ip_hash_rules(v: Column) -> list[Column]:
+def ip_hash_rules(v: Object) -> list[Column]:
     bits, kept = Field(v, "truncatedBits"), Field(v, "originalIpRetention")
     return [
         *needs_one_of(Field(v, "algorithm"), IP_HASH_ALGORITHMS), *optional_full_text(Field(v, "value")), *optional_full_text(Field(v, "keyId")),
@@ -133,71 +152,78 @@ def ip_hash_rules(v: Column) -> list[Column]:
     ]
 
 
-def integration_rules(v: Column) -> list[Column]:
+def integration_rules(v: Object) -> list[Column]:
     kind = Field(v, "kind")
     return [*needs_one_of(kind, INTEGRATION_KINDS, kind.present), *needs_text(Field(v, "name")), *optional_full_text(Field(v, "version")), *optional_full_text(Field(v, "requestId"))]
 
 
-REQUEST = ["host", "path", "search", "method", "userAgent", "referer"]
-INTEGRATION = ["kind", "name", "version", "requestId"]
+# The fields of the contract's objects.
+PARTS = {
+    "request": ("host", "path", "search", "method", "userAgent", "referer"),
+    "providerClassification": ("provider", "agentType", "confidence", "matchedBy"),
+    "location": ("country", "region"),
+    "ipHash": ("algorithm", "value", "keyId", "truncatedBits", "originalIpRetention"),
+    "integration": ("kind", "name", "version", "requestId"),
+    "probe": ("id", "token"),
+}
+EVENT = ("schemaVersion", "eventKind", "sourceProvider", "observedAt", "request", "providerClassification", "location", "ipHash", "integration")
+PROBE = ("schemaVersion", "eventKind", "sourceProvider", "observedAt", "probe", "request", "integration")
+RESPONSE = ("ok", "eventKind", "probeId", "receivedAt")
 
 
-def _validated(df: DataFrame, column: str, what: str, rules, parts: tuple[str, ...]) -> DataFrame:
+def _validated(df: DataFrame, column: str, what: str, rules, names: tuple[str, ...]) -> DataFrame:
     """df with issues array<string>. Text after the JSON value, or none, is reported as one that is no object."""
-    raw = F.col(column)
+    raw, parts = F.col(column), [n for n in names if n in PARTS]
     held = last_wins(df).withColumn("__v", F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), raw, F.lit("]"))), "$[0]", "variant"))
     held = held.withColumn("__top", fields_of(F.col("__v")))
-    held = held.withColumns({f"__{n}": fields_of(F.try_element_at("__top", F.lit(n))["v"]) for n in parts})
-    issues = F.filter(F.concat(*rules(F.col("__top"), raw)), lambda x: x.isNotNull())
+    held = held.withColumns({"__top_placed": placed(F.col("__top"), names)} | {f"__{n}": fields_of(F.try_element_at("__top", F.lit(n))["v"]) for n in parts})
+    held = held.withColumns({f"__{n}_placed": placed(F.col(f"__{n}"), PARTS[n]) for n in parts})
+    issues = F.filter(F.concat(*rules(Object.of("__top", names), raw)), lambda x: x.isNotNull())
     every = F.when(F.col("__top").isNotNull(), issues).otherwise(F.array(F.lit(f"{what} must be an object")))
     # Through inline, so that a filter on the issues is not pushed below the checks, where it would run them twice.
-    return held.select("*", F.inline(F.array(F.struct(every.alias("issues"))))).drop("__v", "__top", *(f"__{n}" for n in parts))
+    return held.select("*", F.inline(F.array(F.struct(every.alias("issues"))))).drop("__v", *(f"__{n}{more}" for n in ("top", *parts) for more in ("", "_placed")))
 
 
 def validate_events(df: DataFrame, column: str = "event") -> DataFrame:
     """Request observations; open at the top level, closed below."""
 
-    def rules(v: Column, raw: Column) -> list[Column]:
+    def rules(v: Object, raw: Column) -> list[Column]:
         f = lambda n: Field(v, n)
         return [
             *needs_version(f("schemaVersion")), *needs_literal(f("eventKind"), "request_observation"), *needs_one_of(f("sourceProvider"), SOURCE_PROVIDERS), *needs_time(f("observedAt")),
-            *nested(v, raw, "request", REQUEST, request_rules),
-            *nested(v, raw, "providerClassification", ["provider", "agentType", "confidence", "matchedBy"], classification_rules),
-            *nested(v, raw, "location", ["country", "region"], location_rules, True),
-            *nested(v, raw, "ipHash", ["algorithm", "value", "keyId", "truncatedBits", "originalIpRetention"], ip_hash_rules, True),
-            *nested(v, raw, "integration", INTEGRATION, integration_rules, True),
+            *nested(v, raw, "request", request_rules), *nested(v, raw, "providerClassification", classification_rules), *nested(v, raw, "location", location_rules, True),
+            *nested(v, raw, "ipHash", ip_hash_rules, True), *nested(v, raw, "integration", integration_rules, True),
         ]
 
-    return _validated(df, column, "event", rules, ("request", "providerClassification", "location", "ipHash", "integration"))
+    return _validated(df, column, "event", rules, EVENT)
 
 
 def validate_probes(df: DataFrame, column: str = "event") -> DataFrame:
     """Setup probes; closed everywhere."""
 
-    def rules(v: Column, raw: Column) -> list[Column]:
+    def rules(v: Object, raw: Column) -> list[Column]:
         f = lambda n: Field(v, n)
-        own = ["schemaVersion", "eventKind", "sourceProvider", "observedAt", "probe", "request", "integration"]
         return [
-            *unknown_fields(v, raw, "$", "event", own), *needs_version(f("schemaVersion")), *needs_literal(f("eventKind"), "setup_probe"), *needs_one_of(f("sourceProvider"), SOURCE_PROVIDERS),
-            *needs_time(f("observedAt")), *nested(v, raw, "probe", ["id", "token"], lambda p: [*needs_text(Field(p, "id")), *needs_text(Field(p, "token"))]),
-            *nested(v, raw, "request", REQUEST, request_rules), *nested(v, raw, "integration", INTEGRATION, integration_rules, True),
+            *unknown_fields(v, raw, "$", "event", PROBE), *needs_version(f("schemaVersion")), *needs_literal(f("eventKind"), "setup_probe"), *needs_one_of(f("sourceProvider"), SOURCE_PROVIDERS),
+            *needs_time(f("observedAt")), *nested(v, raw, "probe", lambda p: [*needs_text(Field(p, "id")), *needs_text(Field(p, "token"))]), *nested(v, raw, "request", request_rules),
+            *nested(v, raw, "integration", integration_rules, True),
         ]
 
-    return _validated(df, column, "setup probe event", rules, ("probe", "request", "integration"))
+    return _validated(df, column, "setup probe event", rules, PROBE)
 
 
 def validate_probe_responses(df: DataFrame, column: str = "event") -> DataFrame:
     """Answers to setup probes; four fields, closed."""
 
-    def rules(v: Column, raw: Column) -> list[Column]:
+    def rules(v: Object, raw: Column) -> list[Column]:
         f = lambda n: Field(v, n)
         is_flag = F.coalesce(f("ok").type == "BOOLEAN", F.lit(False))
         return [
-            *unknown_fields(v, raw, "$", "response", ["ok", "eventKind", "probeId", "receivedAt"]), *when(~is_flag, "ok must be a boolean"), *needs_literal(f("eventKind"), "setup_probe"),
-            *needs_text(f("probeId")), *needs_time(f("receivedAt")),
+            *unknown_fields(v, raw, "$", "response", RESPONSE), *when(~is_flag, "ok must be a boolean"), *needs_literal(f("eventKind"), "setup_probe"), *needs_text(f("probeId")),
+            *needs_time(f("receivedAt")),
         ]
 
-    return _validated(df, column, "setup probe response", rules, ())
+    return _validated(df, column, "setup probe response", rules, RESPONSE)
 
 
 def split_valid(validated: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import dash_null, epoch_seconds, http_method, iso_timestamp, jtrim, last_wins, leading_int
-from ..functions.urls import let
 
 ENTRY = ["format", "remote_address", "observed_at", "host", "method", "path", "search", "protocol", "status", "bytes_sent", "referer", "user_agent"]
 
@@ -100,15 +99,14 @@ def line_groups(text: Column) -> Column:
     return F.split(F.regexp_replace(text, LINE + r"(?s:.*)\z", every), re.escape(BETWEEN), 7)
 
 
-def found(fields: Column, wanted: list[str]) -> Column:
+def found(value: Column, wanted: list[str]) -> Column:
     """array<struct<type, text, full>>: for each wanted entry of KEYS, the first of its keys that a JSON object has, whatever its value:
-    later keys don't stand in for null, blank or `-`. full is the trimmed text of a string, null for those. One function over a constant
-    list of keys, so neither the plan nor the generated code grows with the keys."""
-    lists = F.array(*(F.array(*map(F.lit, KEYS[k])) for k in wanted))
-    own = lambda keys: F.try_element_at(fields, F.get(F.filter(keys, lambda k: F.map_contains_key(fields, k)), F.lit(0)))
+    later keys don't stand in for null, blank or `-`, as a JSON null is a VARIANT that is not null. full is the trimmed text of a string,
+    null for those. What follows the look-up is one function over the values, so that it isn't generated for each of them."""
+    own = lambda keys: F.coalesce(*(F.try_variant_get(value, f"$['{k}']", "variant") for k in keys))
     typed = lambda v: F.struct(F.schema_of_variant(v).alias("type"), F.try_variant_get(v, "$", "string").alias("text"))
     full = lambda x: F.struct(x["type"].alias("type"), x["text"].alias("text"), dash_null(F.when(is_text(x), x["text"])).alias("full"))
-    return F.when(fields.isNotNull(), F.transform(lists, lambda keys: let(let(own(keys), typed), full)))
+    return F.transform(F.transform(F.array(*(own(KEYS[k]) for k in wanted)), typed), full)
 
 
 def is_text(x: Column) -> Column:
@@ -147,12 +145,13 @@ def parse_nginx(df: DataFrame, format: str = "auto", default_host: str | None =
     if format != "common":
         # A JSON line is parsed inside brackets, so that anything after the object makes the whole malformed.
         d = d.withColumn("__all", F.when(j, F.try_parse_json(F.concat(F.lit("["), "__line", F.lit("]")))))
-        d = d.withColumns({"__fields": F.try_variant_get("__all", "$[0]", "map<string,variant>"), "__more": F.try_variant_get("__all", "$[1]", "variant").isNotNull()})
+        d = d.withColumn("__v", F.try_variant_get("__all", "$[0]", "variant"))
+        d = d.withColumn("__object", F.schema_of_variant("__v").startswith("OBJECT") & F.try_variant_get("__all", "$[1]", "variant").isNull())
         wanted = [k for k in KEYS if k in (*NEEDED, *(READ_FROM.get(c) for c in columns))]
-        d = d.withColumn("__found", found(F.col("__fields"), wanted))
+        d = d.withColumn("__found", F.when(F.col("__object"), found(F.col("__v"), wanted)))
         value |= {k: F.get("__found", F.lit(i)) for i, k in enumerate(wanted)}
         text |= {k: value[k]["full"] for k in wanted}
-        is_object = F.col("__fields").isNotNull() & ~F.col("__more")
+        is_object = F.coalesce("__object", F.lit(False))
     if format != "json":
         d = d.withColumn("__fits", F.coalesce(F.when(~j, line).rlike(LINE), F.lit(False)))
         full = lambda g, i: F.when(i.isin(0, 5, 6), dash_null(g)).otherwise(g)  # noqa: E731  address, referer, user agent
