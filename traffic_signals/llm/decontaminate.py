@@ -258,12 +258,20 @@ def _found(docs: DataFrame, benchmark: DataFrame, least: int, coverage: float, b
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, least: int = MIN_MATCH, coverage: float = COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The rows of docs, with their own columns, that hold no benchmark item."""
+    """The rows of docs, with their own columns, that hold no benchmark item.
+
+    Null and empty texts hold none; texts are read whole. Of repeated rows all go or all stay. An empty table gives no rows, an empty
+    benchmark takes none away. Rows travel as one struct, so further columns may have any names.
+    """
+    held = docs.select(F.struct("*").alias("doc"))
     if n_blocks(usable(benchmark), block_words) == 1:
-        return _found(docs, benchmark, least, coverage, block_words).where(F.size("__leaks") == 0).drop("__leaks")
-    keys = [F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.xxhash64("text")]
-    gone = _found(docs.select("doc_id", "text"), benchmark, least, coverage, block_words).select(keys[0].alias("__id"), keys[1].alias("__own")).distinct()
-    return docs.join(gone, (keys[0] == F.col("__id")) & (keys[1] == F.col("__own")), "left_anti")
+        found = _found(held.select("doc", F.col("doc.doc_id").alias("doc_id"), F.col("doc.text").alias("text")), benchmark, least, coverage, block_words)
+        return found.where(F.size("__leaks") == 0).select("doc.*")
+    keys = lambda row: [F.coalesce(F.col(f"{row}doc_id").cast("string"), F.lit("null")), F.xxhash64(F.col(f"{row}text"))]
+    id_, own = keys("")
+    gone = _found(docs.select("doc_id", "text"), benchmark, least, coverage, block_words).select(id_.alias("gone_id"), own.alias("gone_text")).distinct()
+    id_, own = keys("doc.")
+    return held.join(gone, (id_ == F.col("gone_id")) & (own == F.col("gone_text")), "left_anti").select("doc.*")
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -310,8 +310,13 @@ def score(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, np.ndarray] | No
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs, with their own columns, that the classifier does not reject."""
-    return with_score(docs, fit(docs, labels)).where(F.col("__quality.score") >= threshold).drop("__quality")
+    """The rows of docs, with their own columns, that the classifier does not reject.
+
+    Null and empty texts are one empty line and judged as such; repeated rows all go or all stay; an empty table gives no rows, and
+    without labels of both kinds nothing is rejected. Rows travel as one struct, so further columns may have any names.
+    """
+    held = docs.select(F.struct("*").alias("doc"), F.col("text"))
+    return with_score(held, fit(docs, labels)).where(F.col("__quality.score") >= threshold).select("doc.*")
 
 
 def op1_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

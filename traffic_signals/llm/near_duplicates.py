@@ -319,19 +319,21 @@ def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame, k: int = 4, percent: int = PERCENT) -> DataFrame:
     """docs with its own columns and one row of each component: of the rows with its least doc_id the one with the least hash of its
-    text, so that reruns agree. Rows without a doc_id, and texts without words under an id of their own, all stay."""
+    text, so that reruns agree. Rows without a doc_id, and texts without words under an id of their own, all stay. An empty table gives
+    no rows; further columns stay, whatever their names."""
     found = staged(rows_with_components(docs, k, percent).where(F.col("part").isNotNull()).select(F.col("doc_id").alias("d_id"), F.col("own").alias("d_own"), "part"), "near-duplicates")
     groups = found.groupBy("part").agg(F.count("*").alias("n"), F.min(F.struct("d_id", "d_own")).alias("best")).where("n > 1")
     rows = staged(found.join(groups, "part").groupBy("d_id", "d_own", "best").count(), "grouped")
     gone = rows.where("d_id <> best.d_id or d_own <> best.d_own").select("d_id", "d_own")
     twice = rows.where("d_id = best.d_id and d_own = best.d_own and count > 1").select("d_id", "d_own")
     send = lambda keys: F.broadcast(keys) if keys.count() <= BROADCAST_IDS else keys
-    here = (F.col("doc_id") == F.col("d_id")) & (text_key(F.col("text")) == F.col("d_own"))
-    kept = docs.join(send(gone), here, "left_anti")
+    # Rows travel as one struct, so that no column of theirs can clash with what is joined.
+    here = (F.col("doc.doc_id") == F.col("d_id")) & (text_key(F.col("doc.text")) == F.col("d_own"))
+    kept = docs.select(F.struct("*").alias("doc")).join(send(gone), here, "left_anti")
     if twice.isEmpty():
-        return kept
+        return kept.select("doc.*")
     twice = send(twice)
-    return kept.join(twice, here, "left_anti").unionByName(kept.join(twice, here, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return kept.join(twice, here, "left_anti").select("doc.*").unionByName(kept.join(twice, here, "left_semi").select("doc.*").dropDuplicates(["doc_id", "text"]))
 
 
 SQL = r"""
