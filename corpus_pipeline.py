@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from traffic_signals.llm import decontaminate, line_quality, mixing, near_duplicates, personal_data
-from traffic_signals.llm.common import delete_staged, n_staged, read, staged
+from traffic_signals.llm.common import delete_table, own_tables, read, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,12 +42,18 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over `documents`: doc_id, text, lang, source, n_chars, then size, source_size, target and taken of the mix.
 
-    Null and empty texts, repeated rows and further columns are handled as the operators' docstrings say; an empty table gives no rows.
-    What a stage has written for itself, and its input, is deleted once its output is written.
+    Null and empty texts, very long ones, ties, repeated rows and further columns of any name are handled as the operators' docstrings
+    say; an empty table gives no rows. What a stage has written for itself, and its input, is deleted once its output is written, or
+    once it has failed; another pipeline in the same driver keeps its own.
     """
-    docs = read(spark, sf_dir, "documents")
-    start = n_staged()
+    docs, path = read(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
-        delete_staged(spark, start, keep=1)
+        try:
+            with own_tables(spark):
+                out = stage(spark, docs, sf_dir)
+                written = table(out, name)
+        finally:
+            if path:
+                delete_table(spark, path)
+        docs, path = spark.read.schema(out.schema).parquet(written), written
     return docs

@@ -62,3 +62,38 @@ def test_the_whole_chain_on_messy_rows(spark, docs, benchmark, tmp_path):
     for name in ("documents", "benchmark", "labels"):
         spark.read.parquet(f"{tmp_path}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/none/{name}.parquet")
     assert corpus_pipeline.run(spark, f"{tmp_path}/none").count() == 0
+
+
+def test_tables_of_a_job_go(spark, docs, monkeypatch):
+    from traffic_signals.llm.common import own_tables, staged, table
+
+    paths = []
+
+    def exists(path):
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+    with pytest.raises(ZeroDivisionError), own_tables(spark):
+        paths += staged(spark.range(3).toDF("n"), "mine").inputFiles()
+        kept = table(spark.range(3).toDF("n"), "kept")
+        1 / 0
+    assert not exists(paths[0]) and exists(kept)
+    assert staged(spark.range(3).toDF("n"), "free").count() == 3  # outside of a job nothing is deleted before the driver ends
+
+
+def test_a_failing_stage_leaves_nothing(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(1, "a b c")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+
+    def first(spark, docs, sf_dir):
+        return docs
+
+    def second(spark, docs, sf_dir):
+        seen.extend(docs.inputFiles())
+        raise ValueError("on purpose")
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("first", first), ("second", second)])
+    with pytest.raises(ValueError, match="on purpose"):
+        corpus_pipeline.run(spark, str(tmp_path))
+    at = spark._jvm.org.apache.hadoop.fs.Path(seen[0])
+    assert not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)

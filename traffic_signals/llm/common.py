@@ -5,6 +5,9 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import xxhash
@@ -30,8 +33,17 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-#: Paths of the tables that `staged` has written, so that a job that is done with them can delete them.
-_written: list[str] = []
+#: The tables that the job in this context has staged; none outside of `own_tables`. Jobs in other threads have lists of their own.
+_own: ContextVar[list[str] | None] = ContextVar("own_tables", default=None)
+
+
+def table(df: DataFrame, name: str) -> str:
+    """Write a table to the shared checkpoint folder; returns its path. It goes when the driver ends, if nobody deletes it before."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    at, fs = _file(df.sparkSession, path)
+    fs.deleteOnExit(at)
+    return path
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -39,23 +51,34 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
     This cuts the lineage: a lost executor costs a reread of Parquet, never the work before it.
     """
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append(path)
+    path = table(df, name)
+    own = _own.get()
+    if own is not None:
+        own.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def delete_staged(spark: SparkSession, start: int, keep: int = 0) -> None:
-    """Delete the tables staged since `_written` had `start` entries, but for the `keep` latest. Nothing may read them any more."""
-    gone = _written[start : len(_written) - keep]
-    _written[start : len(_written) - keep] = []
-    for path in gone:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+@contextmanager
+def own_tables(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is deleted at the end, also after a failure. Nothing may read it any more then."""
+    token = _own.set([])
+    try:
+        yield
+    finally:
+        own = _own.get() or []
+        _own.reset(token)
+        for path in own:
+            delete_table(spark, path)
+
+
+def delete_table(spark: SparkSession, path: str) -> None:
+    at, fs = _file(spark, path)
+    fs.delete(at, True)
 
 
-def n_staged() -> int:
-    return len(_written)
+def _file(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 def held_out(doc_id: Column) -> Column:
