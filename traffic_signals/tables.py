@@ -20,15 +20,23 @@ def scratch(spark: SparkSession, name: str = "scratch") -> str:
 
 
 def written(df: DataFrame, name: str = "table") -> DataFrame:
-    """df, written and read again: a lost executor costs a reread, never the work before it, and every reader sees the same rows."""
+    """df, written and read again: a lost executor costs a reread, never the work before it, and every reader sees the same rows. The table
+    goes when the driver ends."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
+    at, fs = _file(df.sparkSession, path)
+    fs.deleteOnExit(at)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def delete(spark: SparkSession, path: str) -> None:
+    at, fs = _file(spark, path)
+    fs.delete(at, True)
+
+
+def _file(spark: SparkSession, path: str) -> tuple:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
 @contextmanager
