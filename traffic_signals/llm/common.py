@@ -98,9 +98,9 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, bound: int) -> Data
     """(doc_id, text, label) of about `bound` labelled documents outside the held-out fold.
 
     Only the sampled labels are broadcast, so the size of what is sent is bounded by the parameter.
-    A document with several labels counts with the largest.
+    A document with several labels counts with the largest; labels other than 0 and 1 don't count.
     """
-    picked = labels.where(F.col(label).isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", F.col(label).cast("int").alias("label"))
+    picked = labels.where(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"))).select("doc_id", F.col(label).cast("int").alias("label"))
     picked = bounded(picked, F.col("doc_id"), bound).groupBy("doc_id").agg(F.max("label").alias("label"))
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
