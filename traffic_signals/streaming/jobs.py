@@ -124,7 +124,8 @@ def stream_envelopes(
 def stream_rollup(spark: SparkSession, source: str, sink: str, checkpoint: str, window: str = "1 hour", late: str = "10 minutes", every: str | None = None) -> StreamingQuery:
     """Visits by bucket and family in windows of event time; a window is written once the watermark has passed it.
 
-    The stream reports its pass counters under PASS; a `PassListener` of the session sees them.
+    The stream reports its pass counters under PASS; a `PassListener` of the session sees them. A stateful stream can't hold a tail back:
+    files are moved into the source when they are complete.
     """
     lines = read_nginx(spark, source, stream=True).withColumn("value", F.regexp_replace("value", r"\r\z", ""))
     classed = with_request_class(parse_nginx(lines)).observe(PASS, *pass_counters())
