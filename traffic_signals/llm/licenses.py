@@ -173,9 +173,10 @@ def matches(text: str | None, t: Templates, coverage: float, band: int) -> list[
         group: list[int] = []
         for d in [*sorted(diagonals), 1 << 60]:
             if group and d - group[-1] > near:  # seeds of one occurrence lie on neighbouring diagonals
-                first = max(0, group[0] - near)
-                part = only[first : group[-1] + len(pattern) + near]
-                m, s, e = aligned(pattern, part, (group[0] + group[-1]) // 2 - first, near + group[-1] - group[0])
+                middle, wide = (group[0] + group[-1]) // 2, near + group[-1] - group[0]
+                first = max(0, middle - wide)  # all words that the band can reach, or an end within it would be cut off
+                part = only[first : max(0, middle + wide + len(pattern))]
+                m, s, e = aligned(pattern, part, middle - first, wide)
                 s, e = s + first, e + first
                 if m / len(pattern) >= coverage and s >= taken:
                     out.append({"license": t.names[k], "coverage": m / len(pattern), "matched": m, "start": words[s][1], "end": words[e - 1][2]})
