@@ -51,9 +51,10 @@ def numbered(df: DataFrame, source: str, order: list[str], column: str) -> DataF
 
     Rows are dealt by ranges of (source, order), so a large source lies in many partitions. A row's number is its place in its partition
     plus the rows of its source in earlier partitions; the prefix sums run over one row for each source and partition. The ranges are
-    drawn from a sample, so they are written once, not drawn again by the second reader.
+    drawn from a sample, so they are written once, not drawn again by the second reader. The rows are written before that, as the
+    sample is a pass of its own over them, which would do all the work that they are made by a second time.
     """
-    ranged = written(df.repartitionByRange(source, *order).withColumn("__part", F.spark_partition_id()), "numbered")
+    ranged = written(written(df, "rows").repartitionByRange(source, *order).withColumn("__part", F.spark_partition_id()), "numbered")
     counts = ranged.groupBy(F.col(source).alias("__source"), F.col("__part").alias("__of")).agg(F.count("*").alias("__n"))
     before = Window.partitionBy("__source").orderBy("__of").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select("__source", "__of", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))

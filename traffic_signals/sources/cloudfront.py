@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import absent, epoch_seconds, filled, http_method, iso_timestamp
+from ..functions.exprs import absent, epoch_seconds, filled, http_method, iso_timestamp, kept_apart
 from ..functions.schema import CLOUDFRONT_FIELDS
 
 
@@ -55,5 +55,4 @@ def parse_cloudfront(df: DataFrame, fields: list[str] = CLOUDFRONT_FIELDS) -> Da
         "search": _search(F.col("__query")), "request_id": f("x-edge-request-id"), "user_agent": f("cs-user-agent"), "referer": f("cs-referer"),
         "country": F.when(f("c-country").rlike(r"^[A-Z]{2}\z"), f("c-country")),
     }
-    # Through inline, so that a filter on the error is not pushed below the parser, where it would run it twice.
-    return d.select(*own, F.inline(F.array(F.struct("error", *(F.when(F.col("error").isNull(), c).alias(k) for k, c in entry.items())))))
+    return kept_apart(d, F.struct("error", *(F.when(F.col("error").isNull(), c).alias(k) for k, c in entry.items())), own)
