@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from traffic_signals import catalog
+from traffic_signals import catalog, requestlog
 from traffic_signals.functions.exprs import BLANKS, dash_null, filled, form_decode, jtrim, query_pairs
 from traffic_signals.functions.rules import QUERY_KEYS
 from traffic_signals.functions.urls import PLAIN
@@ -100,3 +100,14 @@ def test_numbers_are_read_from_numbers_only(spark):
     df = spark.createDataFrame([(i, '{"schemaVersion":' + v + "," + good + "}") for i, v in enumerate(versions)], "i int, event string")
     no = "schemaVersion must be an integer"
     assert [r.issues for r in validate_probes(df).orderBy("i").collect()] == [[], [no], [no], ["schemaVersion must be >= 1"], [], [no], [no], [no]]
+
+
+def test_tasks_are_cut_by_rows(spark, data, monkeypatch):
+    """However narrow the rows are: what a task of the sink sorts does not grow with the table."""
+    before = sorted(map(tuple, catalog.QUERIES["observation_sink"](spark, data).collect()))
+    monkeypatch.setattr(requestlog, "TASK_ROWS", 100)
+    log = requestlog.request_log(spark, data)
+    rows = [r["count"] for r in log.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(rows) > 8 and sum(rows) == spark.read.parquet(f"{data}/events.parquet").count() and max(rows) < sum(rows) / 4
+    assert sorted(map(tuple, catalog.QUERIES["observation_sink"](spark, data).collect())) == before
+    assert [requestlog.tasks_for(spark, n) for n in (0, 400, 401, 1_200)] == [4, 4, 8, 12]
