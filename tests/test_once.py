@@ -1,12 +1,13 @@
 """Work that is done once: rows before they are numbered, files of events, and steps that are compiled rather than interpreted."""
 
+import calendar
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from traffic_signals import catalog, requestlog
-from traffic_signals.functions.exprs import BLANKS, dash_null, filled, form_decode, jtrim, query_pairs
+from traffic_signals.functions.exprs import BLANKS, dash_null, filled, form_decode, jtrim, query_pairs, strict_iso
 from traffic_signals.functions.rules import QUERY_KEYS
 from traffic_signals.functions.urls import PLAIN
 from traffic_signals.operators.classify import best_class, header, known_attribution
@@ -111,3 +112,26 @@ def test_tasks_are_cut_by_rows(spark, data, monkeypatch):
     assert len(rows) > 8 and sum(rows) == spark.read.parquet(f"{data}/events.parquet").count() and max(rows) < sum(rows) / 4
     assert sorted(map(tuple, catalog.QUERIES["observation_sink"](spark, data).collect())) == before
     assert [requestlog.tasks_for(spark, n) for n in (0, 400, 401, 1_200)] == [4, 4, 8, 12]
+
+
+def test_checks_search_no_names_and_read_no_days(spark, data):
+    plan = optimized(catalog.QUERIES["validate_probe_records"](spark, data))
+    assert "exists(" not in plan and "gettimestamp" not in plan.lower() and "date_format" not in plan
+
+
+def test_days_of_the_calendar(spark):
+    years = (0, 1, 4, 100, 400, 1900, 1996, 2000, 2023, 2024, 2100, 9996, 9999)
+    days = [(y, m, d) for y in years for m in range(14) for d in range(33)]
+    df = spark.createDataFrame([(*x, "%04d-%02d-%02dT00:00:00Z" % x) for x in days], "y int, m int, d int, t string")
+    got = {(y, m, d) for y, m, d in df.where(strict_iso(F.col("t"))).select("y", "m", "d").collect()}
+    assert got == {(y, m, d) for y, m, d in days if 1 <= m <= 12 and 1 <= d <= (29 if m == 2 and calendar.isleap(y) else 28 if m == 2 else calendar.mdays[m])}
+    odd = spark.createDataFrame([(t,) for t in ("2024-01-01", "2024-01-01T00:00:00", "x2024-01-01T00:00:00Z", "2024-01-01T00:00:00Z\n", "12024-01-01T00:00:00Z", None)], "t string")
+    assert [r[0] for r in odd.select(strict_iso(F.col("t"))).collect()] == [False] * 6
+
+
+def test_unknown_fields_beside_absent_and_repeated_ones(spark):
+    rest = '"schemaVersion":1,"eventKind":"setup_probe","sourceProvider":"vercel","observedAt":"2024-01-01T00:00:00Z","request":{"host":"h","path":"/","method":"GET"}'
+    probes = ['{"id":"a","x":1}', '{"id":"a","token":"b","id":"c"}', '{"id":null,"token":"b","y":null}', "{}"]
+    df = spark.createDataFrame([(i, "{" + rest + ',"probe":' + p + "}") for i, p in enumerate(probes)], "i int, event string")
+    no = lambda n: f"{n} must be a non-empty string"
+    assert [r.issues for r in validate_probes(df).orderBy("i").collect()] == [["probe.x is not allowed", no("token")], [], ["probe.y is not allowed", no("id")], [no("id"), no("token")]]
